@@ -28,11 +28,11 @@ def _first_bloom(df):
 
 # ---------------------------------------------------------------- scans / predicates
 @register("sentinel_to_null", with_views("sentinels") + """
-SELECT l_orderkey, l_linenumber, nullif(l_discount, 0.0) AS l_discount, nullif(l_tax, 0.0) AS l_tax
+SELECT l_orderkey, l_linenumber, quantity, nullif(discount_pct, 0) AS discount_pct,
+       nullif(tax_pct, 0) AS tax_pct
 FROM sentinels""")
 def q_sentinel_to_null(spark, d):
-    s = V.sentinels(spark, d).select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
-    return sentinel_to_null(s, ["l_discount", "l_tax"], value=0.0)
+    return sentinel_to_null(V.sentinels(spark, d), ["discount_pct", "tax_pct"], value=0)
 
 
 _P1 = f"species_id = '{SPLIT_SPECIES}' AND site_id = {SPLIT_SITE}"

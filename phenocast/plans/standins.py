@@ -13,10 +13,10 @@ two forms of the same view, so they are checked against each other.
 | sun           | lineitem+orders     | sunrise=o_orderdate, sunset=l_shipdate as text |
 | sites         | customer            | location=c_custkey, cluster=c_nationkey, lat/long from acctbal/key |
 | points        | embeddings          | location=vec_id, cluster=label, lat/long = first two elements |
-| features      | lineitem+part       | 5 features, label=l_extendedprice |
+| features      | lineitem+part       | 5 integer features, label=l_extendedprice |
 | scores        | orders+lineitem     | y=o_totalprice/1000, prediction=round(sum(l_extendedprice),2)/1000 |
 | importances   | part                | feature=p_brand, score=share of p_retailprice |
-| sentinels     | lineitem            | 0.0 in l_discount / l_tax read as the missing sentinel |
+| sentinels     | lineitem            | 0 in discount_pct / tax_pct read as the missing sentinel |
 | mixed_dates   | orders              | ISO or M/d/yy text by o_orderkey parity, year beside it |
 """
 
@@ -31,7 +31,7 @@ from phenocast.operators.weather import monthly_pivot
 # Daily measures as exact integers (units, cents, hundredths): sums are exact, so
 # a mean is one correctly rounded division in any engine.
 MEASURES = ["quantity", "price_cents", "discount_pct", "tax_pct"]
-FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+FEATURES = ["quantity", "discount_pct", "tax_pct", "p_size", "price_cents"]
 # The site/species pair split off as its own location.
 SPLIT_SITE = 7
 SPLIT_SPECIES = "1-URGENT"
@@ -120,8 +120,13 @@ def features(spark, d) -> DataFrame:
     l = table(spark, d, "lineitem")
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
     return l.join(p, "l_partkey").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_discount", "l_tax",
-        "p_size", "p_retailprice", F.col("l_extendedprice").alias("label"))
+        "l_orderkey", "l_linenumber", "l_shipdate",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+        F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"),
+        "p_size",
+        F.round(F.col("p_retailprice") * 100).cast("bigint").alias("price_cents"),
+        F.col("l_extendedprice").alias("label"))
 
 
 def scores(spark, d) -> DataFrame:
@@ -135,15 +140,19 @@ def scores(spark, d) -> DataFrame:
 
 def importances(spark, d) -> DataFrame:
     p = table(spark, d, "part")
-    by_brand = p.groupBy(F.col("p_brand").alias("feature")).agg(F.sum("p_retailprice").alias("_s"))
-    total = p.agg(F.sum("p_retailprice").alias("_t"))
+    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    by_brand = p.groupBy(F.col("p_brand").alias("feature")).agg(F.sum(cents).alias("_s"))
+    total = p.agg(F.sum(cents).alias("_t"))
     return (by_brand.crossJoin(F.broadcast(total))
             .select("feature", (F.col("_s") / F.col("_t")).alias("score")))
 
 
 def sentinels(spark, d) -> DataFrame:
     l = table(spark, d, "lineitem")
-    return l.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    return l.select("l_orderkey", "l_linenumber",
+                    F.col("l_quantity").cast("int").alias("quantity"),
+                    F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+                    F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"))
 
 
 def mixed_dates(spark, d) -> DataFrame:
@@ -208,18 +217,27 @@ SQL_VIEWS = {
   SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS long
   FROM embeddings)""",
     "features": """features AS (
-  SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate, l.l_quantity, l.l_discount, l.l_tax,
-         p.p_size, p.p_retailprice, l.l_extendedprice AS label
+  SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate,
+         CAST(l.l_quantity AS INTEGER) AS quantity,
+         CAST(round(l.l_discount * 100) AS INTEGER) AS discount_pct,
+         CAST(round(l.l_tax * 100) AS INTEGER) AS tax_pct,
+         p.p_size, CAST(round(p.p_retailprice * 100) AS BIGINT) AS price_cents,
+         l.l_extendedprice AS label
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)""",
     "scores": """scores AS (
   SELECT o.o_orderkey, o.o_totalprice / 1000 AS y, s.s / 1000 AS prediction
   FROM orders o JOIN (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS s
                       FROM lineitem GROUP BY l_orderkey) s ON o.o_orderkey = s.l_orderkey)""",
     "importances": """importances AS (
-  SELECT p_brand AS feature, sum(p_retailprice) / (SELECT sum(p_retailprice) FROM part) AS score
+  SELECT p_brand AS feature,
+         CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS DOUBLE)
+         / CAST((SELECT sum(CAST(round(p_retailprice * 100) AS BIGINT)) FROM part) AS DOUBLE) AS score
   FROM part GROUP BY p_brand)""",
     "sentinels": """sentinels AS (
-  SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem)""",
+  SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS quantity,
+         CAST(round(l_discount * 100) AS INTEGER) AS discount_pct,
+         CAST(round(l_tax * 100) AS INTEGER) AS tax_pct
+  FROM lineitem)""",
     "mixed_dates": """mixed_dates AS (
   SELECT o_orderkey,
          CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
