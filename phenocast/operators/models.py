@@ -179,6 +179,8 @@ def fit_regressor(train: DataFrame, features: Sequence[str], label: str, kind: s
     """Scale (population spread, fitted on ``train``) -> assemble -> fit (M1, M6-M8)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
+    from phenocast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)   # boosting cuts lineage every 10 trees
     features = list(features)
     params = normalization_params(train, features)
     params = params.persist(StorageLevel.MEMORY_AND_DISK)
@@ -282,6 +284,8 @@ def cross_validate(train: DataFrame, features: Sequence[str], label: str, settin
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.tuning import CrossValidator
 
+    from phenocast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     features = list(features)
     params = normalization_params(train, features).persist(StorageLevel.MEMORY_AND_DISK)
     scaled = scale_with(train.where(F.col(label).isNotNull()), params, features)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from phenocast.plans import relational, statistical  # noqa: F401  (register queries)
+from phenocast.plans import modeling, relational, statistical  # noqa: F401  (register queries)
 from phenocast.plans.pipeline import training_set
 from phenocast.plans.registry import ORACLES, QUERIES
 

@@ -40,20 +40,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is honoured as is.  Only when nothing is configured (tests, local
-    runs) do we point it at a fresh scratch folder.
+    and is honoured as is; if it is missing there, this raises instead of
+    falling back to a machine-local folder.  Only a local-mode session (tests,
+    laptop runs) without any setting gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-        return conf_dir
+        return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed to cut "
+                           "lineage of iterative jobs such as boosted trees)")
     scratch = tempfile.mkdtemp(prefix="phenocast-ckpt-")
     sc.setCheckpointDir(scratch)
-    return scratch
+    return sc.getCheckpointDir() or scratch
 
 
 def shared_scratch_path(spark: SparkSession, name: str) -> str:
