@@ -14,4 +14,4 @@ from phenocast.functions.numeric import (  # noqa: F401
     round_doubles,
     sentinel_to_null,
 )
-from phenocast.functions.quantiles import kth_smallest  # noqa: F401
+from phenocast.functions.quantiles import kth_smallest, kth_smallest_many  # noqa: F401

@@ -12,11 +12,12 @@ import math
 from itertools import combinations_with_replacement
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenocast.functions.numeric import half_even_int, normal_z
-from phenocast.functions.quantiles import kth_smallest
+from phenocast.functions.quantiles import kth_smallest, kth_smallest_many
 
 
 # --------------------------------------------------------------------------- moments
@@ -90,31 +91,68 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
 
 
 # --------------------------------------------------------------------------- correlation
+# covar_pop keeps 4 buffer fields, stddev_pop 3: 10 per pair.  Whole-stage
+# codegen is switched off above spark.sql.codegen.maxFields (100), which made a
+# single wide aggregate 2-3x slower, so the pairs are aggregated in chunks.
+_PAIRS_PER_PASS = 9
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, pairwise-complete, long form (A10).
 
     ``covar_pop / (stddev_pop * stddev_pop)`` over the rows where both values
-    are present; a constant column gives NULL instead of an error.  All pairs
-    are computed in a single aggregation pass.  (For hundreds of columns use
-    ``pyspark.ml.stat.Correlation`` on a filled vector column instead.)
+    are present; a constant column gives NULL instead of an error.  Pairs are
+    aggregated in chunks that stay inside whole-stage codegen, over one
+    persisted projection.  For hundreds of columns use
+    :func:`correlation_matrix_wide` on filled data instead.
     """
     cols = list(cols)
-    aggs, pairs = [], list(combinations_with_replacement(range(len(cols)), 2))
-    for i, j in pairs:
-        a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-        a2 = F.when(b.isNotNull(), a)
-        b2 = F.when(a.isNotNull(), b)
-        aggs.append(F.try_divide(F.covar_pop(a2, b2),
-                                 F.stddev_pop(a2) * F.stddev_pop(b2)).alias(f"_c{i}_{j}"))
-    one = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
-                                F.col(f"_c{i}_{j}").alias("corr")))
-        if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("feature_a"), F.lit(cols[i]).alias("feature_b"),
+    pairs = list(combinations_with_replacement(range(len(cols)), 2))
+    src = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    chunks = [pairs[i:i + _PAIRS_PER_PASS] for i in range(0, len(pairs), _PAIRS_PER_PASS)]
+    if len(chunks) > 1:
+        src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = []
+    for chunk in chunks:
+        aggs = []
+        for i, j in chunk:
+            a, b = F.col(f"_x{i}"), F.col(f"_x{j}")
+            a2 = F.when(b.isNotNull(), a)
+            b2 = F.when(a.isNotNull(), b)
+            aggs.append(F.try_divide(F.covar_pop(a2, b2),
+                                     F.stddev_pop(a2) * F.stddev_pop(b2)).alias(f"_c{i}_{j}"))
+        one = src.agg(*aggs)
+        structs = []
+        for i, j in chunk:
+            structs.append(F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
                                     F.col(f"_c{i}_{j}").alias("corr")))
-    return one.select(F.inline(F.array(*structs)))
+            if i != j:
+                structs.append(F.struct(F.lit(cols[j]).alias("feature_a"),
+                                        F.lit(cols[i]).alias("feature_b"),
+                                        F.col(f"_c{i}_{j}").alias("corr")))
+        parts.append(one.select(F.inline(F.array(*structs))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def correlation_matrix_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All-pairs Pearson correlation for many columns via MLlib (no NULLs allowed).
+
+    One distributed Gramian pass (``pyspark.ml.stat.Correlation``); fill gaps
+    first (:func:`phenocast.operators.assemble.fill_with_means`).  The k x k
+    result is returned as a long table.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    cols = list(cols)
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(df.select(*cols))
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    spark = df.sparkSession
+    rows = [(a, b, None if m[i][j] != m[i][j] else float(m[i][j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 # --------------------------------------------------------------------------- metrics
@@ -214,17 +252,23 @@ def outlier_flags(df: DataFrame, cols: Sequence[str], contamination: float = 0.0
     split.  Medians and cut points are exact order statistics found with
     :func:`kth_smallest`; the flags are one narrow projection.  NULL -> False.
     """
+    cols = list(cols)
+    src = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = src.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(c)
+                       for c in cols]).first()
+    present = [c for c in cols if counts[c] > 0]
+    medians = dict(zip(present, kth_smallest_many(
+        src, [(c, lower_median_rank(counts[c])) for c in present])))
+    scores = src.select(*[F.abs(F.col(c) - F.lit(medians[c])).alias(c) for c in present])
+    cuts = dict(zip(present, kth_smallest_many(
+        scores, [(c, upper_quantile_rank(counts[c], 1 - contamination)) for c in present])))
     flags = {}
     for c in cols:
-        x = F.col(c).cast("double")
-        n = df.where(x.isNotNull() & ~F.isnan(x)).count()
-        if n == 0:
+        if c not in medians:
             flags[c + suffix] = F.lit(False)
             continue
-        (med,) = kth_smallest(df.select(x.alias("_x")), "_x", [lower_median_rank(n)])
-        scored = df.select(F.abs(x - F.lit(med)).alias("_s"))
-        (cut,) = kth_smallest(scored, "_s", [upper_quantile_rank(n, 1 - contamination)])
-        flags[c + suffix] = F.coalesce(F.abs(x - F.lit(med)) > F.lit(cut), F.lit(False))
+        score = F.abs(F.col(c) - F.lit(medians[c]))
+        flags[c + suffix] = F.coalesce(score > F.lit(cuts[c]), F.lit(False))
     return df.withColumns(flags)
 
 

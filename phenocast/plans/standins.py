@@ -77,9 +77,9 @@ def weather_daily(spark, d) -> DataFrame:
         F.col("s_nationkey").cast("string").alias("location"),
         F.col("l_shipdate").cast("date").alias("datetime"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price_cents"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"))
+        F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("price_cents"),
+        F.rint(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+        F.rint(F.col("l_tax") * 100).cast("int").alias("tax_pct"))
 
 
 def weather_wide(spark, d) -> DataFrame:
@@ -122,10 +122,10 @@ def features(spark, d) -> DataFrame:
     return l.join(p, "l_partkey").select(
         "l_orderkey", "l_linenumber", "l_shipdate",
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"),
+        F.rint(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+        F.rint(F.col("l_tax") * 100).cast("int").alias("tax_pct"),
         "p_size",
-        F.round(F.col("p_retailprice") * 100).cast("bigint").alias("price_cents"),
+        F.rint(F.col("p_retailprice") * 100).cast("bigint").alias("price_cents"),
         F.col("l_extendedprice").alias("label"))
 
 
@@ -140,7 +140,7 @@ def scores(spark, d) -> DataFrame:
 
 def importances(spark, d) -> DataFrame:
     p = table(spark, d, "part")
-    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    cents = F.rint(F.col("p_retailprice") * 100).cast("bigint")
     by_brand = p.groupBy(F.col("p_brand").alias("feature")).agg(F.sum(cents).alias("_s"))
     total = p.agg(F.sum(cents).alias("_t"))
     return (by_brand.crossJoin(F.broadcast(total))
@@ -151,8 +151,8 @@ def sentinels(spark, d) -> DataFrame:
     l = table(spark, d, "lineitem")
     return l.select("l_orderkey", "l_linenumber",
                     F.col("l_quantity").cast("int").alias("quantity"),
-                    F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-                    F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"))
+                    F.rint(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+                    F.rint(F.col("l_tax") * 100).cast("int").alias("tax_pct"))
 
 
 def mixed_dates(spark, d) -> DataFrame:
