@@ -164,7 +164,10 @@ def _narrow_round(v: DataFrame, state: dict, results: dict, types: dict, rel_err
     for (i, s), (p_lo, p_hi), qcol in zip(state.items(), probs, qs):
         q_lo, q_hi = qcol[flat.index(p_lo)], qcol[flat.index(p_hi)]
         if isinstance(types[s["col"]], _INTEGRAL):
-            q_lo, q_hi = math.floor(q_lo), math.ceil(q_hi)
+            # the sketch works in doubles: widen by one ulp so that large
+            # integers (60-bit hashes) are never cut off by rounding
+            q_lo = math.floor(q_lo - math.ulp(q_lo)) - 1
+            q_hi = math.ceil(q_hi + math.ulp(q_hi)) + 1
         bounds[i] = (q_lo, q_hi)
     # one conditional-count pass for every remaining target
     aggs = []
@@ -187,6 +190,9 @@ def _narrow_round(v: DataFrame, state: dict, results: dict, types: dict, rel_err
         q_lo, q_hi = bounds[i]
         if r < below or r >= below + eq_lo + mid + eq_hi:
             s["width"] *= 4          # the sketch missed: widen and retry
+            s["misses"] = s.get("misses", 0) + 1
+            if s["misses"] > 20:
+                raise RuntimeError(f"order statistic of {s['col']} did not converge")
         elif r < below + eq_lo:
             results[i] = int(q_lo) if integral else float(q_lo)
             del state[i]
