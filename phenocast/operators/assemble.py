@@ -89,3 +89,10 @@ def alias_locations(df: DataFrame, aliases: DataFrame, location: str = "location
     j = df.join(a, df[location] == a["_alias_key"], "left")
     return j.withColumn(location, F.coalesce(F.col("_alias"), F.col(location))) \
             .drop("_alias_key", "_alias")
+
+
+def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rename all columns by position (P5)."""
+    if len(names) != len(df.columns):
+        raise ValueError(f"{len(names)} names for {len(df.columns)} columns")
+    return df.toDF(*names)

@@ -76,3 +76,15 @@ def test_model_bundle_round_trip(spark, scratch):
     p1 = sorted(r["prediction"] for r in fitted.transform(df).collect())
     p2 = sorted(r["prediction"] for r in loaded.transform(df).collect())
     assert p1 == p2
+
+
+def test_representative_outputs_written_once(spark, scratch):
+    from phenocast.operators.assemble import rename_positional
+    clusters = spark.createDataFrame([(0, "a", 1.0, 2.0), (1, "b", 3.0, 4.0)],
+                                     "c int, l string, x double, y double")
+    clusters = rename_positional(clusters, ["cluster", "location", "lat", "long"])
+    reps = clusters.withColumn("num_obs", F.lit(1).cast("long"))
+    rows = clusters.select("cluster", "location")
+    out = writers.write_representatives(clusters, reps, rows, f"{scratch}/rep")
+    assert set(out) == {"clusters", "location", "validation"}
+    assert sorted(os.listdir(out["validation"]))[-2:] == ["cluster=0", "cluster=1"]
