@@ -101,17 +101,25 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
         vec.unpersist()
 
 
+MAX_CENTRES = 10_000
+
+
 def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
                    centre_id: str = "centre_id", out: str = "centre",
-                   dist_out: str = "dist2") -> DataFrame:
+                   dist_out: str = "dist2", max_centres: int = MAX_CENTRES) -> DataFrame:
     """Assign each point to the nearest centre by squared distance (M3).
 
-    ``centres`` holds one row per centre (k rows, k a model parameter).  They
-    are folded into one array row and broadcast; each point then picks the
+    ``centres`` holds one row per centre (k rows, k a model parameter); the
+    count is checked against ``max_centres`` before anything is broadcast.
+    They are folded into one array row and broadcast; each point then picks the
     minimum of ``struct(dist2, centre_id)`` - ties go to the smaller id - in
     one narrow projection, with no shuffle of the points.
     """
     coords = list(coords)
+    n_centres = centres.count()
+    if n_centres > max_centres:
+        raise ValueError(f"{n_centres} centres exceed the broadcast bound {max_centres}; "
+                         "nearest-centre assignment is meant for k-means sized k")
     packed = centres.agg(F.collect_list(F.struct(
         *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(coords)],
         F.col(centre_id).alias("id"))).alias("_centres"))
