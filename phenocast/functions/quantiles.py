@@ -56,34 +56,46 @@ def kth_smallest(df: DataFrame, col: str, ks: Sequence[int], rel_err: float = 1e
     return kth_smallest_many(df, [(col, k) for k in ks], rel_err, max_collect)
 
 
-def kth_smallest_many(df: DataFrame, targets: Sequence[tuple[str, int]], rel_err: float = 1e-3,
+def kth_smallest_many(df: DataFrame, targets: Sequence[tuple], rel_err: float = 1e-3,
                       max_collect: int = 100_000) -> list:
     """Exact order statistics for several ``(column, 0-based rank)`` targets at once.
 
-    Returns Python scalars in the order of ``targets``.  NaN counts as missing.
-    A rank outside ``[0, n)`` raises ``ValueError``.
+    A rank may also be a function of the column's non-null count ``n`` (for
+    example ``lambda n: (n - 1) // 2`` for the lower median); ``n`` is taken
+    from the first pass, so no separate count job is needed.  Returns Python
+    scalars in the order of ``targets``.  NaN counts as missing.  A rank
+    outside ``[0, n)`` raises ``ValueError``.
     """
     targets = list(targets)
     cols = list(dict.fromkeys(c for c, _ in targets))
     types = {c: df.schema[c].dataType for c in cols}
-    v = df.select(*[F.when(_valid(c, types[c]), F.col(c)).alias(c) for c in cols])
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    fractional = any(isinstance(types[c], (T.DoubleType, T.FloatType)) for c in cols)
+    # integral columns need no masking (NULL stays NULL); reuse a cached input as is
+    v = (df.select(*[F.when(_valid(c, types[c]), F.col(c)).alias(c) for c in cols])
+         if fractional else df.select(*cols))
+    own_cache = not (df.is_cached and not fractional)
+    if own_cache:
+        v = v.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = v.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
                       *[F.approx_count_distinct(c, 0.05).alias(f"d_{i}")
                         for i, c in enumerate(cols)]).first()
         n = {c: stats[f"n_{i}"] for i, c in enumerate(cols)}
         distinct = {c: stats[f"d_{i}"] for i, c in enumerate(cols)}
-        for c, k in targets:
-            if not 0 <= k < n[c]:
-                raise ValueError(f"rank {k} outside [0, {n[c]}) for {c}")
         results: dict[int, object] = {}
+        for i, (c, k) in enumerate(targets):
+            if callable(k) and n[c] == 0:
+                results[i] = None       # no value at all: no order statistic
+        targets = [(c, k(n[c]) if callable(k) and n[c] else k) for c, k in targets]
+        for i, (c, k) in enumerate(targets):
+            if i not in results and not 0 <= k < n[c]:
+                raise ValueError(f"rank {k} outside [0, {n[c]}) for {c}")
         # few distinct values (or few rows): fetch (value, count) pairs directly
-        small = [c for c in cols if n[c] <= max_collect or distinct[c] <= max_collect // 2]
+        small = [c for c in cols if 0 < n[c] and (n[c] <= max_collect or distinct[c] <= max_collect // 2)]
         if small:
             pairs = _value_counts(v, {c: (None, None) for c in small}, types)
             for i, (c, k) in enumerate(targets):
-                if c in small:
+                if c in small and i not in results:
                     results[i] = _walk(pairs[c], k, 0)
         state = {i: dict(col=c, k=k, lo=None, hi=None, offset=0, m=n[c], width=2 * rel_err)
                  for i, (c, k) in enumerate(targets) if i not in results}
@@ -91,7 +103,8 @@ def kth_smallest_many(df: DataFrame, targets: Sequence[tuple[str, int]], rel_err
             _narrow_round(v, state, results, types, rel_err, max_collect)
         return [results[i] for i in range(len(targets))]
     finally:
-        v.unpersist()
+        if own_cache:
+            v.unpersist()
 
 
 def _lit(x, integral: bool):

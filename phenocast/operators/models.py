@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phenocast.functions.numeric import half_even_int, hash64
-from phenocast.functions.quantiles import kth_smallest
+from phenocast.functions.quantiles import kth_smallest_many
 from phenocast.operators.stats import normalization_params, regression_metrics
 
 # The final gradient-boosting settings of the source (sklearn names
@@ -88,14 +88,14 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, s
     """Exact-size deterministic split: the ceil(f * n) smallest key hashes are 'test' (M5).
 
     No row moves: the cut value is an exact order statistic of the hash
-    (:func:`kth_smallest`), then each row compares its own hash with it.
+    (:func:`kth_smallest_many`), then each row compares its own hash with it.
     """
     with_h = df.withColumn("_h", hash64(keys, seed))
-    n = df.count()
-    n_test = int(math.ceil(test_fraction * n))
-    if n_test == 0:
+    if test_fraction <= 0:
+        return df.withColumn(out, F.lit("train"))
+    (cut,) = kth_smallest_many(with_h, [("_h", lambda n: int(math.ceil(test_fraction * n)) - 1)])
+    if cut is None:                     # no rows at all
         return df.withColumn(out, F.lit("train"))
-    (cut,) = kth_smallest(with_h, "_h", [n_test - 1])
     return (with_h.withColumn(out, F.when(F.col("_h") <= F.lit(cut), "test").otherwise("train"))
                   .drop("_h"))
 

@@ -15,6 +15,7 @@ from typing import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phenocast.functions.numeric import half_even_int, normal_z
 from phenocast.functions.quantiles import kth_smallest, kth_smallest_many
@@ -220,14 +221,12 @@ def quantile_interval(df: DataFrame, prediction: str, coverage: float = 0.99,
                       upper: str = "upper") -> DataFrame:
     """Empirical interval: the same pair of order statistics on every row.
 
-    The two ranks are found exactly with :func:`kth_smallest` (no global
+    The two ranks are found exactly with :func:`kth_smallest_many` (no global
     sort, no single-task window); the two scalars are attached as literals.
     """
-    n = df.where(F.col(prediction).isNotNull()).count()
-    if n == 0:
-        return df.withColumns({lower: F.lit(None).cast("double"), upper: F.lit(None).cast("double")})
-    k_lo, k_hi = interval_ranks(n, coverage, index_rule)
-    v_lo, v_hi = kth_smallest(df, prediction, [k_lo, k_hi])
+    v_lo, v_hi = kth_smallest_many(df, [
+        (prediction, lambda n: interval_ranks(n, coverage, index_rule)[0]),
+        (prediction, lambda n: interval_ranks(n, coverage, index_rule)[1])])
     dtype = df.schema[prediction].dataType
     return df.withColumns({lower: F.lit(v_lo).cast(dtype), upper: F.lit(v_hi).cast(dtype)})
 
@@ -250,25 +249,29 @@ def outlier_flags(df: DataFrame, cols: Sequence[str], contamination: float = 0.0
     above the discrete ``1 - contamination`` quantile of the scores, so at
     most ``contamination`` of the non-null values are flagged and ties never
     split.  Medians and cut points are exact order statistics found with
-    :func:`kth_smallest`; the flags are one narrow projection.  NULL -> False.
+    :func:`kth_smallest_many`; the flags are one narrow projection.  NULL -> False.
     """
     cols = list(cols)
     src = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = src.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(c)
-                       for c in cols]).first()
-    present = [c for c in cols if counts[c] > 0]
-    medians = dict(zip(present, kth_smallest_many(
-        src, [(c, lower_median_rank(counts[c])) for c in present])))
-    scores = src.select(*[F.abs(F.col(c) - F.lit(medians[c])).alias(c) for c in present])
+    kinds = {c: src.schema[c].dataType for c in cols}
+    meds = kth_smallest_many(src, [(c, lower_median_rank) for c in cols])
+    medians = {c: m for c, m in zip(cols, meds) if m is not None}
+    present = list(medians)
+    scores = src.select(*[F.abs(F.col(c) - F.lit(medians[c]).cast(kinds[c])).alias(c) for c in present])
+    q = 1 - contamination
     cuts = dict(zip(present, kth_smallest_many(
-        scores, [(c, upper_quantile_rank(counts[c], 1 - contamination)) for c in present])))
+        scores, [(c, lambda n, q=q: upper_quantile_rank(n, q)) for c in present])))
+    src.unpersist()
     flags = {}
     for c in cols:
         if c not in medians:
             flags[c + suffix] = F.lit(False)
             continue
-        score = F.abs(F.col(c) - F.lit(medians[c]))
-        flags[c + suffix] = F.coalesce(score > F.lit(cuts[c]), F.lit(False))
+        score = F.abs(F.col(c) - F.lit(medians[c]).cast(kinds[c]))
+        flag = score > F.lit(cuts[c]).cast(kinds[c])
+        if isinstance(kinds[c], (T.DoubleType, T.FloatType)):
+            flag = flag & ~F.isnan(c)
+        flags[c + suffix] = F.coalesce(flag, F.lit(False))
     return df.withColumns(flags)
 
 
