@@ -53,16 +53,16 @@ def fill_with_means(df: DataFrame, cols: Sequence[str] | None = None,
     Columns are cast to DOUBLE first so a fractional mean is not truncated in
     an integer column.  ``fit_on`` chooses the rows the means come from
     (default: ``df`` itself; pass the training part to avoid leakage).  The
-    means are a one-row global aggregate, broadcast to every row.
+    means are one global aggregate (partial per task); only those scalars
+    reach the driver and go back into the plan as literals.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
     src = fit_on if fit_on is not None else df
     means = src.agg(*[F.avg(F.col(c).cast("double")).alias(f"_mean_{i}")
-                      for i, c in enumerate(cols)])
-    out = df.crossJoin(F.broadcast(means))
-    out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_mean_{i}"))
+                      for i, c in enumerate(cols)]).first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"),
+                                         F.lit(means[f"_mean_{i}"]).cast("double"))
                            for i, c in enumerate(cols)})
-    return out.drop(*[f"_mean_{i}" for i in range(len(cols))])
 
 
 def training_summary(df: DataFrame, location: str = "location") -> DataFrame:

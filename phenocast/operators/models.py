@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from phenocast.functions.numeric import half_even_int, hash64
 from phenocast.functions.quantiles import kth_smallest_many
-from phenocast.operators.stats import normalization_params, regression_metrics
+from phenocast.operators.stats import normalization_params, params_dict, regression_metrics
 
 # The final gradient-boosting settings of the source (sklearn names
 # in comments), mapped to GBTRegressor parameters.
@@ -151,14 +151,11 @@ class FittedModel:
 
 def scale_with(df: DataFrame, params: DataFrame, features: Sequence[str]) -> DataFrame:
     """Scaler form with stored parameters into ``__z`` columns (constant -> 0)."""
-    wide = params.agg(*[
-        F.max(F.when(F.col("feature") == c, F.col(s))).alias(f"{c}__{s}")
-        for c in features for s in ("mean", "std")])
-    out = df.crossJoin(F.broadcast(wide))
-    out = out.withColumns({
-        f"{c}__z": (F.col(c).cast("double") - F.col(f"{c}__mean"))
-        / F.coalesce(F.nullif(F.col(f"{c}__std"), F.lit(0.0)), F.lit(1.0)) for c in features})
-    return out.drop(*[f"{c}__{s}" for c in features for s in ("mean", "std")])
+    p = params_dict(params, features)
+    return df.withColumns({
+        f"{c}__z": (F.col(c).cast("double") - F.lit(p[c][0]).cast("double"))
+        / F.coalesce(F.nullif(F.lit(p[c][1]).cast("double"), F.lit(0.0)), F.lit(1.0))
+        for c in features})
 
 
 def make_estimator(kind: str = "gbt", label: str = "label", settings: dict | None = None,

@@ -110,19 +110,20 @@ def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
     """Assign each point to the nearest centre by squared distance (M3).
 
     ``centres`` holds one row per centre (k rows, k a model parameter); the
-    count is checked against ``max_centres`` before anything is broadcast.
-    They are folded into one array row and broadcast; each point then picks the
-    minimum of ``struct(dist2, centre_id)`` - ties go to the smaller id - in
-    one narrow projection, with no shuffle of the points.
+    count is checked against ``max_centres`` before they are fetched.  They
+    become one constant array in the plan; each point then picks the minimum
+    of ``struct(dist2, centre_id)`` - ties go to the smaller id - in one
+    narrow projection, with no join and no shuffle of the points.
     """
     coords = list(coords)
     n_centres = centres.count()
     if n_centres > max_centres:
         raise ValueError(f"{n_centres} centres exceed the broadcast bound {max_centres}; "
                          "nearest-centre assignment is meant for k-means sized k")
-    packed = centres.agg(F.collect_list(F.struct(
-        *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(coords)],
-        F.col(centre_id).alias("id"))).alias("_centres"))
+    cent = centres.select(centre_id, *[F.col(c).cast("double").alias(c) for c in coords]).collect()
+    # the (checked, bounded) centres become one constant array in the plan
+    lits = F.array(*[F.struct(*[F.lit(r[c]).cast("double").alias(f"c{i}") for i, c in enumerate(coords)],
+                              F.lit(r[centre_id]).alias("id")) for r in cent])
 
     def score(c):
         d2 = None
@@ -131,11 +132,10 @@ def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
             d2 = diff * diff if d2 is None else d2 + diff * diff
         return F.struct(d2.alias("d2"), c["id"].alias("id"))
 
-    best = F.array_min(F.transform("_centres", score))
-    return (points.crossJoin(F.broadcast(packed))
-                  .withColumn("_best", best)
+    best = F.array_min(F.transform(lits, score))
+    return (points.withColumn("_best", best)
                   .withColumns({out: F.col("_best.id"), dist_out: F.col("_best.d2")})
-                  .drop("_best", "_centres"))
+                  .drop("_best"))
 
 
 def representative_locations(data: DataFrame, location: str = "location", lat: str = "lat",

@@ -1,9 +1,9 @@
 """Scaling, moments, correlation, metrics, intervals, outlier flags.
 
 (A7-A12, A14, P16-P19, I1-I3, M1, M12.)  All global statistics are one-row
-aggregates - partial per task, one row per task through the exchange - that
-are broadcast back to the rows (a one-row table has a proven size bound), so
-no row ever moves for them.
+aggregates - partial per task, one row per task through the exchange.  Only
+those scalars reach the driver; they return to the plan as literals, so
+applying them is a narrow projection and no row ever moves for them.
 """
 
 from __future__ import annotations
@@ -39,42 +39,50 @@ def normalization_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def _wide_params(params: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long (feature, mean, std) -> the one-row wide form of :func:`column_moments`."""
-    aggs = []
-    for c in cols:
-        aggs += [F.max(F.when(F.col("feature") == c, F.col("mean"))).alias(f"{c}__mean"),
-                 F.max(F.when(F.col("feature") == c, F.col("std"))).alias(f"{c}__std")]
-    return params.agg(*aggs)
+def params_dict(params: DataFrame, cols: Sequence[str]) -> dict:
+    """Long (feature, mean, std) table -> {feature: (mean, std)} for the given features.
+
+    The table has one row per feature, so fetching it is bounded by the
+    number of features.
+    """
+    rows = params.where(F.col("feature").isin(list(cols))).select("feature", "mean", "std").collect()
+    return {r["feature"]: (r["mean"], r["std"]) for r in rows}
+
+
+def _lit_double(x) -> Column:
+    return F.lit(x).cast("double")
 
 
 def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
                 suffix: str = "") -> DataFrame:
-    """Scaler form: ``(x - mean) / std`` with population std; constant column -> 0 (M1)."""
-    params = column_moments(fit_on if fit_on is not None else df, cols)
-    out = df.crossJoin(F.broadcast(params))
-    out = out.withColumns({
-        f"{c}{suffix}": (F.col(c).cast("double") - F.col(f"{c}__mean"))
-        / F.coalesce(F.nullif(F.col(f"{c}__std"), F.lit(0.0)), F.lit(1.0))
+    """Scaler form: ``(x - mean) / std`` with population std; constant column -> 0 (M1).
+
+    The moments are one global aggregate; the scalars go back as literals,
+    so scaling is a narrow projection.
+    """
+    m = column_moments(fit_on if fit_on is not None else df, cols).first()
+    return df.withColumns({
+        f"{c}{suffix}": (F.col(c).cast("double") - _lit_double(m[f"{c}__mean"]))
+        / F.coalesce(F.nullif(_lit_double(m[f"{c}__std"]), F.lit(0.0)), F.lit(1.0))
         for c in cols})
-    return out.drop(*[f"{c}__{s}" for c in cols for s in ("mean", "std")])
 
 
 def normalize_with_params(df: DataFrame, params: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Stored-parameter form: ``try_divide(x - mean, std)``; std 0 -> NULL.
 
-    ``params`` is the long (feature, mean, std) table; it is folded into one
-    row and broadcast.  A feature missing from ``params`` raises.
+    ``params`` is the long (feature, mean, std) table.  A feature missing from
+    the rows raises (schema check instead of a type guard).
     """
     missing = set(cols) - set(df.columns)
     if missing:
         raise ValueError(f"rows lack feature columns: {sorted(missing)}")
-    wide = _wide_params(params, cols)
-    out = df.crossJoin(F.broadcast(wide))
-    out = out.withColumns({
-        c: F.try_divide(F.col(c).cast("double") - F.col(f"{c}__mean"), F.col(f"{c}__std"))
+    p = params_dict(params, cols)
+    absent = set(cols) - set(p)
+    if absent:
+        raise ValueError(f"no stored parameters for: {sorted(absent)}")
+    return df.withColumns({
+        c: F.try_divide(F.col(c).cast("double") - _lit_double(p[c][0]), _lit_double(p[c][1]))
         for c in cols})
-    return out.drop(*[f"{c}__{s}" for c in cols for s in ("mean", "std")])
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -84,11 +92,10 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     for c in cols:
         aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__min"),
                  F.max(F.col(c).cast("double")).alias(f"{c}__max")]
-    out = df.crossJoin(F.broadcast(src.agg(*aggs)))
-    out = out.withColumns({
-        c: F.try_divide(F.col(c).cast("double") - F.col(f"{c}__min"),
-                        F.col(f"{c}__max") - F.col(f"{c}__min")) for c in cols})
-    return out.drop(*[f"{c}__{s}" for c in cols for s in ("min", "max")])
+    r = src.agg(*aggs).first()
+    return df.withColumns({
+        c: F.try_divide(F.col(c).cast("double") - _lit_double(r[f"{c}__min"]),
+                        _lit_double(r[f"{c}__max"]) - _lit_double(r[f"{c}__min"])) for c in cols})
 
 
 # --------------------------------------------------------------------------- correlation
@@ -184,12 +191,10 @@ def normal_interval(df: DataFrame, prediction: str, tail_alpha: float = 0.05,
     rows are read twice (global spread, then the rows).
     """
     z = normal_z(tail_alpha)
-    spread = df.agg(F.stddev_pop(F.col(prediction).cast("double")).alias("_spread"))
-    half = F.lit(z) * F.col("_spread")
+    spread = df.agg(F.stddev_pop(F.col(prediction).cast("double")).alias("s")).first()["s"]
+    half = F.lit(z) * _lit_double(spread)
     p = F.col(prediction).cast("double")
-    return (df.crossJoin(F.broadcast(spread))
-              .withColumns({lower: half_even_int(p - half), upper: half_even_int(p + half)})
-              .drop("_spread"))
+    return df.withColumns({lower: half_even_int(p - half), upper: half_even_int(p + half)})
 
 
 def final_predictions(df: DataFrame, prediction: str, out: str = "prediction",

@@ -96,11 +96,12 @@ def q_two_stage_selection(spark, d):
     _, _, test, _ = model_data(spark, d)
     selected, cut = _selection(spark, d)
     refit = fitted(spark, d, "gbt", selected)
-    metrics = models.evaluate(refit, test, LABEL)
-    return cut.crossJoin(F.broadcast(metrics)).select(
+    m = models.evaluate(refit, test, LABEL).first()
+    return cut.select(
         "feature", "rank", F.round("score", 6).alias("score"),
-        F.round("cum_score", 6).alias("cum_score"), "n",
-        F.round("mse", 6).alias("mse"), F.round("r2", 6).alias("r2"))
+        F.round("cum_score", 6).alias("cum_score"), F.lit(m["n"]).cast("long").alias("n"),
+        F.round(F.lit(m["mse"]).cast("double"), 6).alias("mse"),
+        F.round(F.lit(m["r2"]).cast("double"), 6).alias("r2"))
 
 
 @register("model_comparison")

@@ -142,9 +142,8 @@ def importances(spark, d) -> DataFrame:
     p = table(spark, d, "part")
     cents = F.rint(F.col("p_retailprice") * 100).cast("bigint")
     by_brand = p.groupBy(F.col("p_brand").alias("feature")).agg(F.sum(cents).alias("_s"))
-    total = p.agg(F.sum(cents).alias("_t"))
-    return (by_brand.crossJoin(F.broadcast(total))
-            .select("feature", (F.col("_s") / F.col("_t")).alias("score")))
+    total = p.agg(F.sum(cents).alias("_t")).first()["_t"]
+    return by_brand.select("feature", (F.col("_s").cast("double") / F.lit(float(total))).alias("score"))
 
 
 def sentinels(spark, d) -> DataFrame:
