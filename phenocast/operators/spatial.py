@@ -118,7 +118,7 @@ def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
     coords = list(coords)
     n_centres = centres.count()
     if n_centres > max_centres:
-        raise ValueError(f"{n_centres} centres exceed the broadcast bound {max_centres}; "
+        raise ValueError(f"{n_centres} centres exceed the bound {max_centres}; "
                          "nearest-centre assignment is meant for k-means sized k")
     cent = centres.select(centre_id, *[F.col(c).cast("double").alias(c) for c in coords]).collect()
     # the (checked, bounded) centres become one constant array in the plan

@@ -139,9 +139,9 @@ def q_score_batch(spark, d):
     save_model_bundle(model, path)
     loaded = load_model_bundle(spark, path)
     wide = V.weather_wide(spark, d)
-    latest = wide.agg(F.max("year").alias("_y"))
-    new_rows = (wide.join(F.broadcast(latest), wide.year == latest._y)
-                .drop("_y").withColumn("target_year", F.col("year") + 1))
+    latest = wide.agg(F.max("year").alias("_y")).first()["_y"]
+    new_rows = (wide.where(F.col("year") == F.lit(latest))
+                .withColumn("target_year", F.col("year") + 1))
     filled = assemble.fill_with_means(new_rows, loaded.features)
     pred = loaded.transform(filled, "_raw").persist(StorageLevel.MEMORY_AND_DISK)
     out = stats.final_predictions(pred, "_raw", "prediction", tail_alpha=0.75)
