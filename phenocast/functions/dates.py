@@ -48,8 +48,12 @@ def parse_mixed_date(text: Column | str, year: Column | str | None = None,
 
 
 def parse_timestamp(text: Column | str, fmt: str = SUN_TIMESTAMP) -> Column:
-    """Text -> TIMESTAMP with a fixed pattern (NULL when it does not match)."""
-    return F.try_to_timestamp(_col(text), F.lit(fmt))
+    """Text -> wall-clock TIMESTAMP_NTZ with a fixed pattern (NULL when it does not match).
+
+    Local times without a zone stay zone-free, so differences between them do
+    not depend on the session time zone or its daylight-saving shifts.
+    """
+    return F.try_to_timestamp(_col(text), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def day_length_seconds(sunrise: Column | str, sunset: Column | str) -> Column:
