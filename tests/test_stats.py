@@ -100,3 +100,18 @@ def test_hash_split_exact_size(spark):
     assert out.where("split = 'test'").count() == math.ceil(0.2 * 1001)
     again = models.hash_split(df, ["k"], 0.2, 42)
     assert out.exceptAll(again).count() == 0
+
+
+def test_scaled_columns_have_mean_zero_spread_one(spark):
+    df = spark.range(500).select((F.col("id") % 37 * 1.5).alias("a"), (F.col("id") % 11).alias("b"))
+    out = stats.standardize(df, ["a", "b"])
+    r = out.agg(F.avg("a").alias("ma"), F.stddev_pop("a").alias("sa"),
+                F.avg("b").alias("mb"), F.stddev_pop("b").alias("sb")).first()
+    assert abs(r["ma"]) < 1e-12 and abs(r["mb"]) < 1e-12
+    assert r["sa"] == pytest.approx(1.0) and r["sb"] == pytest.approx(1.0)
+
+
+def test_minmax_range(spark):
+    df = spark.range(50).select((F.col("id") * 3 - 7).alias("x"))
+    r = stats.minmax_scale(df, ["x"]).agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    assert (r["lo"], r["hi"]) == (0.0, 1.0)
