@@ -83,7 +83,8 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
     k = min(n, max_k)
     if k == 1:
         return points.withColumn(cluster, F.lit(0))
-    base = standardize(points, coords, suffix="__z") if scale else points
+    from phenocast.operators.models import right_sized
+    base = standardize(right_sized(points), coords, suffix="__z") if scale else right_sized(points)
     src = [f"{c}__z" for c in coords] if scale else coords
     vec = VectorAssembler(inputCols=src, outputCol="_features").transform(base)
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
