@@ -85,6 +85,15 @@ def normalize_with_params(df: DataFrame, params: DataFrame, cols: Sequence[str])
         for c in cols})
 
 
+def minmax_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Long table (feature, min, max) in one aggregation pass."""
+    one = df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__min") for c in cols],
+                 *[F.max(F.col(c).cast("double")).alias(f"{c}__max") for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}__min").alias("min"),
+                              F.col(f"{c}__max").alias("max")) for c in cols])
+    return one.select(F.inline(rows))
+
+
 def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """``(x - min) / (max - min)``; constant column -> NULL."""
     src = fit_on if fit_on is not None else df

@@ -254,3 +254,46 @@ def q_linear_regression(spark, d):
     return spark.createDataFrame(
         [(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4), int(m.summary.numInstances))],
         "slope double, intercept double, n bigint")
+
+
+# ---------------------------------------------------------------- more exact checks
+@register("filter_counts", with_views("features").rstrip() + ",\n" + _outlier_ctes() + f""",
+flags AS (SELECT {_FLAGS_SQL} FROM features)
+SELECT count(*) AS rows_before,
+       CAST(count_if(NOT ((""" + " + ".join(f"CAST({c}_outlier AS INTEGER)" for c in FEATURES)
+          + f") / {len(FEATURES)} > 0.1)) AS BIGINT) AS rows_after FROM flags")
+def q_filter_counts(spark, d):
+    f = _features(spark, d).select(*KEYS, *FEATURES)
+    flagged = stats.outlier_flags(f, FEATURES)
+    return stats.filter_counts(flagged, [c + "_outlier" for c in FEATURES], 0.10)
+
+
+@register("rounded_metrics", with_views("scores") + """
+SELECT count(*) AS n,
+       round(avg((y - round_even(prediction, 0)) * (y - round_even(prediction, 0))), 6) AS mse,
+       round(1 - sum((y - round_even(prediction, 0)) * (y - round_even(prediction, 0)))
+                 / (count(*) * var_pop(y)), 6) AS r2
+FROM scores""")
+def q_rounded_metrics(spark, d):
+    return R6(stats.rounded_metrics(V.scores(spark, d), "y", "prediction"))
+
+
+@register("quantile_interval_legacy", with_views("scores") + """
+SELECT s.o_orderkey, s.prediction, b.lower, b.upper
+FROM scores s CROSS JOIN (
+  SELECT max(CASE WHEN rn = CAST(floor((1 - CAST(0.99 AS DOUBLE)) / 2 * n) AS BIGINT) + 1
+                  THEN prediction END) AS lower,
+         max(CASE WHEN rn = LEAST(CAST(floor((1 + CAST(0.99 AS DOUBLE)) / 2 * n) AS BIGINT), n - 1) + 1
+                  THEN prediction END) AS upper
+  FROM (SELECT prediction, row_number() OVER (ORDER BY prediction) AS rn, count(*) OVER () AS n
+        FROM scores) r) b""")
+def q_quantile_interval_legacy(spark, d):
+    s = V.scores(spark, d).select("o_orderkey", "prediction")
+    return stats.quantile_interval(s, "prediction", coverage=0.5, index_rule="legacy")
+
+
+@register("minmax_params", with_views("features") + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max "
+    f"FROM features" for c in FEATURES))
+def q_minmax_params(spark, d):
+    return stats.minmax_params(_features(spark, d), FEATURES)
