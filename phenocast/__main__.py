@@ -86,7 +86,8 @@ def main(argv=None) -> int:
     elif a.cmd == "score":
         fitted = load_model_bundle(spark, a.model)
         rows = readers.read_csv(spark, a.input_csv, schemas.SCORING_INPUT)
-        out = pipeline.predictions_table(fitted, rows)
+        scored = fitted.transform(rows, "_raw").persist()
+        out = pipeline.predictions_table(fitted, rows, scored=scored)
         writers.write_csv(out.coalesce(1), writers.run_output_path(a.out_base))
     return 0
 

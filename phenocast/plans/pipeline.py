@@ -75,14 +75,15 @@ def aliases_table(spark: SparkSession) -> DataFrame:
 
 
 def predictions_table(fitted, new_rows: DataFrame, location: str = "location",
-                      alias: bool = True) -> DataFrame:
+                      alias: bool = True, scored: DataFrame | None = None) -> DataFrame:
     """Score new feature rows: rounded prediction with its interval (step 5).
 
-    Rows keep their own location (no positional re-attachment); the
-    predictions are persisted because the interval needs a global spread
-    over them and then the rows again.
+    Rows keep their own location (no positional re-attachment).  The
+    interval needs a global spread over the predictions and then the rows
+    again, so pass ``scored`` (the persisted or checkpointed output of
+    ``fitted.transform(new_rows, "_raw")``) to avoid scoring twice.
     """
-    pred = fitted.transform(new_rows, "_raw").persist()
+    pred = scored if scored is not None else fitted.transform(new_rows, "_raw")
     out = stats.final_predictions(pred, "_raw", "prediction", tail_alpha=0.75)
     out = out.select(location, "prediction", "lower", "upper")
     if alias:

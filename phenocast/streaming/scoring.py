@@ -37,9 +37,14 @@ def score_stream(spark: SparkSession, input_dir: str, model_path: str, output_di
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        out = predictions_table(fitted, batch.select("location", *fitted.features))
-        # a batch that is replayed after a failure rewrites its own folder
-        write_csv(out, f"{output_dir.rstrip('/')}/batch={batch_id}", mode="overwrite")
+        rows = batch.select("location", *fitted.features)
+        scored = fitted.transform(rows, "_raw").persist()
+        try:
+            out = predictions_table(fitted, rows, scored=scored)
+            # a batch that is replayed after a failure rewrites its own folder
+            write_csv(out, f"{output_dir.rstrip('/')}/batch={batch_id}", mode="overwrite")
+        finally:
+            scored.unpersist()
 
     ckpt = checkpoint or shared_scratch_path(spark, "phenocast-stream-scoring")
     writer = rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", ckpt)
