@@ -259,8 +259,11 @@ SELECT lat, long, location, obs_date, obs_id FROM (
 WHERE rn = 1""")
 def q_dedupe_points(spark, d):
     c = V.table(spark, d, "customer")
-    yes = V.status_obs(spark, d).where(F.col("status") == 1).join(
-        c, F.col("site_id") == c.c_custkey).select(
+    obs = V.status_obs(spark, d).where(F.col("status") == 1)
+    # a site has one point: keep its first observation before the join (exact,
+    # the same order decides both steps) so the join moves one row per site
+    per_site = phenology.first_per_group(obs, ["site_id"], ["obs_date", "obs_id"], carry=[])
+    yes = per_site.join(c, F.col("site_id") == c.c_custkey).select(
         (F.col("c_acctbal") / 100).alias("lat"),
         (F.col("c_custkey") % 360 - 180).cast("double").alias("long"),
         F.col("site_id").cast("string").alias("location"), "obs_date", "obs_id")

@@ -57,15 +57,18 @@ def status_obs(spark, d) -> DataFrame:
 def bloom(spark, d) -> DataFrame:
     c = table(spark, d, "customer").select(
         F.col("c_custkey").alias("site_id"), "c_nationkey", "c_acctbal")
-    yes = (status_obs(spark, d).where(F.col("status") == 1).join(c, "site_id")
-           .select(F.col("c_nationkey").cast("string").alias("location"),
-                   F.year("obs_date").cast("int").alias("year"),
-                   "day_of_year", "obs_date", "obs_id",
-                   (F.col("c_acctbal") / 100).alias("lat"),
-                   (F.col("site_id") % 360 - 180).cast("double").alias("long"),
-                   (F.col("c_acctbal") / 10).alias("alt")))
-    first = first_per_group(yes, ["location", "year"], ["day_of_year", "obs_date", "obs_id"],
-                            carry=["lat", "long", "alt"])
+    order = ["day_of_year", "obs_date", "obs_id"]
+    yes = (status_obs(spark, d).where(F.col("status") == 1)
+           .withColumn("year", F.year("obs_date").cast("int")))
+    # pre-aggregate: the first yes of each (site, year) before the join, so the
+    # join moves one row per site and year instead of every observation
+    per_site = first_per_group(yes, ["site_id", "year"], order, carry=[])
+    rows = per_site.join(c, "site_id").select(
+        F.col("c_nationkey").cast("string").alias("location"), "year", *order,
+        (F.col("c_acctbal") / 100).alias("lat"),
+        (F.col("site_id") % 360 - 180).cast("double").alias("long"),
+        (F.col("c_acctbal") / 10).alias("alt"))
+    first = first_per_group(rows, ["location", "year"], order, carry=["lat", "long", "alt"])
     return first.select("location", "year", F.col("day_of_year").alias("bloom_doy"),
                         "lat", "long", F.col("obs_date").alias("bloom_date"), "alt")
 
