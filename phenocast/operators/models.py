@@ -162,10 +162,12 @@ def make_estimator(kind: str = "gbt", label: str = "label", settings: dict | Non
                    seed: int = 42):
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
     common = dict(featuresCol="_features", labelCol=label, predictionCol="_prediction")
+    # cut the lineage of the per-tree state every 10 trees (needs spark.checkpoint.dir)
+    ckpt = {"checkpointInterval": 10}
     if kind == "gbt":
-        return GBTRegressor(**common, seed=seed, **{**GBT_SETTINGS, **(settings or {})})
+        return GBTRegressor(**common, seed=seed, **{**ckpt, **GBT_SETTINGS, **(settings or {})})
     if kind == "rf":
-        return RandomForestRegressor(**common, seed=seed, **{**RF_SETTINGS, **(settings or {})})
+        return RandomForestRegressor(**common, seed=seed, **{**ckpt, **RF_SETTINGS, **(settings or {})})
     if kind == "linear":
         return LinearRegression(**common, solver="normal", **(settings or {}))
     raise ValueError(f"unknown model kind {kind!r}")

@@ -81,3 +81,23 @@ def test_day_of_year_check(spark):
     df = spark.createDataFrame([(dt.date(2020, 3, 1), 61), (dt.date(2021, 3, 1), 61)], "d date, doy int")
     out = [r["doy_matches"] for r in phenology.day_of_year_check(df, "d", "doy").orderBy("d").collect()]
     assert out == [True, False]      # 2020 is a leap year
+
+
+def test_hot_key_first_event_is_exact(spark):
+    # one group holds a third of all rows, spread over every input partition
+    df = spark.range(0, 30000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 1000).cast("int")).alias("Species_ID"),
+        F.lit(7).alias("Site_ID"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") * 7919 % 300).cast("int")).alias("Observation_Date"),
+        F.lit(0).alias("Day_of_Year"),
+        F.lit(1).alias("Phenophase_Status"),
+        (F.col("id") * 1.0).alias("Latitude"))
+    df = df.withColumn("Day_of_Year", F.dayofyear("Observation_Date"))
+    got = {r["Species_ID"]: (r["Day_of_Year"], r["Latitude"]) for r in first(df).collect()}
+    rows = df.collect()
+    want = {}
+    for r in rows:
+        key = (r["Day_of_Year"], r["Observation_Date"], r["Latitude"])
+        if r["Species_ID"] not in want or key < want[r["Species_ID"]]:
+            want[r["Species_ID"]] = key
+    assert got == {k: (v[0], v[2]) for k, v in want.items()}
