@@ -20,7 +20,7 @@ def _features(spark, d):
 
 # ---------------------------------------------------------------- moments & scaling
 @register("normalization_params", with_views("features") + "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS feature, avg({c}) AS mean, round(stddev_pop({c}), 6) AS std FROM features"
+    f"SELECT '{c}' AS feature, {V.mean_sql(c)} AS mean, round(stddev_pop({c}), 6) AS std FROM features"
     for c in FEATURES))
 def q_normalization_params(spark, d):
     params = stats.normalization_params(_features(spark, d), FEATURES)
@@ -36,7 +36,7 @@ def _scaled_sql(form: str) -> str:
     return cols
 
 
-_PARAMS_SQL = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES)
+_PARAMS_SQL = ", ".join(f"{V.mean_sql(c)} AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES)
 
 
 @register("standardize", with_views("features") + f"""
@@ -70,9 +70,14 @@ def q_minmax_scale(spark, d):
 
 @register("fill_with_means", with_views("sentinels") + """
 SELECT l_orderkey, l_linenumber,
-       COALESCE(CAST(quantity AS DOUBLE), avg(quantity) OVER ()) AS quantity,
-       COALESCE(CAST(NULLIF(discount_pct, 0) AS DOUBLE), avg(NULLIF(discount_pct, 0)) OVER ()) AS discount_pct,
-       COALESCE(CAST(NULLIF(tax_pct, 0) AS DOUBLE), avg(NULLIF(tax_pct, 0)) OVER ()) AS tax_pct
+       COALESCE(CAST(quantity AS DOUBLE),
+                CAST(sum(quantity) OVER () AS DOUBLE) / CAST(count(quantity) OVER () AS DOUBLE)) AS quantity,
+       COALESCE(CAST(NULLIF(discount_pct, 0) AS DOUBLE),
+                CAST(sum(NULLIF(discount_pct, 0)) OVER () AS DOUBLE)
+                / CAST(count(NULLIF(discount_pct, 0)) OVER () AS DOUBLE)) AS discount_pct,
+       COALESCE(CAST(NULLIF(tax_pct, 0) AS DOUBLE),
+                CAST(sum(NULLIF(tax_pct, 0)) OVER () AS DOUBLE)
+                / CAST(count(NULLIF(tax_pct, 0)) OVER () AS DOUBLE)) AS tax_pct
 FROM sentinels""")
 def q_fill_with_means(spark, d):
     from phenocast.functions.numeric import sentinel_to_null
