@@ -14,7 +14,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from phenocast.functions.numeric import half_even_int, round_doubles
+from phenocast.functions.numeric import round_doubles
 from phenocast.operators import assemble, models, spatial, stats
 from phenocast.plans import standins as V
 from phenocast.plans.pipeline import training_set
