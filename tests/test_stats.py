@@ -115,3 +115,14 @@ def test_minmax_range(spark):
     df = spark.range(50).select((F.col("id") * 3 - 7).alias("x"))
     r = stats.minmax_scale(df, ["x"]).agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     assert (r["lo"], r["hi"]) == (0.0, 1.0)
+
+
+def test_wide_correlation_matches_pairwise(spark):
+    df = spark.range(300).select((F.col("id") % 17).cast("double").alias("a"),
+                                 ((F.col("id") * 7) % 23).cast("double").alias("b"),
+                                 (F.col("id") % 17 * 2 + (F.col("id") % 3)).cast("double").alias("c"))
+    pair = {(r["feature_a"], r["feature_b"]): r["corr"] for r in stats.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    wide = {(r["feature_a"], r["feature_b"]): r["corr"] for r in stats.correlation_matrix_wide(df, ["a", "b", "c"]).collect()}
+    assert set(pair) == set(wide)
+    for k in pair:
+        assert wide[k] == pytest.approx(pair[k], abs=1e-9)
