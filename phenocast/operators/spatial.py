@@ -67,11 +67,12 @@ def representative_rows(data: DataFrame, reps: DataFrame, location: str = "locat
 
 def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
                     restarts: int = 10, seed: int = 42, cluster: str = "cluster",
-                    max_iter: int = 300, scale: bool = True) -> DataFrame:
+                    max_iter: int = 300, scale: bool = True, parallelism: int = 4) -> DataFrame:
     """KMeans on (population-)standardized coordinates, best of ``restarts`` (M2).
 
     k = min(number of points, ``max_k``).  Each restart is a distributed
-    MLlib fit with its own seed; the one with the lowest training cost wins.
+    MLlib fit with its own seed (``parallelism`` of them submitted at once);
+    the one with the lowest training cost wins, ties to the first seed.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
@@ -88,14 +89,19 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
     src = [f"{c}__z" for c in coords] if scale else coords
     vec = VectorAssembler(inputCols=src, outputCol="_features").transform(base)
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
-    best, best_cost = None, None
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit(i):
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="_features",
+                       predictionCol=cluster).fit(vec)
+        return model.summary.trainingCost, i, model
+
     try:
-        for i in range(restarts):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="_features",
-                           predictionCol=cluster).fit(vec)
-            cost = model.summary.trainingCost
-            if best_cost is None or cost < best_cost:
-                best, best_cost = model, cost
+        vec.count()
+        # restarts are independent distributed fits: submit them concurrently
+        with ThreadPoolExecutor(max_workers=min(restarts, parallelism)) as pool:
+            fits = list(pool.map(fit, range(restarts)))
+        _, _, best = min(fits, key=lambda t: (t[0], t[1]))
         out = best.transform(vec).withColumn(cluster, F.col(cluster).cast("int"))
         return out.drop("_features", *(src if scale else []))
     finally:
