@@ -156,7 +156,25 @@ def representative_locations(data: DataFrame, location: str = "location", lat: s
     every input row of the representatives tagged with its cluster.
     ``mode='columnwise_max'`` reproduces the source's column-wise maximum;
     ``'most_observed'`` picks the real location with most observations.
+
+    ``group`` (e.g. a country or source-file column) clusters each group on
+    its own, as the source does per input file: one distributed KMeans fit
+    per group value, the group columns kept as keys of all three outputs.
     """
+    group = list(group)
+    if group:
+        from functools import reduce
+        # one row per group value (countries / files): a bounded fetch
+        values = [tuple(r) for r in data.select(*group).distinct().collect()]
+        outs = []
+        for v in values:
+            cond = reduce(lambda a, b: a & b,
+                          [F.col(g).eqNullSafe(F.lit(x)) for g, x in zip(group, v)])
+            sub = representative_locations(data.where(cond), location, lat, long, order, mode, (),
+                                           max_k, restarts, seed)
+            outs.append([t.withColumns({g: F.lit(x) for g, x in zip(group, v)})
+                         .select(*group, *[c for c in t.columns if c not in group]) for t in sub])
+        return tuple(reduce(lambda a, b: a.unionByName(b), [o[i] for o in outs]) for i in range(3))
     counts = obs_per_location(data, location)
     points = dedupe_points(data, [lat, long], [*order, location]).select(location, lat, long)
     clusters = kmeans_clusters(points, [lat, long], max_k=max_k, restarts=restarts,

@@ -74,3 +74,13 @@ def test_nearest_centre_brute_force(spark):
         x, y = float(i % 7), float(i % 5)
         want = min(cl, key=lambda c: ((x - c[1]) ** 2 + (y - c[2]) ** 2, c[0]))[0]
         assert got[i] == want
+
+
+def test_representatives_per_group(spark):
+    bloom = frame(spark, USA_BLOOM_CSV, BLOOM).withColumn(
+        "country", F.when(F.col("long") > -100, "east").otherwise("west"))
+    clusters, reps, rows = spatial.representative_locations(bloom, group=["country"], restarts=1)
+    assert set(reps.columns) >= {"country", "cluster", "location", "num_obs"}
+    per = {r["country"]: r["n"] for r in reps.groupBy("country").agg(F.count("*").alias("n")).collect()}
+    assert set(per) == {"east", "west"} and all(1 <= n <= 5 for n in per.values())
+    assert clusters.count() == 92
