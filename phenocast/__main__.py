@@ -1,7 +1,7 @@
 """Command line: the pipeline steps on raw files.
 
     python -m phenocast bloom STATUS_CSV OUT_DIR [--site S --species P]
-    python -m phenocast representatives BLOOM_CSV OUT_DIR [--mode columnwise_max|most_observed]
+    python -m phenocast representatives BLOOM_CSV OUT_DIR [--mode columnwise_max|most_observed] [--by-file]
     python -m phenocast features WEATHER_DIR OUT_DIR
     python -m phenocast training BLOOM_DIR WEATHER_FEATURES OUT_DIR
     python -m phenocast train TRAINING OUT_MODEL [--threshold 0.9]
@@ -39,6 +39,8 @@ def main(argv=None) -> int:
     r.add_argument("bloom_csv"); r.add_argument("out")
     r.add_argument("--mode", default="columnwise_max", choices=["columnwise_max", "most_observed"])
     r.add_argument("--restarts", type=int, default=10)
+    r.add_argument("--by-file", action="store_true",
+                   help="BLOOM_CSV is a folder; cluster each file on its own")
     f = sub.add_parser("features", help="daily weather files -> monthly feature table")
     f.add_argument("weather_dir"); f.add_argument("out")
     t = sub.add_parser("training", help="bloom files + weather features -> training set")
@@ -65,8 +67,13 @@ def main(argv=None) -> int:
         else:
             writers.write_csv(pipeline.bloom_from_status(obs), a.out)
     elif a.cmd == "representatives":
-        bloom = readers.read_bloom(spark, a.bloom_csv)
-        clusters, reps, rows = spatial.representative_locations(bloom, mode=a.mode, restarts=a.restarts)
+        if a.by_file:
+            bloom = readers.read_bloom(spark, a.bloom_csv, key="source_file")
+            group = ["source_file"]
+        else:
+            bloom, group = readers.read_bloom(spark, a.bloom_csv), []
+        clusters, reps, rows = spatial.representative_locations(
+            bloom, mode=a.mode, restarts=a.restarts, group=group)
         writers.write_representatives(clusters, reps, rows, a.out)
     elif a.cmd == "features":
         wide = pipeline.weather_feature_table(readers.read_weather_daily(spark, a.weather_dir))
