@@ -74,7 +74,7 @@ def main(argv=None) -> int:
             bloom, group = readers.read_bloom(spark, a.bloom_csv), []
         clusters, reps, rows = spatial.representative_locations(
             bloom, mode=a.mode, restarts=a.restarts, group=group)
-        writers.write_representatives(clusters, reps, rows, a.out)
+        writers.write_representatives(clusters, reps, rows, a.out, group=group)
     elif a.cmd == "features":
         wide = pipeline.weather_feature_table(readers.read_weather_daily(spark, a.weather_dir))
         writers.write_csv(wide, a.out)

@@ -44,7 +44,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_representatives(clusters: DataFrame, reps: DataFrame, rows: DataFrame, base: str,
-                          fmt: str = "csv", mode: str = "errorifexists") -> dict:
+                          fmt: str = "csv", mode: str = "errorifexists",
+                          group: Sequence[str] = ()) -> dict:
     """The three outputs of representative selection.
 
     They share one lineage, so the cluster assignment is persisted once and
@@ -56,7 +57,7 @@ def write_representatives(clusters: DataFrame, reps: DataFrame, rows: DataFrame,
     out = {
         "clusters": write(clusters, f"{base}/clusters", mode=mode),
         "location": write(reps, f"{base}/location", mode=mode),
-        "validation": write(rows, f"{base}/validation", partition_by=["cluster"], mode=mode),
+        "validation": write(rows, f"{base}/validation", partition_by=[*group, "cluster"], mode=mode),
     }
     clusters.unpersist()
     return out

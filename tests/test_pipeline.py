@@ -76,3 +76,17 @@ def test_cli_features_training_score(spark, scratch):
     (run,) = os.listdir(f"{scratch}/out")
     out = spark.read.option("header", True).csv(f"{scratch}/out/{run}").collect()
     assert sorted(r["location"] for r in out) == ["kyoto", "newyorkcity"]
+
+
+def test_cli_representatives_by_file(spark, scratch):
+    from phenocast.__main__ import main
+    from tests.golden_data import USA_BLOOM_CSV
+    os.makedirs(f"{scratch}/bloom")
+    lines = USA_BLOOM_CSV.strip().splitlines()
+    for name, chunk in [("usa_a", lines[1:60]), ("usa_b", lines[60:])]:
+        with open(f"{scratch}/bloom/{name}.csv", "w") as f:
+            f.write(lines[0] + "\n" + "\n".join(chunk) + "\n")
+    assert main(["representatives", f"{scratch}/bloom", f"{scratch}/rep", "--by-file", "--restarts", "1"]) == 0
+    assert sorted(os.listdir(f"{scratch}/rep/validation"))[-2:] == ["source_file=usa_a", "source_file=usa_b"]
+    reps = spark.read.option("header", True).csv(f"{scratch}/rep/location")
+    assert {r["source_file"] for r in reps.collect()} == {"usa_a", "usa_b"}
