@@ -96,3 +96,14 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     if len(names) != len(df.columns):
         raise ValueError(f"{len(names)} names for {len(df.columns)} columns")
     return df.toDF(*names)
+
+
+def year_consistency(df: DataFrame, year: str = "year", date_col: str = "bloom_date") -> DataFrame:
+    """Data-quality check: rows whose ``year`` differs from the year of ``date_col`` (Q4).
+
+    One aggregation pass: rows checked, rows with a mismatch, rows without a date.
+    """
+    y = F.year(date_col).cast("int")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count_if(F.col(date_col).isNotNull() & (y != F.col(year))).alias("n_mismatch"),
+                  F.count_if(F.col(date_col).isNull()).alias("n_missing_date"))

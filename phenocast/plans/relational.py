@@ -306,3 +306,13 @@ def q_union_locations(spark, d):
 SELECT DISTINCT species_id, site_id FROM status_obs""")
 def q_distinct_pairs(spark, d):
     return phenology.distinct_pairs(V.status_obs(spark, d), ["species_id", "site_id"])
+
+
+@register("bloom_year_check", with_views("bloom") + """
+SELECT count(*) AS n_rows,
+       CAST(count_if(bloom_date IS NOT NULL AND CAST(year(bloom_date) AS INTEGER) <> year) AS BIGINT)
+         AS n_mismatch,
+       CAST(count_if(bloom_date IS NULL) AS BIGINT) AS n_missing_date
+FROM bloom""")
+def q_bloom_year_check(spark, d):
+    return assemble.year_consistency(V.bloom(spark, d), "year", "bloom_date")

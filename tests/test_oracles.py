@@ -46,4 +46,4 @@ def test_entry_runs(spark):
 def test_every_query_has_a_callable():
     qs = E.queries()
     assert set(E.oracle_sql()) <= set(qs)
-    assert len(qs) >= 60
+    assert len(qs) >= 61
