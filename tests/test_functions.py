@@ -85,3 +85,12 @@ def test_kth_smallest_property(spark, values, data):
     df = spark.createDataFrame([(v,) for v in values], "x long")
     k = data.draw(st.integers(0, len(values) - 1))
     assert kth_smallest(df, "x", [k], max_collect=20) == [sorted(values)[k]]
+
+
+@pytest.mark.parametrize("k_frac", [0.0, 0.2, 0.34, 0.5, 0.66, 0.99])
+def test_kth_smallest_narrowing_with_hot_value(spark, k_frac):
+    rng = random.Random(11)
+    vals = [5.0 if i % 3 == 0 else rng.uniform(0, 10) for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    k = int(k_frac * (len(vals) - 1))
+    assert kth_smallest(df, "x", [k], max_collect=40) == [sorted(vals)[k]]
