@@ -146,7 +146,8 @@ def importances(spark, d) -> DataFrame:
     cents = F.rint(F.col("p_retailprice") * 100).cast("bigint")
     by_brand = p.groupBy(F.col("p_brand").alias("feature")).agg(F.sum(cents).alias("_s"))
     total = p.agg(F.sum(cents).alias("_t")).first()["_t"]
-    return by_brand.select("feature", (F.col("_s").cast("double") / F.lit(float(total))).alias("score"))
+    return by_brand.select("feature", F.try_divide(F.col("_s").cast("double"),
+                                                   F.lit(total).cast("double")).alias("score"))
 
 
 def sentinels(spark, d) -> DataFrame:
