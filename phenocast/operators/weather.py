@@ -42,6 +42,28 @@ def with_location(df: DataFrame, file_col: str | None = None, name_col: str = "n
     return df.join(first, on=file_col, how="inner")
 
 
+def yearly_means_named(df: DataFrame, file_col: str, name_col: str, date_col: str,
+                       measures: Sequence[str], order: Sequence[str] = (),
+                       out: str = "location", year_col: str = "year") -> DataFrame:
+    """Yearly means per file, labelled with the name of the file's first row (A1 + P8).
+
+    The first row of each (file, year) is kept inside the same aggregation
+    (a partial ``min`` of a struct), and the per-file minimum over those is a
+    window over the small aggregated table - the daily rows are scanned and
+    shuffled once and never joined back.
+    """
+    order = list(order) or [date_col]
+    first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                           F.col(name_col).alias("_name"))).alias("_first")
+    per_year = (df.withColumn(year_col, F.year(date_col).cast("int"))
+                  .groupBy(file_col, year_col)
+                  .agg(*[F.avg(m).alias(m) for m in measures], first))
+    from pyspark.sql import Window
+    file_first = F.min("_first").over(Window.partitionBy(file_col))
+    return (per_year.withColumn(out, file_first.getField("_name"))
+                    .select(out, year_col, *measures))
+
+
 def yearly_means(df: DataFrame, keys: Sequence[str], date_col: str,
                  measures: Sequence[str], year_col: str = "year") -> DataFrame:
     """Mean of each measure per (keys, year); NULLs are skipped (A1)."""

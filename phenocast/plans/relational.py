@@ -62,9 +62,8 @@ def q_constant_location(spark, d):
     n = V.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("file"),
                                            F.col("n_name").alias("name"))
     daily = V.weather_daily(spark, d).withColumnRenamed("location", "file").join(n, "file")
-    named = weather.with_location(daily, file_col="file", name_col="name",
-                                  order=["datetime", "quantity"])
-    return weather.yearly_means(named, ["location"], "datetime", ["quantity", "tax_pct"])
+    return weather.yearly_means_named(daily, "file", "name", "datetime", ["quantity", "tax_pct"],
+                                      order=["datetime", "quantity"])
 
 
 @register("mixed_date_parse", with_views("mixed_dates") + """
