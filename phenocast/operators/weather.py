@@ -113,14 +113,30 @@ def yearly_monthly_align(yearly: DataFrame, monthly: DataFrame,
 
 def weather_features(daily: DataFrame, location: str, date_col: str,
                      monthly: Sequence[str], yearly_extra: Sequence[str] = (),
-                     year_col: str = "year") -> DataFrame:
-    """The per-file feature table: yearly extras beside the monthly pivot.
-
-    Only measures outside the monthly set survive as yearly columns (the
-    monthly set's yearly means are dead work and are never computed).
+                     year_col: str = "year", months: Sequence[int] = MONTHS) -> DataFrame:
+    """The per-file feature table: yearly extras beside the monthly pivot (A1-A3 + J4).
+
+    One partial aggregation keyed by (location, year, month) computes the
+    monthly means and the sums and counts of the extra measures; a second,
+    tiny aggregation per (location, year) pivots the months and rolls the
+    extras up to yearly means (sum of sums / sum of counts).  No join: the
+    outer alignment of yearly and monthly rows falls out of the shared keys.
+    The monthly set's own yearly means are dead work in the source and are
+    never computed.
     """
-    wide = monthly_pivot(daily, [location], date_col, monthly, year_col)
-    if not yearly_extra:
-        return wide
-    extra = yearly_means(daily, [location], date_col, yearly_extra, year_col)
-    return yearly_monthly_align(extra, wide, [location, year_col])
+    monthly, extras, months = list(monthly), list(yearly_extra), list(months)
+    if not extras:
+        return monthly_pivot(daily, [location], date_col, monthly, year_col, months)
+    per_month = (daily.withColumns({year_col: F.year(date_col).cast("int"),
+                                    "_month": F.month(date_col).cast("int")})
+                      .groupBy(location, year_col, "_month")
+                      .agg(*[F.avg(m).alias(m) for m in monthly],
+                           *[F.sum(e).alias(f"_sum_{e}") for e in extras],
+                           *[F.count(e).alias(f"_cnt_{e}") for e in extras]))
+    wide = per_month.groupBy(location, year_col).agg(
+        *[F.try_divide(F.sum(f"_sum_{e}").cast("double"), F.sum(f"_cnt_{e}").cast("double")).alias(e)
+          for e in extras],
+        *[F.max(F.when(F.col("_month") == mo, F.col(m))).alias(month_column(m, mo))
+          for m in monthly for mo in months])
+    return wide.select(location, year_col, *extras,
+                       *[month_column(m, mo) for m in monthly for mo in months])

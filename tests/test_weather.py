@@ -85,3 +85,10 @@ def test_weather_files_to_training_table(spark, scratch):
     t = training_from_tables(bloom, wide).first()
     assert t["year"] == 2020 and t["tempmax_01"] == 1.0
     assert t["tempmax_03"] is None     # the column has no value anywhere: its mean is NULL too
+
+
+def test_yearly_monthly_align_is_outer(spark):
+    y = spark.createDataFrame([("a", 2000, 1.0), ("a", 2001, 2.0)], "loc string, year int, h double")
+    m = spark.createDataFrame([("a", 2001, 5.0), ("a", 2002, 6.0)], "loc string, year int, t_01 double")
+    out = {r["year"]: (r["h"], r["t_01"]) for r in weather.yearly_monthly_align(y, m, ["loc", "year"]).collect()}
+    assert out == {2000: (1.0, None), 2001: (2.0, 5.0), 2002: (None, 6.0)}
