@@ -32,7 +32,7 @@ GBT_SETTINGS = {
     "maxDepth": 4,                    # max_depth
     "featureSubsetStrategy": "sqrt",  # max_features
     "subsamplingRate": 0.8,           # subsample
-    "minInstancesPerNode": 1,         # min_samples_leaf
+    "minInstancesPerNode": 5,         # min_samples_leaf 1, min_samples_split 10 (see sklearn_to_spark)
     "minInfoGain": 0.0,               # min_impurity_decrease
     "minWeightFractionPerNode": 0.0,  # min_weight_fraction_leaf
     "lossType": "squared",            # loss
