@@ -28,6 +28,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete checkpoint files of iterative fits once their RDDs are gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PHENOCAST_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
