@@ -9,7 +9,7 @@ from phenocast.functions.numeric import half_even_int, hash64, round_doubles, se
 from phenocast.operators import assemble, phenology, spatial, weather
 from phenocast.plans import standins as V
 from phenocast.plans.registry import register
-from phenocast.plans.standins import MEASURES, SPLIT_SITE, SPLIT_SPECIES, with_views
+from phenocast.plans.standins import MEASURES, with_views
 
 R6 = round_doubles
 
@@ -35,22 +35,21 @@ def q_sentinel_to_null(spark, d):
     return sentinel_to_null(V.sentinels(spark, d), ["discount_pct", "tax_pct"], value=0)
 
 
-_P1 = f"species_id = '{SPLIT_SPECIES}' AND site_id = {SPLIT_SITE}"
+_P1 = "species_id = (SELECT p_species FROM split_pair) AND site_id = (SELECT p_site FROM split_pair)"
+_NOT_P1 = ("NOT (species_id IS NOT DISTINCT FROM (SELECT p_species FROM split_pair) "
+           "AND site_id IS NOT DISTINCT FROM (SELECT p_site FROM split_pair))")
 
 
-@register("site_species_filter", with_views("status_obs") + f"""
+@register("site_species_filter", with_views("status_obs", "split_pair") + f"""
 SELECT * FROM status_obs WHERE {_P1}""")
 def q_site_species_filter(spark, d):
-    return phenology.site_species_filter(V.status_obs(spark, d),
-                                         {"species_id": SPLIT_SPECIES, "site_id": SPLIT_SITE})
+    return phenology.site_species_filter(V.status_obs(spark, d), V.split_pair(spark, d))
 
 
-@register("site_species_complement", with_views("status_obs") + f"""
-SELECT * FROM status_obs
-WHERE NOT (species_id IS NOT DISTINCT FROM '{SPLIT_SPECIES}' AND site_id IS NOT DISTINCT FROM {SPLIT_SITE})""")
+@register("site_species_complement", with_views("status_obs", "split_pair") + f"""
+SELECT * FROM status_obs WHERE {_NOT_P1}""")
 def q_site_species_complement(spark, d):
-    return phenology.site_species_complement(V.status_obs(spark, d),
-                                             {"species_id": SPLIT_SPECIES, "site_id": SPLIT_SITE})
+    return phenology.site_species_complement(V.status_obs(spark, d), V.split_pair(spark, d))
 
 
 @register("constant_location", with_views("weather_daily") + """
@@ -287,15 +286,14 @@ def q_hash_sample(spark, d):
              .limit(20).drop("_h"))
 
 
-@register("union_locations", with_views("status_obs") + f"""
+@register("union_locations", with_views("status_obs", "split_pair") + f"""
 SELECT species_id, site_id, year, day_of_year, obs_date, obs_id, 'split' AS location
 FROM ({_FIRST_BLOOM_SQL.format(src="status_obs")}) a WHERE {_P1}
 UNION ALL
-SELECT * FROM ({_FIRST_BLOOM_SQL.format(src="status_obs")}) b
-WHERE NOT (species_id IS NOT DISTINCT FROM '{SPLIT_SPECIES}' AND site_id IS NOT DISTINCT FROM {SPLIT_SITE})""")
+SELECT * FROM ({_FIRST_BLOOM_SQL.format(src="status_obs")}) b WHERE {_NOT_P1}""")
 def q_union_locations(spark, d):
     obs = V.status_obs(spark, d)
-    keys = {"species_id": SPLIT_SPECIES, "site_id": SPLIT_SITE}
+    keys = V.split_pair(spark, d)
     one, rest = phenology.split_by_keys(obs, keys)
     one_b = _first_bloom(one).withColumn("location", F.lit("split"))
     return assemble.union_locations([one_b, _first_bloom(rest)])

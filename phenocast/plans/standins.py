@@ -32,9 +32,8 @@ from phenocast.operators.weather import monthly_pivot
 # a mean is one correctly rounded division in any engine.
 MEASURES = ["quantity", "price_cents", "discount_pct", "tax_pct"]
 FEATURES = ["quantity", "discount_pct", "tax_pct", "p_size", "price_cents"]
-# The site/species pair split off as its own location.
-SPLIT_SITE = 7
-SPLIT_SPECIES = "1-URGENT"
+# The site/species pair split off as its own location (P1/P2) is chosen from
+# the data: the pair with the most observations (ties: smallest site, species).
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +53,14 @@ def status_obs(spark, d) -> DataFrame:
     )
 
 
+def split_pair(spark, d) -> dict:
+    """The most observed (species, site) pair, as scalars (one aggregated row)."""
+    obs = status_obs(spark, d)
+    top = (obs.groupBy("species_id", "site_id").agg(F.count(F.lit(1)).alias("_n"))
+              .orderBy(F.desc("_n"), "site_id", "species_id").limit(1).first())
+    return {"species_id": top["species_id"], "site_id": top["site_id"]}
+
+
 def bloom(spark, d) -> DataFrame:
     c = table(spark, d, "customer").select(
         F.col("c_custkey").alias("site_id"), "c_nationkey", "c_acctbal")
@@ -187,6 +194,9 @@ def _pivot_sql(src: str, measures) -> str:
 
 
 SQL_VIEWS = {
+    "split_pair": """split_pair AS (
+  SELECT species_id AS p_species, site_id AS p_site FROM status_obs
+  GROUP BY species_id, site_id ORDER BY count(*) DESC, site_id, species_id LIMIT 1)""",
     "status_obs": """status_obs AS (
   SELECT o_orderpriority AS species_id, o_custkey AS site_id, o_orderkey AS obs_id,
          CAST(o_orderdate AS DATE) AS obs_date,
@@ -261,6 +271,7 @@ SQL_VIEWS = {
 
 # views each view depends on (for assembling WITH clauses)
 SQL_DEPS = {
+    "split_pair": ["status_obs"],
     "bloom": ["status_obs"],
     "weather_wide": ["weather_daily"],
     "training": ["bloom", "weather_wide"],
