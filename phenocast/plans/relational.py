@@ -54,7 +54,8 @@ def q_site_species_complement(spark, d):
 
 @register("constant_location", with_views("weather_daily") + """
 SELECT n.n_name AS location, CAST(year(w.datetime) AS INTEGER) AS year,
-       CAST(sum(w.quantity) AS DOUBLE) / CAST(count(w.quantity) AS DOUBLE) AS quantity, CAST(sum(w.tax_pct) AS DOUBLE) / CAST(count(w.tax_pct) AS DOUBLE) AS tax_pct
+       CAST(sum(w.quantity) AS DOUBLE) / CAST(count(w.quantity) AS DOUBLE) AS quantity,
+       CAST(sum(w.tax_pct) AS DOUBLE) / CAST(count(w.tax_pct) AS DOUBLE) AS tax_pct
 FROM weather_daily w JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = w.location
 GROUP BY n.n_name, year(w.datetime)""")
 def q_constant_location(spark, d):
@@ -160,7 +161,8 @@ def q_representative_rows(spark, d):
 SELECT COALESCE(y.location, m.location) AS location, COALESCE(y.year, m.year) AS year,
        y.discount_pct, y.tax_pct, m.* EXCLUDE (location, year)
 FROM (SELECT location, CAST(year(datetime) AS INTEGER) AS year,
-             CAST(sum(discount_pct) AS DOUBLE) / CAST(count(discount_pct) AS DOUBLE) AS discount_pct, CAST(sum(tax_pct) AS DOUBLE) / CAST(count(tax_pct) AS DOUBLE) AS tax_pct
+             CAST(sum(discount_pct) AS DOUBLE) / CAST(count(discount_pct) AS DOUBLE) AS discount_pct,
+             CAST(sum(tax_pct) AS DOUBLE) / CAST(count(tax_pct) AS DOUBLE) AS tax_pct
       FROM weather_daily GROUP BY location, year(datetime)) y
 FULL OUTER JOIN ({V._pivot_sql("weather_daily", ["quantity", "price_cents"])}) m
 ON y.location = m.location AND y.year = m.year""")
