@@ -163,3 +163,11 @@ def q_representative_locations(spark, d):
     _, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long",
                                                   order=["year"], mode="columnwise_max")
     return reps
+
+
+@register("correlation_wide")
+def q_correlation_wide(spark, d):
+    """All-pairs correlation of the filled training features (A10 for wide tables)."""
+    filled, _, _, feats = model_data(spark, d)
+    out = stats.correlation_matrix_wide(filled, feats)
+    return out.withColumn("corr", F.round("corr", 6))
