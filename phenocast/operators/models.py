@@ -89,6 +89,8 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, s
 
     No row moves: the cut value is an exact order statistic of the hash
     (:func:`kth_smallest_many`), then each row compares its own hash with it.
+    The size is exact when the key columns identify rows uniquely (rows with
+    equal keys share a hash and land on the same side).
     """
     with_h = df.withColumn("_h", hash64(keys, seed))
     if test_fraction <= 0:
