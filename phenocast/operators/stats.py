@@ -290,6 +290,9 @@ def outlier_flags(df: DataFrame, cols: Sequence[str], contamination: float = 0.0
 
 
 def flagged_share(flag_cols: Sequence[str]) -> Column:
+    """Share of set flags per row (0 when there are no flag columns)."""
+    if not flag_cols:
+        return F.lit(0.0)
     total = sum((F.col(c).cast("int") for c in flag_cols), F.lit(0))
     return total / F.lit(len(flag_cols))
 
