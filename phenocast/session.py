@@ -13,8 +13,12 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "phenocast") -> SparkSession:
-    """Local/test session: AQE on, UI off, UTC, Arrow on."""
+                  app_name: str = "phenocast", extra_conf: dict | None = None) -> SparkSession:
+    """Local/test session: AQE on, UI off, UTC, Arrow on.
+
+    ``extra_conf`` adds settings, e.g. an event log in a scratch folder for
+    stage and task times (``spark.eventLog.enabled`` / ``spark.eventLog.dir``).
+    """
     master = master or os.environ.get("PHENOCAST_MASTER", "local[8]")
     parts = shuffle_partitions or int(os.environ.get("PHENOCAST_SHUFFLE_PARTITIONS", "8"))
     builder = (
@@ -32,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PHENOCAST_DRIVER_MEMORY", "16g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
