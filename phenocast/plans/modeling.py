@@ -171,3 +171,11 @@ def q_correlation_wide(spark, d):
     filled, _, _, feats = model_data(spark, d)
     out = stats.correlation_matrix_wide(filled, feats)
     return out.withColumn("corr", F.round("corr", 6))
+
+
+@register("representatives_most_observed")
+def q_representatives_most_observed(spark, d):
+    """M4 with the documented intent: the real location with most observations per cluster."""
+    _, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long",
+                                                  order=["year"], mode="most_observed")
+    return reps
