@@ -318,10 +318,12 @@ def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str
                text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id
     (of repeated rows with that id, one)."""
-    keep = (simhash_components(docs, shingle, max_bits, id_col, text_col)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct())
+    groups = simhash_components(docs, shingle, max_bits, id_col, text_col)
+    keep = written(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "simhash-keep")
+    repeated = not keep.groupBy("doc_id").count().where("count > 1").isEmpty()
+    keep = keep.select(F.col("doc_id").alias("__keep")).distinct()
     kept = docs.join(keep, F.col(id_col).cast("bigint").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    return kept.dropDuplicates([id_col]) if repeated else kept
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
