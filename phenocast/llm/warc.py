@@ -1,10 +1,10 @@
 """WARC archives: writer, and sequential reader with digest verification (operator 2).
 
 An archive is a series of records, each a gzip member of its own.  Archives are kept
-as chunk tables (archive, chunk_no, data): a Spark writer puts them where the
+as a table (archive, data), a row an archive: a Spark writer puts them where the
 inputs are, whatever the store, and a lost task is simply run again.  ``write``
-starts a new archive every ``archive_bytes``; ``read`` streams an archive's chunks in
-order through one reader, which never holds more than one record and one chunk.
+starts a new archive every ``archive_bytes``; ``read`` streams each archive in pieces
+through one reader, in the task that holds it, and inflates one record at a time.
 ``read_files`` reads ``.warc.gz`` files of any path that Spark can list.
 
 Among records with equal payloads (same SHA-1 and length) of at least
@@ -157,10 +157,10 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id
     return join_back(rows, first, "digest")
 
 
-def write(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = 1 << 28, chunk_bytes: int = 1 << 20,
-          id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def write(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = 1 << 23, id_col: str = "page_id", url_col: str = "url",
+          payload_col: str = "html") -> DataFrame:
     """Archives with a record per page, written in the shared folder: a table
-    (archive, chunk_no, data).  Chunks cut the byte stream wherever they are full."""
+    (archive, data).  An archive is closed by the record that reaches ``archive_bytes``."""
     marks = mark_revisits(pages, least_bytes, id_col, payload_col)
     # pages that are revisits, with what they refer to; all others are responses
     revisits = (marks.where("first IS NOT NULL AND (page_id IS NULL OR page_id < first)")
@@ -172,29 +172,22 @@ def write(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = 1 << 28,
     rows = rows.select("page_id", "url", "payload", F.col("__first").alias("first"))
 
     def run(batches):
-        part, k, no, size = TaskContext.get().partitionId(), 0, 0, 0
-        buf = bytearray()
+        part, k, buf = TaskContext.get().partitionId(), 0, bytearray()
 
-        def chunk(data: bytes):
-            return pa.RecordBatch.from_arrays([pa.array([f"pages-{part:06d}-{k:05d}.warc.gz"]), pa.array([no], pa.int64()),
-                                               pa.array([bytes(data)], pa.binary())], names=["archive", "chunk_no", "data"])
+        def archive():
+            return pa.RecordBatch.from_arrays([pa.array([f"pages-{part:06d}-{k:05d}.warc.gz"]), pa.array([bytes(buf)], pa.binary())], names=["archive", "data"])
 
         for batch in batches:
             for page, url, data, first in zip(*batch.columns):
                 data, first = data.as_py(), first.as_py()
                 buf += record(page.as_py(), url.as_py(), data, first, first is not None)
-                while len(buf) >= chunk_bytes:
-                    yield chunk(buf[:chunk_bytes])
-                    del buf[:chunk_bytes]
-                    no, size = no + 1, size + chunk_bytes
-                if size >= archive_bytes:
-                    if buf:
-                        yield chunk(buf)
-                    buf, k, no, size = bytearray(), k + 1, 0, 0
+                if len(buf) >= archive_bytes:
+                    yield archive()
+                    k, buf = k + 1, bytearray()
         if buf:
-            yield chunk(buf)
+            yield archive()
 
-    return written(rows.mapInArrow(run, "archive string, chunk_no bigint, data binary"), "warc-archives")
+    return written(rows.mapInArrow(run, "archive string, data binary"), "warc-archives")
 
 
 def _pages(records: Iterator[tuple[dict, bytes]], with_payload: bool, rows: int = 500):
@@ -217,45 +210,22 @@ def _pages(records: Iterator[tuple[dict, bytes]], with_payload: bool, rows: int
         yield pack()
 
 
-def read(archives: DataFrame, with_payload: bool = False) -> DataFrame:
-    """A row per response and revisit record of a chunk table, each archive read in
-    order by one task (an archive has a bounded size; see ``write``)."""
-    parts = archives.select("archive", "chunk_no", "data").repartition("archive").sortWithinPartitions("archive", "chunk_no")
-
-    def run(batches):
-        def chunks():
-            for batch in batches:
-                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
-
-        source = chunks()
-        ahead = next(source, None)
-
-        def one(name):
-            nonlocal ahead
-            want = 0
-            while ahead is not None and ahead[0] == name:
-                if ahead[1] != want:
-                    raise ValueError(f"{name}: chunk {want} is missing")
-                yield ahead[2].as_py()
-                want, ahead = want + 1, next(source, None)
+def _stream(batches, with_payload: bool, piece: int = 1 << 16):
+    for batch in batches:
+        for data in batch.column(0):
+            data = memoryview(data.as_buffer())
+            yield from _pages(read_records(bytes(data[i:i + piece]) for i in range(0, len(data), piece)), with_payload)
 
-        while ahead is not None:
-            yield from _pages(read_records(one(ahead[0])), with_payload)
 
-    return parts.mapInArrow(run, PAGES + (", payload binary" if with_payload else ""))
+def read(archives: DataFrame, with_payload: bool = False) -> DataFrame:
+    """A row per response and revisit record of an archive table (see ``write``)."""
+    return archives.select("data").mapInArrow(lambda b: _stream(b, with_payload), PAGES + (", payload binary" if with_payload else ""))
 
 
 def read_files(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """The same of ``.warc.gz`` files (each under 2 GB) under a path of any store."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.warc.gz").load(path).select("content")
-
-    def run(batches):
-        for batch in batches:
-            for content in batch.column(0):
-                data = memoryview(content.as_buffer())
-                yield from _pages(read_records(bytes(data[i:i + (1 << 20)]) for i in range(0, len(data), 1 << 20)), with_payload)
-
-    return files.mapInArrow(run, PAGES + (", payload binary" if with_payload else ""))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.warc.gz").load(path)
+    return read(files.select(F.col("path").alias("archive"), F.col("content").alias("data")), with_payload)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
