@@ -72,18 +72,18 @@ def features(text: str) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30, seed: int = 0) -> np.ndarray:
     """Linear SVM (squared hinge, weights then bias) by dual coordinate descent; y is +1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
+    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
+    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1], dtype=x.dtype)
     diag = 1.0 / (2.0 * c)
-    q = (x * x).sum(axis=1) + diag
+    q = np.einsum("ij,ij->i", x, x).astype(np.float64) + diag
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(x)):
-            g = y[i] * (x[i] @ w) - 1.0 + diag * alpha[i]
+            g = y[i] * float(x[i] @ w) - 1.0 + diag * alpha[i]
             new = max(alpha[i] - g / q[i], 0.0)
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += np.float32((new - alpha[i]) * y[i]) * x[i]
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
         if moved < 1e-3:
@@ -101,7 +101,7 @@ def _one_versus_one(x: np.ndarray, names: np.ndarray) -> list[tuple[str, str, np
     return out
 
 
-def fit_languages(docs: DataFrame, learn, max_sample: int = 4000, id_col: str = "doc_id", text_col: str = "text",
+def fit_languages(docs: DataFrame, learn, max_sample: int = 2000, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> Model:
     """Machines learned from the rows where ``learn`` holds (module text)."""
     rows = docs.where(learn & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
@@ -119,17 +119,17 @@ def fit_languages(docs: DataFrame, learn, max_sample: int = 4000, id_col: str =
             got = [(h, lang, features(t)) for h, t, lang in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([h for h, _, _ in got], pa.int64()), pa.array([lang for _, lang, _ in got], pa.string()),
-                pa.array([np.flatnonzero(f).astype(np.int32) for _, _, f in got], pa.list_(pa.int32())),
-                pa.array([f[f != 0] for _, _, f in got], pa.list_(pa.float32()))], names=["h", "lang", "at", "value"])
+                pa.array([np.flatnonzero(f).astype("<u2").tobytes() for _, _, f in got], pa.binary()),
+                pa.array([f[f != 0].astype("<f4").tobytes() for _, _, f in got], pa.binary())], names=["h", "lang", "at", "value"])
 
-    vectors = sample.mapInArrow(run, "h bigint, lang string, at array<int>, value array<float>")
+    vectors = sample.mapInArrow(run, "h bigint, lang string, at binary, value binary")
     order = F.row_number().over(_window("lang", "h"))
     got = vectors.withColumn("__n", order).where(F.col("__n") <= quota).orderBy("lang", "h").collect()
     if not got:
         return {"families": [], "within": {}, "langs": {}}
     x = np.zeros((len(got), _DIM), dtype=np.float32)
     for i, r in enumerate(got):
-        x[i, r["at"]] = r["value"]
+        x[i, np.frombuffer(r["at"], dtype="<u2")] = np.frombuffer(r["value"], dtype="<f4")
     langs = np.array([r["lang"] for r in got])
     fams = np.array([family_of(lang) for lang in langs])
     within = {f: _one_versus_one(x[fams == f], langs[fams == f]) for f in sorted(set(fams))}
