@@ -18,8 +18,8 @@ search relative to w's range.  The logarithm of P splits into a numerator known
 w's shard and a denominator known in v's, so each occurrence is sent to its shards
 once, and no model is sent to the documents.
 
-Jobs: (1) word counts, pre-aggregated per block of documents, give N, V and the words
-with over 1/(8 S) of all tokens (fewer than 8 S for S shards); (2) bigram occurrences,
+Jobs: (1) word counts, pre-aggregated per block of documents, give N, V and the frequent
+words, those that occur over bytes / (48 S) times for S shards, so at most 24 S words; (2) bigram occurrences,
 folded per block, go to the shards, where counts are merged, the trie is built and the
 block's occurrences are looked up; sums per document go back to their block.  A
 frequent word is spread over all shards by its contexts.  Words are 64-bit hashes,
@@ -257,8 +257,8 @@ def _by_key(batches, names: list[str]):
         yield key, rows
 
 
-def _word_statistics(docs: DataFrame, shards: int, block_tokens: int, fold: int, held: int) -> tuple[int, int, int, dict[int, int]]:
-    """N, V, training documents, and {hash: training count} of the frequent words."""
+def _word_statistics(docs: DataFrame, shards: int, often: int, block_tokens: int, fold: int, held: int) -> tuple[int, int, int, dict[int, int]]:
+    """N, V, training documents, and {hash: training count} of the words that occur over ``often`` times."""
     def count(batches):
         for block, _, train, sizes, toks in _blocks(batches, block_tokens, fold, held):
             words, at = np.unique(toks, return_inverse=True)
@@ -280,21 +280,21 @@ def _word_statistics(docs: DataFrame, shards: int, block_tokens: int, fold: int,
             uniq, at = np.unique(words, return_inverse=True)
             learned = np.bincount(at, weights=np.concatenate([_unpack(r[1], "<u4") for r in rows]), minlength=len(uniq)).astype(np.int64)
             total = np.bincount(at, weights=np.concatenate([_unpack(r[2], "<u4") for r in rows]), minlength=len(uniq)).astype(np.int64)
-            top = np.argsort(-total, kind="stable")[:8 * shards]  # no more words can have their share
+            top, end = np.flatnonzero(total > often), np.flatnonzero(uniq == np.uint64(END))
+            at = np.concatenate((top, end))
             yield pa.RecordBatch.from_arrays([
-                pa.array([0, *[1] * len(top)], pa.int32()), pa.array([0, *uniq[top].view(np.int64).tolist()], pa.int64()),
-                pa.array([int(learned.sum()), *learned[top].tolist()], pa.int64()), pa.array([int(total.sum()), *total[top].tolist()], pa.int64()),
-                pa.array([int((learned > 0).sum()), *[0] * len(top)], pa.int64())], names=["kind", "word", "learned", "total", "v"])
+                pa.array([0, *[1] * len(top), *[2] * len(end)], pa.int32()), pa.array([0, *uniq[at].view(np.int64).tolist()], pa.int64()),
+                pa.array([int(learned.sum()), *learned[at].tolist()], pa.int64()), pa.array([int((learned > 0).sum()), *[0] * len(at)], pa.int64())],
+                names=["kind", "word", "learned", "v"])
 
     rows = docs.mapInArrow(count, "shard int, block bigint, words binary, learned binary, total binary")
     rows = rows.repartition(shuffle_partitions(docs.sparkSession), "shard").sortWithinPartitions("shard", "block")
-    stats = written(rows.mapInArrow(merge, "kind int, word bigint, learned bigint, total bigint, v bigint"), "lm-words")
-    one = stats.where("kind = 0").agg(F.sum("learned"), F.sum("total"), F.sum("v")).first()
-    n, total, v = (int(x or 0) for x in one)
-    hot = stats.where("kind = 1").where(F.col("total") * (8 * shards) > total).select("word", "learned").collect()  # under 8 S rows
-    hot = {r["word"] & (1 << 64) - 1: r["learned"] for r in hot}
-    ends = stats.where((F.col("kind") == 1) & (F.col("word") == np.uint64(END).view(np.int64).item())).select("learned").first()
-    return n, v, int(ends[0]) if ends else -1, hot
+    stats = written(rows.mapInArrow(merge, "kind int, word bigint, learned bigint, v bigint"), "lm-words")
+    one = stats.where("kind = 0").agg(F.sum("learned"), F.sum("v")).first()
+    n, v = (int(x or 0) for x in one)
+    hot = {r["word"] & (1 << 64) - 1: r["learned"] for r in stats.where("kind = 1").select("word", "learned").collect()}  # at most 24 S rows
+    end = stats.where("kind = 2").agg(F.sum("learned")).first()[0]  # an end a training document
+    return n, v, int(end or 0), hot
 
 
 def score_texts(docs: DataFrame, mu: float = 50.0, fold: int = 5, held: int = 1, block_tokens: int = 2_000_000,
@@ -307,7 +307,7 @@ def score_texts(docs: DataFrame, mu: float = 50.0, fold: int = 5, held: int = 1,
     # tokens are bounded by half the characters; only a guide for the number of shards
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards = max(shuffle_partitions(spark), -(-size // (6 * shard_tokens)))
-    n_train, v_train, n_docs, hot = _word_statistics(rows, shards, block_tokens, fold, held)
+    n_train, v_train, n_docs, hot = _word_statistics(rows, shards, size // (48 * shards), block_tokens, fold, held)
     hot_words = np.array(sorted(hot), dtype=np.uint64)
     hot_counts = np.array([hot[w] for w in sorted(hot)], dtype=np.int64)
     unit = n_train + 0.5 * (v_train + 1)
@@ -359,7 +359,6 @@ def score_texts(docs: DataFrame, mu: float = 50.0, fold: int = 5, held: int = 1,
             return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([shard], pa.int32()), pa.array([kind], pa.int32()),
                                                *(pa.array([x], pa.binary()) for x in [*blobs, *[None] * (5 - len(blobs))])], schema=schema)
 
-        sizes_of = {}
         for shard, rows in _by_key(batches, ["shard", "block", "kind", *"abcde"]):
             for block, kind, *blobs in rows:
                 if kind == 0:
@@ -434,13 +433,12 @@ def score_texts(docs: DataFrame, mu: float = 50.0, fold: int = 5, held: int = 1,
                     base[:len(x)] += x
                     score[:len(x)] += _unpack(b, "<f8")
                     known[:len(x)] += _unpack(c, "<u4")
-            score -= np.log10(starts + mu)
+            score -= np.log10(n_docs + mu)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64(), mask=null), pa.array(~train & ~null, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
                 pa.array(np.full(len(ids), n_train), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    starts = n_docs if n_docs >= 0 else rows.where((F.crc32(F.col("id").cast("string").cast("binary")) % fold) != held).count()
     n = shuffle_partitions(spark)
     cols = ", ".join(f"{c} binary" for c in "abcde")
     sent = rows.mapInArrow(send, f"shard int, block bigint, kind int, {cols}").repartition(n, "shard").sortWithinPartitions("shard", "block", "kind")
