@@ -11,12 +11,14 @@ and compared by their integer inner product.
    reach: a lower bound from the cells' summaries, raised by what each query
    really reaches among the vectors of its own cell.
 4. A vector is sent to the groups whose threshold it may reach: with q in a group of
-   pivot p and radius r, q.x <= p.x + r|x|, where p.x is computed exactly.
+   pivot p and radius r, and x in a cell of pivot c, q.x <= p.x + s + r|x - c|, where s
+   is the largest (q - p).c of the group, a summary of one number a group and cell,
+   and p.x is computed exactly.
 5. Each group is solved locally in pieces of bounded size (queries and candidates
    are both dealt into slices), and the pieces' best k are merged.
 
-All bounds are rounded outward, so the result is exact; how much step 4 saves
-depends on how clustered the data are.
+All bounds are rounded outward, so the result is exact.  How much step 4 saves depends
+on how clustered the data are; without clusters no bound from summaries saves much.
 
 Defined results: a vector that is null or holds a null or non-finite component takes
 no part; an empty vector is a zero vector, a shorter one is filled with zeros;
@@ -126,18 +128,30 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, n_pivo
     need = np.array([theta[g] for g in groups])
     reach = np.array([summary[g]["qr"] for g in groups])
 
+    def lean(batches):
+        for batch in batches:
+            q, cell = _matrix(batch.column(0), dim), batch.column(1).to_numpy(zero_copy_only=False)
+            for g in np.unique(cell):
+                most = ((q[cell == g] - pivots[g]) @ pivots.T).max(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(most), g), pa.int32()), pa.array(np.arange(len(most)), pa.int32()), pa.array(most)],
+                                                 names=["grp", "cell", "s"])
+
+    side = np.full((len(pivots), len(pivots)), -np.inf)
+    for r in queries.select("v", "cell").mapInArrow(lean, "grp int, cell int, s double").groupBy("grp", "cell").agg(F.max("s").alias("s")).collect():
+        side[r["grp"], r["cell"]] = r["s"]  # a row a pair of pivots
+    side = side[at]
+
     def replicate(batches):
         for batch in batches:
-            x = _matrix(batch.column(1), dim)
-            norm = np.sqrt((x * x).sum(axis=1))
-            bound = x @ pivots[at].T + reach[None, :] * norm[:, None]
+            x, cell, away = _matrix(batch.column(1), dim), batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            bound = x @ pivots[at].T + side[:, cell].T + reach[None, :] * away[:, None]
             row, g = np.nonzero(bound + _EPS * (1 + np.abs(bound)) >= need[None, :])
             for lo in range(0, len(row), 20_000):
                 take = pa.array(row[lo:lo + 20_000])
                 yield pa.RecordBatch.from_arrays([pa.array(at[g[lo:lo + 20_000]], pa.int32()), batch.column(0).take(take), batch.column(1).take(take)],
                                                  names=["grp", "vec_id", "v"])
 
-    sent = written(cells.select("vec_id", "v").mapInArrow(replicate, "grp int, vec_id bigint, v array<double>"), "knn-candidates")
+    sent = written(cells.select("vec_id", "v", "cell", "away").mapInArrow(replicate, "grp int, vec_id bigint, v array<double>"), "knn-candidates")
     sizes = {r["grp"]: r["n"] for r in sent.groupBy("grp").agg(F.count("*").alias("n")).collect()}  # one row a group
     pieces = {g: max(1, -(-sizes.get(g, 0) // slice_rows)) for g in groups}
     found = _solve(queries, sent, pieces, parts, dim, k)
