@@ -19,8 +19,8 @@ there on.  The distinct fingerprints are joined at ``max_bits`` differing bits:
    bits; each bucket is verified with the full bit distance.
 
 A bucket emits the edges of a spanning forest of its links, never all pairs.  A
-bucket over ``bucket_rows`` rows is not solved in one task but dealt anew on
-pieces of the remaining bits, again by pigeonhole, until it is small.
+bucket over ``bucket_rows`` rows is not solved in one task but in tiles, each with two
+of its slices, so that memory stays bounded and every pair still meets.
 
 Defined results: null and empty texts have fingerprint zero and link like any
 other; repeated rows get equal results; a null id takes part but is never the
@@ -225,29 +225,15 @@ def near_links(fps: DataFrame, max_bits: int = 2, parts: int | None = None, buck
     probed = [k for k, t in enumerate(taus) if t >= 0]
     values = fps.select("fp", *[gather(F.col("fp"), bits[k]).alias(f"v{k}") for k in probed])
     rows = values.select("fp", F.explode(F.flatten(F.array(*[_probes(k, len(bits[k]), taus[k]) for k in probed]))).alias("key"))
-    # each round: small buckets are solved, larger ones dealt anew on pieces of all bits
-    links, piece = None, 0
-    pieces = [3, 4, 8, 16, 32, 64]
-    while True:
-        n = rows.groupBy("key").count()
-        big = n.where(F.col("count") > bucket_rows).select("key") if piece < len(pieces) else None
-        big = written(big, "simhash-hot") if big is not None else None
-        rest = None
-        if big is not None and not big.isEmpty():
-            rest = rows.join(big, "key", "left_semi")
-            rows = rows.join(big, "key", "left_anti")
-        part = _solve(rows, max_bits)
-        links = part if links is None else links.unionAll(part)
-        if rest is None:
-            return links
-        m = pieces[piece]
-        piece += 1
-        width = -(-64 // m)
-        cuts = [list(range(lo, min(64, lo + width))) for lo in range(0, 64, width)]
-        if len(cuts) <= max_bits:
-            raise AssertionError("pigeonhole needs more pieces than bits")
-        rows = rest.select("fp", F.explode(F.array(*[F.xxhash64("key", F.lit(i), gather(F.col("fp"), c))
-                                                     for i, c in enumerate(cuts)])).alias("key"))
+    n = rows.groupBy("key").count()
+    big = written(n.where(F.col("count") > bucket_rows).select("key", F.ceil(F.col("count") / bucket_rows).alias("slices")), "simhash-hot")
+    if big.isEmpty():
+        return _solve(rows, max_bits)
+    # every two slices of a large bucket meet in one tile
+    tiles = (rows.join(big, "key").withColumn("slice", F.pmod(F.xxhash64("fp"), F.col("slices")))
+             .select("fp", "key", "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other"))
+             .select(F.xxhash64("key", F.least("slice", "other"), F.greatest("slice", "other")).alias("key"), "fp"))
+    return _solve(rows.join(big, "key", "left_anti").select("fp", "key").unionByName(tiles), max_bits)
 
 
 def _solve(rows: DataFrame, max_bits: int) -> DataFrame:
