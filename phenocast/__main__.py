@@ -22,11 +22,8 @@ from pyspark.sql import functions as F
 
 
 def _spark() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from phenocast.session import build_session
-    return build_session()
+    """The session that spark-submit or the environment describes; nothing is set here."""
+    return SparkSession.builder.getOrCreate()
 
 
 def main(argv=None) -> int:
@@ -95,7 +92,7 @@ def main(argv=None) -> int:
         rows = readers.read_csv(spark, a.input_csv, schemas.SCORING_INPUT)
         scored = fitted.transform(rows, "_raw").persist()
         out = pipeline.predictions_table(fitted, rows, scored=scored)
-        writers.write_csv(out.coalesce(1), writers.run_output_path(a.out_base))
+        writers.write_csv(out, writers.run_output_path(a.out_base))
     return 0
 
 

@@ -177,10 +177,14 @@ def _narrow_round(v: DataFrame, state: dict, results: dict, types: dict, rel_err
     for (i, s), (p_lo, p_hi), qcol in zip(state.items(), probs, qs):
         q_lo, q_hi = qcol[flat.index(p_lo)], qcol[flat.index(p_hi)]
         if isinstance(types[s["col"]], _INTEGRAL):
-            # the sketch works in doubles: widen by one ulp so that large
-            # integers (60-bit hashes) are never cut off by rounding
-            q_lo = math.floor(q_lo - math.ulp(q_lo)) - 1
-            q_hi = math.ceil(q_hi + math.ulp(q_hi)) + 1
+            # the sketch works in doubles: widen only where these are inexact (60-bit
+            # hashes); below that the ends are values of the column, so ties at an end
+            # are counted there and every round shrinks the bracket
+            if max(abs(q_lo), abs(q_hi)) >= 2 ** 53:
+                q_lo = math.floor(q_lo - math.ulp(q_lo)) - 1
+                q_hi = math.ceil(q_hi + math.ulp(q_hi)) + 1
+            if s.get("stuck"):      # the last round did not shrink: halve the integer bracket
+                q_lo = q_hi = (s["lo"] + s["hi"]) // 2
         bounds[i] = (q_lo, q_hi)
     # one conditional-count pass for every remaining target
     aggs = []
@@ -201,7 +205,12 @@ def _narrow_round(v: DataFrame, state: dict, results: dict, types: dict, rel_err
         mid, eq_hi = row[f"mid_{i}"], row[f"eqhi_{i}"]
         r = s["k"] - s["offset"]
         q_lo, q_hi = bounds[i]
-        if r < below or r >= below + eq_lo + mid + eq_hi:
+        if integral and s.get("stuck") and not below <= r < below + eq_lo:
+            if r < below:
+                s["hi"], s["m"] = q_lo, below
+            else:
+                s["lo"], s["offset"], s["m"] = q_lo, s["offset"] + below + eq_lo, s["m"] - below - eq_lo
+        elif r < below or r >= below + eq_lo + mid + eq_hi:
             s["width"] *= 4          # the sketch missed: widen and retry
             s["misses"] = s.get("misses", 0) + 1
             if s["misses"] > 20:
@@ -214,4 +223,7 @@ def _narrow_round(v: DataFrame, state: dict, results: dict, types: dict, rel_err
             del state[i]
         else:
             s["offset"] += below + eq_lo
+            s["stuck"] = s["lo"] is not None and mid >= s["m"]
+            if s["stuck"] and not integral:
+                raise RuntimeError(f"order statistic of {s['col']} did not converge")
             s["lo"], s["hi"], s["m"] = q_lo, q_hi, mid

@@ -19,13 +19,14 @@ def site_species_filter(df: DataFrame, equals: dict) -> DataFrame:
 def site_species_complement(df: DataFrame, equals: dict) -> DataFrame:
     """Exact complement of :func:`site_species_filter`.
 
-    Uses null-safe equality, so a row whose key is NULL is *kept* here (it is
-    not in the filtered set either); plain ``!=`` would drop it from both.
+    A row for which the filter is not true is *kept* here, so a row whose key is
+    NULL is (plain ``!=`` would drop it from both), and every row if a given value
+    is None.
     """
     cond = F.lit(True)
     for c, v in equals.items():
-        cond = cond & F.col(c).eqNullSafe(F.lit(v))
-    return df.where(~cond)
+        cond = cond & (F.col(c) == F.lit(v))
+    return df.where(~F.coalesce(cond, F.lit(False)))
 
 
 def split_by_keys(df: DataFrame, equals: dict) -> tuple[DataFrame, DataFrame]:

@@ -60,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed to cut "
                            "lineage of iterative jobs such as boosted trees)")
     scratch = tempfile.mkdtemp(prefix="phenocast-ckpt-")

@@ -17,13 +17,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              columns: Sequence[str] | None = None) -> DataFrame:
     """CSV with a header row and a declared schema.
 
-    A byte-order mark in front of the header is dropped by the reader.  A
-    missing path raises Spark's PATH_NOT_FOUND error (S4).  ``columns``
-    selects a subset, which the scan prunes.
+    Columns are found by name: the file's header gives their order, the declared
+    schema their types, and columns that are not declared are left out.  A
+    byte-order mark in front of the header is dropped by the reader.  A missing
+    path raises Spark's PATH_NOT_FOUND error (S4).  ``columns`` selects a subset,
+    which the scan prunes; only these must be there.
     """
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("enforceSchema", False).csv(path))
-    return df.select(*columns) if columns else df
+    return _by_name(spark, path, schema, columns).select(*(columns or schema.names))
+
+
+def _by_name(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None) -> DataFrame:
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in columns or schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    found = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in header])
+    return (spark.read.schema(found).option("header", True).option("mode", "PERMISSIVE")
+            .option("enforceSchema", False).csv(path))
 
 
 def read_dir(spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.csv",
@@ -33,10 +43,9 @@ def read_dir(spark: SparkSession, directory: str, schema: T.StructType, pattern:
     ``key`` holds the file name without its extension, the identity the
     per-file outputs are paired by (weather file <-> validation file).
     """
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-          .csv(f"{directory.rstrip('/')}/{pattern}"))
+    df = _by_name(spark, f"{directory.rstrip('/')}/{pattern}", schema, columns)
     df = df.withColumn(key, F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""))
-    return df.select(*columns, key) if columns else df
+    return df.select(*(columns or schema.names), key)
 
 
 def read_status_obs(spark: SparkSession, path: str) -> DataFrame:
