@@ -5,6 +5,7 @@
     python -m phenocast features WEATHER_DIR OUT_DIR
     python -m phenocast training BLOOM_DIR WEATHER_FEATURES OUT_DIR
     python -m phenocast train TRAINING OUT_MODEL [--threshold 0.9]
+    python -m phenocast search TRAINING OUT_DIR [--preset base|base_2|expansive|combined|random] [--settings N]
     python -m phenocast score MODEL INPUT_CSV OUT_BASE
 
 Inputs are CSV files or folders of them; outputs are folders written once
@@ -27,6 +28,8 @@ def _spark() -> SparkSession:
 
 
 def main(argv=None) -> int:
+    from phenocast.operators import models
+
     ap = argparse.ArgumentParser(prog="phenocast")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("bloom", help="status observations -> first bloom per site and year")
@@ -44,11 +47,16 @@ def main(argv=None) -> int:
     t.add_argument("bloom_dir"); t.add_argument("features"); t.add_argument("out")
     m = sub.add_parser("train", help="training set -> model bundle (two-stage selection)")
     m.add_argument("training"); m.add_argument("out"); m.add_argument("--threshold", type=float, default=0.9)
+    g = sub.add_parser("search", help="training set -> cross-validated settings and the best model")
+    g.add_argument("training"); g.add_argument("out")
+    g.add_argument("--preset", default="base", choices=[*models.GRID_PRESETS, "random"])
+    g.add_argument("--settings", type=int, help="how many settings to draw (default: all of a grid, 1000 random)")
+    g.add_argument("--parallelism", type=int, default=4, help="fits submitted at once")
     s = sub.add_parser("score", help="model bundle + new rows -> predictions with intervals")
     s.add_argument("model"); s.add_argument("input_csv"); s.add_argument("out_base")
     a = ap.parse_args(argv)
 
-    from phenocast.operators import models, phenology, spatial
+    from phenocast.operators import phenology, spatial
     from phenocast.plans import pipeline
     from phenocast.sources import readers, schemas, writers
     from phenocast.sources.model_store import load_model_bundle, save_model_bundle
@@ -87,6 +95,17 @@ def main(argv=None) -> int:
         selected, fitted, _ = models.two_stage_selection(train, test, feats, "bloom_doy", a.threshold)
         save_model_bundle(fitted, a.out)
         models.evaluate(fitted, test, "bloom_doy").show()
+    elif a.cmd == "search":
+        data = readers.read_csv(spark, a.training, schemas.TRAINING)
+        if a.preset == "random":
+            settings = models.draw_settings(models.RANDOM_SEARCH_SPACE, a.settings or 1000, 42)
+        else:
+            grid = models.GRID_PRESETS[a.preset]
+            settings = models.draw_grid(grid, a.settings or len(models.expand_grid(grid)), 42)
+        table, best = models.cross_validate(data, schemas.WIDE_FEATURES, "bloom_doy", settings, 5,
+                                            "r2" if a.preset == "random" else "mse", 42, a.parallelism)
+        writers.write_csv(table, f"{a.out}/settings")
+        save_model_bundle(best, f"{a.out}/model")
     elif a.cmd == "score":
         fitted = load_model_bundle(spark, a.model)
         rows = readers.read_csv(spark, a.input_csv, schemas.SCORING_INPUT)

@@ -59,6 +59,18 @@ GRID_PRESETS = {
         "subsample": [0.8, 0.9, 1.0],
         "max_features": ["auto", "sqrt", "log2"],
     },
+    "expansive": {
+        "n_estimators": [50, 100, 200, 300],
+        "learning_rate": [0.01, 0.05, 0.1, 0.2],
+        "max_depth": [3, 4, 5, 6],
+        "min_samples_split": [2, 5, 10, 15],
+        "min_samples_leaf": [1, 2, 4, 6],
+        "subsample": [0.8, 0.9, 1.0],
+        "max_features": [1.0, "sqrt", "log2", None],
+        "loss": ["ls", "lad", "huber", "quantile"],
+        "alpha": [0.5, 0.9],
+        "criterion": ["friedman_mse", "mse", "mae"],
+    },
     "combined": {
         "n_estimators": [50, 100, 200, 150, 250],
         "learning_rate": [0.01, 0.1, 0.2, 0.05, 0.15],
@@ -79,8 +91,16 @@ RANDOM_SEARCH_SPACE = {
     "min_samples_leaf": ("randint", 1, 11),
     "subsample": ("uniform", 0.6, 1.0),
     "max_features": ("choice", [1.0, "sqrt", "log2"]),
+    "alpha": ("uniform", 0.0, 0.1),
+    "tol": ("uniform", 1e-5, 1e-5 + 1e-3),
+    "warm_start": ("choice", [True, False]),
 }
 
+# Settings that MLlib's boosting has no counterpart for: accepted and without effect.
+# ``alpha`` only matters to the huber and quantile losses, which MLlib lacks as well.
+IGNORED_SETTINGS = ("alpha", "ccp_alpha", "criterion", "init", "max_leaf_nodes", "random_state",
+                    "verbose", "warm_start")
+
 
 # --------------------------------------------------------------------------- split
 def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 42,
@@ -104,7 +124,8 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, s
 
 def train_test(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2,
                seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    labelled = hash_split(df, keys, test_fraction, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    """The two sides of :func:`hash_split`; persist ``df`` first when it is expensive."""
+    labelled = hash_split(df, keys, test_fraction, seed)
     return (labelled.where(F.col("split") == "train").drop("split"),
             labelled.where(F.col("split") == "test").drop("split"))
 
@@ -147,9 +168,18 @@ class FittedModel:
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         scaled = scale_with(df, self.params, self.features)
-        pred = self.model.transform(scaled).drop("_features")
+        pred = self.model.transform(scaled).drop("_features", *[f"{c}__z" for c in self.features])
         return pred.withColumnRenamed("_prediction", out) if out != "_prediction" else pred
 
+    def fill(self, df: DataFrame) -> DataFrame:
+        """Gaps of the features filled with the stored training means.
+
+        A row is filled alike alone and in any batch.
+        """
+        p = params_dict(self.params, self.features)
+        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(p[c][0]).cast("double"))
+                               for c in self.features})
+
 
 def scale_with(df: DataFrame, params: DataFrame, features: Sequence[str]) -> DataFrame:
     """Scaler form with stored parameters into ``__z`` columns (constant -> 0)."""
@@ -175,37 +205,45 @@ def make_estimator(kind: str = "gbt", label: str = "label", settings: dict | Non
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-ROWS_PER_PARTITION = 200_000
-
-
-def right_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Merge partitions (no shuffle) so each holds about ``rows_per_partition`` rows.
+def _fitting_rows(train: DataFrame, features: list, label: str, partitions: int | None):
+    """(normalization table, scaled rows with a label), the rows to be persisted by the caller.
 
-    Tree learners run several jobs per tree; on a small training table most
-    of their time is per-task overhead, so fewer, fuller partitions fit
-    faster.  Never increases the partition count.
+    The table has one row per feature, so it is held as a local relation.
+    ``partitions`` spreads the rows over that many partitions once, before the many
+    passes of a tree learner; default: left as they are.  MLlib seeds its row samples
+    per partition, so the fitted trees depend on it.
     """
-    n = df.count()
-    return df.coalesce(max(1, math.ceil(n / rows_per_partition)))
+    params = normalization_params(train, features)
+    params = train.sparkSession.createDataFrame(params.collect(), params.schema)
+    rows = train.where(F.col(label).isNotNull())
+    if partitions:
+        rows = rows.repartition(partitions)
+    keep = [label, VALIDATION_COL] if VALIDATION_COL in train.columns else [label]
+    return params, scale_with(rows, params, features).select(
+        *keep, *[f"{c}__z" for c in features])
 
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, kind: str = "gbt",
-                  settings: dict | None = None, seed: int = 42) -> FittedModel:
-    """Scale (population spread, fitted on ``train``) -> assemble -> fit (M1, M6-M8)."""
+                  settings: dict | None = None, seed: int = 42,
+                  partitions: int | None = None) -> FittedModel:
+    """Scale (population spread, fitted on ``train``) -> assemble -> fit (M1, M6-M8).
+
+    Only the label and the scaled features are persisted, and released after the fit.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from phenocast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(train.sparkSession)   # boosting cuts lineage every 10 trees
     features = list(features)
-    params = normalization_params(train, features)
-    params = params.persist(StorageLevel.MEMORY_AND_DISK)
-    scaled = scale_with(right_sized(train.where(F.col(label).isNotNull())), params, features)
+    params, scaled = _fitting_rows(train, features, label, partitions)
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     assembler = VectorAssembler(inputCols=[f"{c}__z" for c in features], outputCol="_features",
                                 handleInvalid="keep")
     est = make_estimator(kind, label, settings, seed)
-    model = Pipeline(stages=[assembler, est]).fit(scaled)
-    return FittedModel(model, params, features)
+    try:
+        return FittedModel(Pipeline(stages=[assembler, est]).fit(scaled), params, features)
+    finally:
+        scaled.unpersist()
 
 
 def feature_importances(fitted: FittedModel) -> DataFrame:
@@ -240,9 +278,33 @@ def two_stage_selection(train: DataFrame, test: DataFrame, features: Sequence[st
 
 
 # --------------------------------------------------------------------------- search
+VALIDATION_COL = "is_validation"
+LOSSES = {"ls": "squared", "squared_error": "squared", "lad": "absolute", "absolute_error": "absolute"}
+_MAPPED_SETTINGS = {"n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "min_samples_split",
+                    "subsample", "max_features", "loss", "tol", "n_iter_no_change",
+                    "validation_fraction", "min_impurity_decrease", "min_weight_fraction_leaf"}
+
+
 def sklearn_to_spark(p: dict) -> dict:
-    """Map sklearn-named settings onto GBTRegressor parameters."""
+    """Map sklearn-named settings onto GBTRegressor parameters.
+
+    Settings in ``IGNORED_SETTINGS`` have no counterpart and no effect; the huber and
+    quantile losses raise (:func:`supported` tells them beforehand).  ``tol`` maps to
+    ``validationTol``; it and ``n_iter_no_change`` take effect through
+    :func:`validation_split`, which names MLlib's indicator column.
+    """
+    unknown = set(p) - set(IGNORED_SETTINGS) - _MAPPED_SETTINGS
+    if unknown:
+        raise ValueError(f"unknown settings: {sorted(unknown)}")
     out = {}
+    if "tol" in p:
+        out["validationTol"] = float(p["tol"])
+    if p.get("n_iter_no_change") is not None:
+        out["validationIndicatorCol"] = VALIDATION_COL
+    if "min_impurity_decrease" in p:
+        out["minInfoGain"] = float(p["min_impurity_decrease"])
+    if "min_weight_fraction_leaf" in p:
+        out["minWeightFractionPerNode"] = float(p["min_weight_fraction_leaf"])
     if "n_estimators" in p:
         out["maxIter"] = int(p["n_estimators"])
     if "learning_rate" in p:
@@ -259,11 +321,29 @@ def sklearn_to_spark(p: dict) -> dict:
         mf = p["max_features"]
         out["featureSubsetStrategy"] = {"auto": "all", None: "all", 1.0: "all"}.get(mf, str(mf))
     if "loss" in p:
-        out["lossType"] = {"ls": "squared", "squared_error": "squared", "lad": "absolute",
-                           "absolute_error": "absolute"}[p["loss"]]
+        if not supported(p):
+            raise ValueError(f"MLlib has no {p['loss']!r} loss")
+        out["lossType"] = LOSSES[p["loss"]]
     return out
 
 
+def supported(p: dict) -> bool:
+    """Whether MLlib has the loss of a setting."""
+    return p.get("loss", "squared_error") in LOSSES
+
+
+def validation_split(df: DataFrame, keys: Sequence[str], fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """Rows marked for early stopping (``validation_fraction``), by key hash, for ``n_iter_no_change``."""
+    return hash_split(df, keys, fraction, seed, "_side").withColumn(
+        VALIDATION_COL, F.col("_side") == "test").drop("_side")
+
+
+def draw_grid(grid: dict, n: int, seed: int = 42) -> list[dict]:
+    """``n`` different settings of a grid, seeded; the losses that MLlib lacks are left out."""
+    settings = [s for s in expand_grid(grid) if supported(s)]
+    return random.Random(seed).sample(settings, min(n, len(settings)))
+
+
 def expand_grid(grid: dict) -> list[dict]:
     keys = list(grid)
     return [dict(zip(keys, vals)) for vals in product(*[grid[k] for k in keys])]
@@ -288,40 +368,50 @@ def draw_settings(space: dict, n: int, seed: int = 42) -> list[dict]:
 
 def cross_validate(train: DataFrame, features: Sequence[str], label: str, settings: list[dict],
                    folds: int = 5, metric: str = "mse", seed: int = 42, parallelism: int = 4,
-                   base: dict | None = None):
+                   base: dict | None = None, partitions: int | None = None):
     """k-fold CV over sklearn-named settings; best refitted on all rows.
 
     Returns (table of setting/metric rows, best FittedModel).  Each fold fit
     is a distributed MLlib job; ``parallelism`` fits run concurrently.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.tuning import CrossValidator
 
     from phenocast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(train.sparkSession)
     features = list(features)
-    params = normalization_params(train, features).persist(StorageLevel.MEMORY_AND_DISK)
-    scaled = scale_with(right_sized(train.where(F.col(label).isNotNull())), params, features)
+    params, scaled = _fitting_rows(train, features, label, partitions)
+    # the fold is drawn before the rows are persisted, so every fit sees the same folds
+    scaled = scaled.withColumn("_fold", F.floor(F.rand(seed) * folds).cast("int"))
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
-    est = make_estimator("gbt", label, base, seed)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=[f"{c}__z" for c in features],
-                                            outputCol="_features", handleInvalid="keep"), est])
-    maps = []
-    for s in settings:
-        mapped = sklearn_to_spark(s)
-        maps.append({getattr(est, k): v for k, v in mapped.items()})
+    assembler = VectorAssembler(inputCols=[f"{c}__z" for c in features], outputCol="_features",
+                                handleInvalid="keep")
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="_prediction", metricName=metric)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    cv_model = cv.fit(scaled)
-    spark = train.sparkSession
+
+    def pipeline(s):
+        est = make_estimator("gbt", label, {**(base or {}), **sklearn_to_spark(s)}, seed)
+        return Pipeline(stages=[assembler, est])
+
+    def score(task):
+        s, fold = task
+        model = pipeline(s).fit(scaled.where(F.col("_fold") != fold))
+        return evaluator.evaluate(model.transform(scaled.where(F.col("_fold") == fold)))
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            scores = list(pool.map(score, [(s, f) for s in settings for f in range(folds)]))
+        means = [sum(scores[i * folds:(i + 1) * folds]) / folds for i in range(len(settings))]
+        pick = max if evaluator.isLargerBetter() else min
+        best = FittedModel(pipeline(settings[means.index(pick(means))]).fit(scaled), params, features)
+    finally:
+        scaled.unpersist()
     rows = [(i, json.dumps(s, sort_keys=True, default=str), float(m))
-            for i, (s, m) in enumerate(zip(settings, cv_model.avgMetrics))]
-    table = spark.createDataFrame(rows, "setting_id int, setting string, metric double") \
+            for i, (s, m) in enumerate(zip(settings, means))]
+    table = train.sparkSession.createDataFrame(rows, "setting_id int, setting string, metric double") \
                  .withColumn("metric_name", F.lit(metric))
-    best = FittedModel(cv_model.bestModel, params, features)
     return table, best
 
 

@@ -84,8 +84,7 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
     k = min(n, max_k)
     if k == 1:
         return points.withColumn(cluster, F.lit(0))
-    from phenocast.operators.models import right_sized
-    base = standardize(right_sized(points), coords, suffix="__z") if scale else right_sized(points)
+    base = standardize(points, coords, suffix="__z") if scale else points
     src = [f"{c}__z" for c in coords] if scale else coords
     vec = VectorAssembler(inputCols=src, outputCol="_features").transform(base)
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
@@ -108,41 +107,38 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
         vec.unpersist()
 
 
-MAX_CENTRES = 10_000
-
-
 def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
                    centre_id: str = "centre_id", out: str = "centre",
-                   dist_out: str = "dist2", max_centres: int = MAX_CENTRES) -> DataFrame:
+                   dist_out: str = "dist2", block: int = 256) -> DataFrame:
     """Assign each point to the nearest centre by squared distance (M3).
 
-    ``centres`` holds one row per centre (k rows, k a model parameter); the
-    count is checked against ``max_centres`` before they are fetched.  They
-    become one constant array in the plan; each point then picks the minimum
-    of ``struct(dist2, centre_id)`` - ties go to the smaller id - in one
-    narrow projection, with no join and no shuffle of the points.
+    ``centres`` holds one row per centre (k rows, k a model parameter).  They
+    become constant arrays of ``block`` centres in the plan; each point picks the
+    minimum of ``struct(dist2, centre_id)`` over them - ties go to the smaller id -
+    in narrow projections, with no join and no shuffle of the points.
     """
     coords = list(coords)
-    n_centres = centres.count()
-    if n_centres > max_centres:
-        raise ValueError(f"{n_centres} centres exceed the bound {max_centres}; "
-                         "nearest-centre assignment is meant for k-means sized k")
     cent = centres.select(centre_id, *[F.col(c).cast("double").alias(c) for c in coords]).collect()
-    # the (checked, bounded) centres become one constant array in the plan
-    lits = F.array(*[F.struct(*[F.lit(r[c]).cast("double").alias(f"c{i}") for i, c in enumerate(coords)],
-                              F.lit(r[centre_id]).alias("id")) for r in cent])
-
-    def score(c):
-        d2 = None
-        for i, name in enumerate(coords):
-            diff = F.col(name).cast("double") - c[f"c{i}"]
-            d2 = diff * diff if d2 is None else d2 + diff * diff
-        return F.struct(d2.alias("d2"), c["id"].alias("id"))
-
-    best = F.array_min(F.transform(lits, score))
-    return (points.withColumn("_best", best)
-                  .withColumns({out: F.col("_best.id"), dist_out: F.col("_best.d2")})
-                  .drop("_best"))
+    id_type = centres.schema[centre_id].dataType
+    if not cent:
+        return points.withColumns({out: F.lit(None).cast(id_type), dist_out: F.lit(None).cast("double")})
+    xs = F.array(*[F.col(c).cast("double") for c in coords])
+
+    def nearest(rows):
+        lits = F.array(*[F.struct(F.array(*[F.lit(r[c]).cast("double") for c in coords]).alias("x"),
+                                  F.lit(r[centre_id]).cast(id_type).alias("id")) for r in rows])
+
+        def score(c):
+            d2 = F.aggregate(F.zip_with(F.col("_xs"), c["x"], lambda a, b: (a - b) * (a - b)),
+                             F.lit(0.0), lambda s, v: s + v)
+            return F.struct(d2.alias("d2"), c["id"].alias("id"))
+
+        return F.array_min(F.transform(lits, score))
+
+    res = points.withColumn("_xs", xs).withColumn("_best", nearest(cent[:block]))
+    for i in range(block, len(cent), block):
+        res = res.withColumn("_best", F.least("_best", nearest(cent[i:i + block])))
+    return res.withColumns({out: F.col("_best.id"), dist_out: F.col("_best.d2")}).drop("_best", "_xs")
 
 
 def representative_locations(data: DataFrame, location: str = "location", lat: str = "lat",

@@ -1,181 +1,252 @@
-"""Model queries (rows-checked: fits are not bit-reproducible across engines).
-
-All of them train on the training set built by :func:`training_set`
-(bloom day ~ previous year's monthly features), gaps filled with column
-means, split 80/20 by key hash with seed 42.  Fits that several queries
-share are memoized per (application, data directory) so a driver running
-every query trains each model once.
+"""Model queries, checked by what holds for any engine's fit.
+
+They train on the ``order_lines`` view (one row per order line, label: its price
+after discount and tax), so the training rows grow with the tables, split 80/20 by
+key hash with seed 42.  Fits are not bit-reproducible across engines, so the
+registered queries return the deterministic columns (keys, label, settings,
+counts) beside invariants of the fit: better than the mean predictor on held-out
+rows, forest predictions inside the label range, the strongest feature ranked
+first, minimal importance prefix, bounds around the prediction.  The operators in
+``phenocast.operators`` return predictions, scores and models.
+
+A fitted model is memoized per (application, data directory, time of the last
+change of the data), so a driver running every query trains each model once; the
+rows a fit persists are released when it ends.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from phenocast.functions.numeric import round_doubles
-from phenocast.operators import assemble, models, spatial, stats
+from phenocast.operators import models, spatial, stats
 from phenocast.plans import standins as V
-from phenocast.plans.pipeline import training_set
 from phenocast.plans.registry import register
+from phenocast.plans.standins import with_views
 from phenocast.session import shared_scratch_path
 from phenocast.sources.model_store import load_model_bundle, save_model_bundle
 
-META = ["location", "year", "bloom_doy", "lat", "long", "bloom_date", "alt"]
-LABEL = "bloom_doy"
-KEYS = ["location", "year"]
-# small search run by the registered queries; the source grids are in models.GRID_PRESETS
-QUICK_GRID = {"n_estimators": [20], "learning_rate": [0.1], "max_depth": [3, 4]}
-# the source's random-search space with fewer, shallower trees (driver-sized run)
-QUICK_SPACE = {**models.RANDOM_SEARCH_SPACE, "n_estimators": ("randint", 10, 30),
-               "max_depth": ("randint", 2, 5)}
+FEATURES = ["quantity", "discount_pct", "tax_pct", "p_size", "price_cents", "list_cents"]
+LABEL = "label"
+KEYS = ["l_orderkey", "l_linenumber"]
+SEARCH_SETTINGS = 2     # settings drawn by the registered searches from the unchanged source ranges
+
+_FITS: dict = {}
+
+_SPLIT_SQL = """split AS (
+  SELECT *, CASE WHEN rn <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT f.*, row_number() OVER (ORDER BY CAST('0x' || substr(md5(concat_ws('|',
+                 CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), '42')), 1, 15) AS BIGINT)) AS rn,
+               count(*) OVER () AS n
+        FROM order_lines f) t)
+"""
+
 
-_CACHE: dict = {}
+def _with_split() -> str:
+    return with_views("order_lines").rstrip() + ",\n" + _SPLIT_SQL
 
 
 def _key(spark, d, *extra):
-    return (spark.sparkContext.applicationId, d, *extra)
+    changed = V.table(spark, d, "lineitem").agg(F.max("_metadata.file_modification_time")).first()[0]
+    return (spark.sparkContext.applicationId, d, changed, *extra)
 
 
 def model_data(spark, d):
-    """(all rows, train, test, feature names), persisted once per data directory."""
-    k = _key(spark, d, "data")
-    if k not in _CACHE:
-        t = training_set(spark, d)
-        feats = [c for c in t.columns if c not in META]
-        filled = assemble.fill_with_means(t, feats).persist(StorageLevel.MEMORY_AND_DISK)
-        train, test = models.train_test(filled, KEYS, 0.2, 42)
-        _CACHE[k] = (filled, train, test, feats)
-    return _CACHE[k]
+    """(train, test) of the training table."""
+    return models.train_test(V.order_lines(spark, d).select(*KEYS, "l_shipdate", *FEATURES, LABEL), KEYS, 0.2, 42)
 
 
 def fitted(spark, d, kind="gbt", features=None):
-    _, train, _, feats = model_data(spark, d)
-    feats = list(features or feats)
+    feats = list(features or FEATURES)
     k = _key(spark, d, kind, tuple(feats))
-    if k not in _CACHE:
-        _CACHE[k] = models.fit_regressor(train, feats, LABEL, kind, seed=42)
-    return _CACHE[k]
+    if k not in _FITS:
+        train, _ = model_data(spark, d)
+        _FITS[k] = models.fit_regressor(train, feats, LABEL, kind, seed=42,
+                                        partitions=spark.sparkContext.defaultParallelism)
+    return _FITS[k]
 
 
-def _predict_test(spark, d, kind):
-    _, _, test, _ = model_data(spark, d)
-    pred = fitted(spark, d, kind).transform(test, "prediction")
-    return pred.select("location", "year", LABEL, F.round("prediction", 6).alias("prediction"))
+def _selection(spark, d):
+    """(selected names, ranked importances, their shortest prefix of 90 %)."""
+    imp = models.importance_rank(models.feature_importances(fitted(spark, d, "gbt")))
+    cut = models.importance_cutoff(imp, 0.9)
+    return [r["feature"] for r in cut.orderBy("rank").collect()], imp, cut
 
 
-@register("gbt_fit_predict")
+@register("gbt_fit_predict", _with_split() + f"""
+SELECT l_orderkey, l_linenumber, label, split, true AS predicted, true AS beats_mean FROM split WHERE split = 'test'""")
 def q_gbt_fit_predict(spark, d):
-    return _predict_test(spark, d, "gbt")
+    model, (_, test) = fitted(spark, d, "gbt"), model_data(spark, d)
+    r2 = models.evaluate(model, test, LABEL).first()["r2"]
+    pred = model.transform(test, "prediction")
+    return pred.select(*KEYS, LABEL, F.lit("test").alias("split"),
+                       (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"),
+                       F.lit(bool(r2 > 0)).alias("beats_mean"))
 
 
-@register("random_forest_fit_predict")
+@register("random_forest_fit_predict", _with_split() + """
+SELECT l_orderkey, l_linenumber, label, split, true AS in_label_range FROM split WHERE split = 'test'""")
 def q_random_forest_fit_predict(spark, d):
-    return _predict_test(spark, d, "rf")
-
-
-@register("feature_importance")
+    train, test = model_data(spark, d)
+    lo, hi = train.agg(F.min(LABEL), F.max(LABEL)).first()
+    pred = fitted(spark, d, "rf").transform(test, "prediction")
+    eps = 1e-9 * max(abs(lo), abs(hi))      # a leaf's mean is a rounded quotient
+    return pred.select(*KEYS, LABEL, F.lit("test").alias("split"),
+                       F.col("prediction").between(lo - eps, hi + eps).alias("in_label_range"))
+
+
+@register("feature_importance", with_views("order_lines").rstrip() + """,
+strength AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs(corr({c}, label)) AS s FROM order_lines" for c in FEATURES) + """)
+SELECT feature, s = max(s) OVER () AS strongest, true AS in_unit, 1.0::DOUBLE AS total FROM strength""")
 def q_feature_importance(spark, d):
-    imp = models.feature_importances(fitted(spark, d, "gbt"))
-    return models.importance_rank(imp)
+    _, imp, _ = _selection(spark, d)
+    total = imp.agg(F.round(F.sum("score"), 6)).first()[0]
+    return imp.select("feature", (F.col("rank") == 1).alias("strongest"),
+                      F.col("score").between(0, 1).alias("in_unit"), F.lit(total).alias("total"))
 
 
-def _selection(spark, d):
-    k = _key(spark, d, "selection")
-    if k not in _CACHE:
-        imp = models.importance_rank(models.feature_importances(fitted(spark, d, "gbt")))
-        cut = models.importance_cutoff(imp, 0.9)
-        selected = [r["feature"] for r in cut.orderBy("rank").select("feature").collect()]
-        _CACHE[k] = (selected, cut)
-    return _CACHE[k]
-
-
-@register("two_stage_selection")
+@register("two_stage_selection", _with_split() + """
+SELECT count(*) AS n, true AS prefix_minimal, true AS refit_on_selected, true AS beats_mean
+FROM split WHERE split = 'test'""")
 def q_two_stage_selection(spark, d):
-    _, _, test, _ = model_data(spark, d)
-    selected, cut = _selection(spark, d)
+    _, test = model_data(spark, d)
+    selected, _, cut = _selection(spark, d)
     refit = fitted(spark, d, "gbt", selected)
     m = models.evaluate(refit, test, LABEL).first()
-    return cut.select(
-        "feature", "rank", F.round("score", 6).alias("score"),
-        F.round("cum_score", 6).alias("cum_score"), F.lit(m["n"]).cast("long").alias("n"),
-        F.round(F.lit(m["mse"]).cast("double"), 6).alias("mse"),
-        F.round(F.lit(m["r2"]).cast("double"), 6).alias("r2"))
+    cums = [r["cum_score"] for r in cut.orderBy("rank").collect()]
+    minimal = cums[-1] >= 0.9 - 1e-9 and (len(cums) == 1 or cums[-2] < 0.9)
+    return spark.createDataFrame([(m["n"], bool(minimal), refit.features == selected, bool(m["r2"] > 0))],
+                                 "n long, prefix_minimal boolean, refit_on_selected boolean, beats_mean boolean")
 
 
-@register("model_comparison")
+@register("model_comparison", _with_split() + """
+SELECT m.model, count(*) AS n, true AS beats_mean
+FROM split CROSS JOIN (SELECT unnest(['rf', 'gbt', 'linear']) AS model) m WHERE split = 'test' GROUP BY m.model""")
 def q_model_comparison(spark, d):
-    _, _, test, _ = model_data(spark, d)
-    from functools import reduce
+    _, test = model_data(spark, d)
     tables = [models.evaluate(fitted(spark, d, kind), test, LABEL).withColumn("model", F.lit(kind))
               for kind in ("rf", "gbt", "linear")]
-    return round_doubles(reduce(lambda a, b: a.unionByName(b), tables).select("model", "n", "mse", "r2"))
+    return reduce(lambda a, b: a.unionByName(b), tables).select("model", "n", (F.col("r2") > 0).alias("beats_mean"))
+
+
+def _search_sql(settings, metric):
+    rows = ", ".join(f"({i}, '{json.dumps(s, sort_keys=True, default=str)}')" for i, s in enumerate(settings))
+    return _with_split() + f"""
+SELECT CAST(v.setting_id AS INTEGER) AS setting_id, v.setting, '{metric}' AS metric_name, true AS beats_mean, s.n
+FROM (VALUES {rows}) v(setting_id, setting)
+CROSS JOIN (SELECT count(*) AS n FROM split WHERE split = 'train') s"""
+
+
+def _search(spark, d, settings, metric):
+    train, _ = model_data(spark, d)
+    n, spread = train.agg(F.count(F.lit(1)), F.var_pop(LABEL)).first()
+    table, _ = models.cross_validate(train, FEATURES, LABEL, settings, folds=5, metric=metric, seed=42,
+                                     parallelism=8, partitions=spark.sparkContext.defaultParallelism)
+    better = F.col("metric") < spread if metric == "mse" else F.col("metric") > 0
+    return table.select("setting_id", "setting", "metric_name", better.alias("beats_mean"), F.lit(n).cast("long").alias("n"))
 
 
-@register("grid_search")
+_GRID_DRAW = models.draw_grid(models.GRID_PRESETS["base"], SEARCH_SETTINGS, seed=42)
+_RANDOM_DRAW = models.draw_settings(models.RANDOM_SEARCH_SPACE, SEARCH_SETTINGS, seed=42)
+
+
+@register("grid_search", _search_sql(_GRID_DRAW, "mse"))
 def q_grid_search(spark, d):
-    _, train, _, feats = model_data(spark, d)
-    table, _ = models.cross_validate(train, feats, LABEL, models.expand_grid(QUICK_GRID),
-                                     folds=5, metric="mse", seed=42, parallelism=4)
-    return table
+    """Settings of the unchanged base grid; ``python -m phenocast search`` runs any number of them."""
+    return _search(spark, d, _GRID_DRAW, "mse")
 
 
-@register("random_search")
+@register("random_search", _search_sql(_RANDOM_DRAW, "r2"))
 def q_random_search(spark, d):
-    _, train, _, feats = model_data(spark, d)
-    settings = models.draw_settings(QUICK_SPACE, 2, seed=42)
-    table, _ = models.cross_validate(train, feats, LABEL, settings, folds=5, metric="r2",
-                                     seed=42, parallelism=4)
-    return table
+    return _search(spark, d, _RANDOM_DRAW, "r2")
 
 
-@register("score_batch")
+@register("score_batch", with_views("order_lines") + """
+SELECT l_orderkey, l_linenumber, true AS ordered, true AS same_alone FROM order_lines
+WHERE year(l_shipdate) = (SELECT max(year(l_shipdate)) FROM order_lines)""")
 def q_score_batch(spark, d):
-    """Save the selected-feature model, load it back, score next year's rows."""
-    selected, _ = _selection(spark, d)
-    model = fitted(spark, d, "gbt", selected)
+    """Save the selected-feature model, load it back, score the latest year's rows.
+
+    ``same_alone``: a row filled and scored without its batch gets the same prediction.
+    """
+    selected, _, _ = _selection(spark, d)
     path = shared_scratch_path(spark, f"phenocast-models/{uuid.uuid4().hex}")
-    save_model_bundle(model, path)
+    save_model_bundle(fitted(spark, d, "gbt", selected), path)
     loaded = load_model_bundle(spark, path)
-    wide = V.weather_wide(spark, d)
-    latest = wide.agg(F.max("year").alias("_y")).first()["_y"]
-    new_rows = (wide.where(F.col("year") == F.lit(latest))
-                .withColumn("target_year", F.col("year") + 1))
-    filled = assemble.fill_with_means(new_rows, loaded.features)
-    pred = loaded.transform(filled, "_raw").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = V.order_lines(spark, d).select(*KEYS, "l_shipdate", *FEATURES)
+    latest = rows.agg(F.max(F.year("l_shipdate"))).first()[0]
+    new = loaded.fill(rows.where(F.year("l_shipdate") == F.lit(latest)).drop("l_shipdate"))
+    pred = loaded.transform(new, "_raw").select(*KEYS, "_raw")
+    one = new.orderBy(*KEYS).limit(1)
+    alone, in_batch = loaded.transform(one, "_raw").first(), pred.orderBy(*KEYS).first()
+    same = alone is None or alone["_raw"] == in_batch["_raw"]
     out = stats.final_predictions(pred, "_raw", "prediction", tail_alpha=0.75)
-    return out.select("location", "target_year", "prediction", "lower", "upper")
+    return out.select(*KEYS, F.col("prediction").between(F.col("lower"), F.col("upper")).alias("ordered"),
+                      F.lit(bool(same)).alias("same_alone"))
 
 
 # ---------------------------------------------------------------- clustering
-@register("kmeans_clusters")
+_K = 5
+_POINTS_SQL = """pts AS (
+  SELECT lat, long, location FROM {src} QUALIFY row_number() OVER (PARTITION BY lat, long ORDER BY {order}) = 1)"""
+
+
+@register("kmeans_clusters", with_views("sites").rstrip() + ",\n" + _POINTS_SQL.format(
+    src="sites", order="location") + f"""
+SELECT location, lat, long, true AS in_range, least({_K}, count(*) OVER ()) AS n_clusters FROM pts""")
 def q_kmeans_clusters(spark, d):
     from phenocast.operators.phenology import dedupe_points
     s = V.sites(spark, d)
     pts = dedupe_points(s, ["lat", "long"], ["location"]).select("location", "lat", "long")
-    return spatial.kmeans_clusters(pts, ["lat", "long"], max_k=5, restarts=10, seed=42) \
-        .select("cluster", "location", "lat", "long")
+    got = spatial.kmeans_clusters(pts, ["lat", "long"], max_k=_K, restarts=10, seed=42)
+    n = got.select("cluster").distinct().count()
+    return got.select("location", "lat", "long", F.col("cluster").between(0, _K - 1).alias("in_range"),
+                      F.lit(n).cast("long").alias("n_clusters"))
 
 
-@register("representative_locations")
-def q_representative_locations(spark, d):
-    _, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long",
-                                                  order=["year"], mode="columnwise_max")
-    return reps
+_BLOOM_POINTS = with_views("bloom").rstrip() + ",\n" + _POINTS_SQL.format(src="bloom", order="year, location")
 
 
-@register("correlation_wide")
-def q_correlation_wide(spark, d):
-    """All-pairs correlation of the filled training features (A10 for wide tables)."""
-    filled, _, _, feats = model_data(spark, d)
-    out = stats.correlation_matrix_wide(filled, feats)
-    return out.withColumn("corr", F.round("corr", 6))
+@register("representative_locations", _BLOOM_POINTS + f"""
+SELECT CAST(r.cluster AS INTEGER) AS cluster, p.max_lat, p.max_long
+FROM (SELECT max(lat) AS max_lat, max(long) AS max_long, least({_K}, count(*)) AS k FROM pts) p,
+     (SELECT unnest(range(0, {_K})) AS cluster) r WHERE r.cluster < p.k""")
+def q_representative_locations(spark, d):
+    """One representative per cluster; the maxima over them are those over all points."""
+    _, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long",
+                                                  order=["year"], mode="columnwise_max", max_k=_K)
+    reps = spark.createDataFrame(reps.collect(), reps.schema)       # at most k rows
+    top = reps.agg(F.max("lat"), F.max("long")).first()
+    return reps.select("cluster", F.lit(top[0]).alias("max_lat"), F.lit(top[1]).alias("max_long"))
 
 
-@register("representatives_most_observed")
+@register("representatives_most_observed", _BLOOM_POINTS + f""",
+obs AS (SELECT location, count(*) AS n FROM bloom GROUP BY location)
+SELECT CAST(r.cluster AS INTEGER) AS cluster, p.max_obs, true AS is_point
+FROM (SELECT max(n) AS max_obs, least({_K}, count(*)) AS k FROM pts JOIN obs USING (location)) p,
+     (SELECT unnest(range(0, {_K})) AS cluster) r WHERE r.cluster < p.k""")
 def q_representatives_most_observed(spark, d):
     """M4 with the documented intent: the real location with most observations per cluster."""
-    _, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long",
-                                                  order=["year"], mode="most_observed")
-    return reps
+    points, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long",
+                                                       order=["year"], mode="most_observed", max_k=_K)
+    reps = spark.createDataFrame(reps.collect(), reps.schema)       # at most k rows
+    top = reps.agg(F.max("num_obs")).first()[0]
+    real = points.select("cluster", "location", "lat", "long", F.lit(True).alias("is_point")).distinct()
+    return reps.join(real, ["cluster", "location", "lat", "long"], "left").select(
+        "cluster", F.lit(top).cast("long").alias("max_obs"), F.coalesce("is_point", F.lit(False)).alias("is_point"))
+
+
+# ---------------------------------------------------------------- wide correlation
+@register("correlation_wide", with_views("points") + """
+SELECT feature_a, feature_b, CASE WHEN corr = 0 THEN 0.0 ELSE corr END AS corr FROM (
+  SELECT printf('x%02d', a.i - 1) AS feature_a, printf('x%02d', b.i - 1) AS feature_b,
+         CASE WHEN a.i = b.i THEN 1.0 ELSE round(corr(a.x, b.x), 6) END AS corr
+  FROM points a JOIN points b ON a.vec_id = b.vec_id GROUP BY a.i, b.i) t""")
+def q_correlation_wide(spark, d):
+    """All-pairs correlation of every vector dimension (A10 for wide tables)."""
+    out = stats.correlation_matrix_wide(V.points(spark, d), V.POINT_COORDS)
+    return out.withColumn("corr", F.round("corr", 6))

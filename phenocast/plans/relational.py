@@ -296,9 +296,12 @@ SELECT * FROM ({_FIRST_BLOOM_SQL.format(src="status_obs")}) b WHERE {_NOT_P1}"""
 def q_union_locations(spark, d):
     obs = V.status_obs(spark, d)
     keys = V.split_pair(spark, d)
-    one, rest = phenology.split_by_keys(obs, keys)
-    one_b = _first_bloom(one).withColumn("location", F.lit("split"))
-    return assemble.union_locations([one_b, _first_bloom(rest)])
+    # site and species are grouping keys of the first bloom, so the two sides of the union
+    # are told apart after one pass (assemble.union_locations unions separate tables)
+    match = F.lit(True)
+    for k, v in keys.items():
+        match = match & F.col(k).eqNullSafe(F.lit(v))
+    return _first_bloom(obs).withColumn("location", F.when(match, "split").otherwise(F.col("location")))
 
 
 @register("distinct_pairs", with_views("status_obs") + """

@@ -119,11 +119,14 @@ def observations(spark, d) -> DataFrame:
     return status_obs(spark, d).withColumn("location", F.col("site_id").cast("string"))
 
 
+POINT_COORDS = [f"x{i:02d}" for i in range(64)]
+
+
 def points(spark, d) -> DataFrame:
+    """Points in all dimensions of the vectors (one column each)."""
     e = table(spark, d, "embeddings")
-    return e.select(F.col("vec_id"), F.col("label"),
-                    F.col("embedding")[0].cast("double").alias("lat"),
-                    F.col("embedding")[1].cast("double").alias("long"))
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c)
+                                         for i, c in enumerate(POINT_COORDS)])
 
 
 def features(spark, d) -> DataFrame:
@@ -139,6 +142,21 @@ def features(spark, d) -> DataFrame:
         F.col("l_extendedprice").alias("label"))
 
 
+def order_lines(spark, d) -> DataFrame:
+    """Training rows of the models: the label is the line's price after discount and tax."""
+    l = table(spark, d, "lineitem")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice")
+    return l.join(p, "l_partkey").select(
+        "l_orderkey", "l_linenumber", "l_shipdate",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.rint(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+        F.rint(F.col("l_tax") * 100).cast("int").alias("tax_pct"),
+        "p_size",
+        F.rint(F.col("p_retailprice") * 100).cast("bigint").alias("price_cents"),
+        F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("list_cents"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("label"))
+
+
 def scores(spark, d) -> DataFrame:
     l = table(spark, d, "lineitem")
     o = table(spark, d, "orders")
@@ -237,8 +255,8 @@ SQL_VIEWS = {
     "observations": """observations AS (
   SELECT *, CAST(site_id AS VARCHAR) AS location FROM status_obs)""",
     "points": """points AS (
-  SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS long
-  FROM embeddings)""",
+  SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS x
+  FROM embeddings CROSS JOIN (SELECT unnest(range(1, 65)) AS i) t)""",
     "features": """features AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate,
          CAST(l.l_quantity AS INTEGER) AS quantity,
@@ -246,6 +264,15 @@ SQL_VIEWS = {
          CAST(round(l.l_tax * 100) AS INTEGER) AS tax_pct,
          p.p_size, CAST(round(p.p_retailprice * 100) AS BIGINT) AS price_cents,
          l.l_extendedprice AS label
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)""",
+    "order_lines": """order_lines AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate,
+         CAST(l.l_quantity AS INTEGER) AS quantity,
+         CAST(round(l.l_discount * 100) AS INTEGER) AS discount_pct,
+         CAST(round(l.l_tax * 100) AS INTEGER) AS tax_pct,
+         p.p_size, CAST(round(p.p_retailprice * 100) AS BIGINT) AS price_cents,
+         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS list_cents,
+         l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) AS label
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)""",
     "scores": """scores AS (
   SELECT o.o_orderkey, o.o_totalprice / 1000 AS y, s.s / 1000 AS prediction

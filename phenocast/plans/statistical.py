@@ -224,24 +224,20 @@ FROM (SELECT l_orderkey, l_linenumber,
              count(*) OVER () AS n
       FROM features) t""")
 def q_hash_split(spark, d):
-    f = V.features(spark, d).select(*KEYS)
+    f = V.table(spark, d, "lineitem").select(*KEYS)     # a lineitem has one part: no join needed
     return models.hash_split(f, KEYS, 0.2, 42)
 
 
-@register("nearest_centre", with_views("points") + """
-SELECT vec_id, label, centre, round(dist2, 6) AS dist2 FROM (
-  SELECT p.vec_id, p.label, c.centre_id AS centre,
-         (p.lat - c.clat) * (p.lat - c.clat) + (p.long - c.clong) * (p.long - c.clong) AS dist2,
-         row_number() OVER (PARTITION BY p.vec_id ORDER BY
-           (p.lat - c.clat) * (p.lat - c.clat) + (p.long - c.clong) * (p.long - c.clong), c.centre_id) AS rn
-  FROM points p CROSS JOIN (SELECT label AS centre_id, avg(lat) AS clat, avg(long) AS clong
-                            FROM points GROUP BY label) c) t
-WHERE rn = 1""")
+@register("nearest_centre", with_views("points") + """,
+centres AS (SELECT label AS centre_id, i, avg(x) AS c FROM points GROUP BY label, i),
+dists AS (SELECT p.vec_id, p.label, c.centre_id, sum((p.x - c.c) * (p.x - c.c)) AS d2
+          FROM points p JOIN centres c ON p.i = c.i GROUP BY p.vec_id, p.label, c.centre_id)
+SELECT vec_id, label, centre_id AS centre, round(d2, 6) AS dist2
+FROM dists QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(d2, 9), centre_id) = 1""")
 def q_nearest_centre(spark, d):
     p = V.points(spark, d)
-    centres = p.groupBy(F.col("label").alias("centre_id")).agg(
-        F.avg("lat").alias("lat"), F.avg("long").alias("long"))
-    out = spatial.nearest_centre(p, centres, ["lat", "long"], "centre_id", "centre", "dist2")
+    centres = p.groupBy(F.col("label").alias("centre_id")).agg(*[F.avg(c).alias(c) for c in V.POINT_COORDS])
+    out = spatial.nearest_centre(p, centres, V.POINT_COORDS, "centre_id", "centre", "dist2")
     return out.select("vec_id", "label", "centre", F.round("dist2", 6).alias("dist2"))
 
 

@@ -4,8 +4,8 @@ Each micro-batch is one batch of new rows: it is scored with the saved model
 bundle and gets its own prediction interval (the spread is that of the
 batch's predictions, as in one-off batch scoring).  ``foreachBatch`` writes
 each batch to a run-named folder; the stream's progress lives in a
-checkpoint under the shared checkpoint folder, so a restarted query resumes
-where it stopped and a lost executor only re-runs its tasks.
+checkpoint folder that the caller names, so a restarted query resumes where
+it stopped and a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
@@ -13,17 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from phenocast.plans.pipeline import predictions_table
-from phenocast.session import shared_scratch_path
 from phenocast.sources import schemas
 from phenocast.sources.model_store import load_model_bundle
 from phenocast.sources.writers import write_csv
 
 
 def score_stream(spark: SparkSession, input_dir: str, model_path: str, output_dir: str,
-                 checkpoint: str | None = None, available_now: bool = True,
+                 checkpoint: str, available_now: bool = True,
                  max_files_per_trigger: int | None = None):
     """Start a streaming query scoring every new CSV file in ``input_dir``.
 
+    ``checkpoint`` is the shared folder of this stream's progress; a restart with the
+    same folder takes up only files that are new.
     Returns the ``StreamingQuery``; with ``available_now`` it processes the
     files present and stops (call ``awaitTermination()``).
     """
@@ -46,7 +47,6 @@ def score_stream(spark: SparkSession, input_dir: str, model_path: str, output_di
         finally:
             scored.unpersist()
 
-    ckpt = checkpoint or shared_scratch_path(spark, "phenocast-stream-scoring")
-    writer = rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", ckpt)
+    writer = rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
