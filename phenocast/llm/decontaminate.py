@@ -6,9 +6,12 @@ gives the longest suffix of the document that occurs in some item.  Where that
 match is at least ``window`` words long, its words are hit; an item shorter
 than a window must match whole.
 
-The automaton is broadcast, so its size is checked first: items are dealt into
-blocks of at most ``block_words`` words, each block gives one automaton, and the
-documents are matched against one block after the other.
+What is sent to the tasks has a bound: items are read in blocks of at most
+``block_words`` words (a longer item in pieces that share ``window - 1`` words, so no
+window is lost), each block gives one automaton, and the documents are matched against
+one block after the other.  The driver holds two blocks and one automaton, a task one
+automaton; what was found so far is written beside the documents between two passes.
+A benchmark of one block takes one pass and writes nothing.
 
 Words: A-Z lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.
 
@@ -29,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from phenocast.llm._common import table, utf8
+from phenocast.llm._common import table, utf8, written
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
               for c in range(256))
@@ -61,14 +65,14 @@ class SuffixAutomaton:
             for c in ids:
                 last = self._extend(last, c)
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
-        self.items: list[set] = [set() for _ in self.length]
+        self.items: dict[int, set] = {}     # of the states that hold a window
         self.short: dict[int, list[tuple[int, str | None]]] = {}
         for item, ids in coded:
             s = 0
             for c in ids:
                 s = self.next[s][c]
                 u = s
-                while u > 0 and item not in self.items[u]:
+                while u > 0 and self.length[u] >= window and item not in self.items.setdefault(u, set()):
                     self.items[u].add(item)
                     u = self.link[u]
             if len(ids) < window:
@@ -130,7 +134,7 @@ class SuffixAutomaton:
                 u = s
                 while length[link[u]] >= window:
                     u = link[u]
-                items |= self.items[u]
+                items |= self.items.get(u, set())
             if self.short:
                 u = s
                 while u > 0:
@@ -198,23 +202,26 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(benchmark: DataFrame, window: int = 10, item_col: str = "item_id", text_col: str = "text",
-             block_words: int = 2_000_000) -> list[SuffixAutomaton]:
-    """Automata of all items, each over a block of at most ``block_words`` words
-    (or one item): the size of what is broadcast at once is checked, not assumed."""
+def blocks(benchmark: DataFrame, window: int = 10, item_col: str = "item_id", text_col: str = "text",
+           block_words: int = 500_000):
+    """(item, words) in lists of at most ``block_words`` words, read one after the other."""
+    most = max(block_words, window)
     rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t"))
-    out, block, n = [], [], 0
+    block, n = [], 0
     for r in rows.toLocalIterator():
         ws = words(r["t"])
-        if block and n + len(ws) > block_words:
-            out.append(SuffixAutomaton(block, window))
-            block, n = [], 0
-        if ws:
-            block.append((r["i"], ws))
-            n += len(ws)
+        if not ws:
+            continue
+        step = most - window + 1
+        for at in range(0, len(ws) - window + 1, step) if len(ws) > most else (0,):
+            piece = ws[at:at + most]
+            if block and n + len(piece) > most:
+                yield block
+                block, n = [], 0
+            block.append((r["i"], piece))
+            n += len(piece)
     if block:
-        out.append(SuffixAutomaton(block, window))
-    return out
+        yield block
 
 
 def _groups(texts: list[str | None], most: int = 4_000_000):
@@ -230,39 +237,73 @@ def _groups(texts: list[str | None], most: int = 4_000_000):
         yield part
 
 
-def _matches(texts: list[str | None], models: list[SuffixAutomaton]) -> list[tuple[int, list[tuple[int, int]], set]]:
-    """Of each text: its number of words, merged hit intervals, items."""
+def _matches(texts: list[str | None], model: SuffixAutomaton,
+             before: list[tuple[list[int], list]] | None) -> list[tuple[int, list[tuple[int, int]], set]]:
+    """Of each text: its number of words, merged hit intervals, items; with those found before."""
     out = []
     for part in _groups(texts):
-        docs = [d for _, d in part]
-        found = [([], set()) for _ in docs]
-        for m in models:
-            for f, (spans, items) in zip(found, m.match(docs)):
-                f[0].extend(spans)
-                f[1].update(items)
-        out += [(len(d), merged(f[0]), f[1]) for d, f in zip(docs, found)]
+        found = model.match([d for _, d in part])
+        for (i, d), (spans, items) in zip(part, found):
+            if before:
+                ends, old = before[i]
+                spans, items = [*spans, *zip(ends[::2], ends[1::2])], items.union(old)
+            out.append((len(d), merged(spans), items))
     return out
 
 
+def _matched(docs: DataFrame, at: int, benchmark: DataFrame, window: int, item_col: str, item_text_col: str,
+             block_words: int, finish, schema) -> DataFrame:
+    """``finish(batch, found)`` over all rows, after a pass for each block of the benchmark.
+
+    ``at`` is the place of the text; between passes, the ends of the hit intervals and
+    the items found so far stand in two more columns.
+    """
+    width = len(docs.columns)
+    tag = max((len(c) for c in docs.columns), default=0) * "_"    # longer than any given name
+    carry = T.StructType([*docs.schema.fields, T.StructField(f"{tag}ends", T.ArrayType(T.LongType())),
+                          T.StructField(f"{tag}items", T.ArrayType(T.StringType()))])
+
+    def one_pass(model, last):
+        def run(batches):
+            for batch in batches:
+                before = None
+                if batch.num_columns > width:
+                    before = list(zip(batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()))
+                    batch = batch.select(list(range(width)))
+                found = _matches(batch.column(at).to_pylist(), model, before)
+                if last:
+                    yield finish(batch, found)
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns, pa.array([[x for s in spans for x in s] for _, spans, _ in found], pa.list_(pa.int64())),
+                         pa.array([list(items) for _, _, items in found], pa.list_(pa.string()))],
+                        names=carry.names)
+        return run
+
+    rest = blocks(benchmark, window, item_col, item_text_col, block_words)
+    block, frame = next(rest, []), docs
+    while (following := next(rest, None)) is not None:
+        frame = written(frame.mapInArrow(one_pass(SuffixAutomaton(block, window), False), carry), "decontaminate")
+        block = following
+    return frame.mapInArrow(one_pass(SuffixAutomaton(block, window), True), schema)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
-                       text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                       text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                       block_words: int = 500_000) -> DataFrame:
     """Per document: words, hit words, items with occurring windows (module text)."""
-    models = automata(benchmark, window, item_col, item_text_col)
-
-    def run(batches):
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            found = _matches(texts, models)
-            hit = [sum(b - a for a, b in spans) for _, spans, _ in found]
-            items = [sorted(i for i in x if i is not None) for _, _, x in found]
-            yield pa.RecordBatch.from_arrays([
-                ids.cast(pa.int64()), pa.array([n for n, _, _ in found], pa.int64()), pa.array(hit, pa.int64()),
-                pa.array([len(i) for i in items], pa.int64()),
-                pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
-                pa.array([h > 0 for h in hit], pa.bool_())],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+    def digest(batch, found):
+        hit = [sum(b - a for a, b in spans) for _, spans, _ in found]
+        items = [sorted(i for i in x if i is not None) for _, _, x in found]
+        return pa.RecordBatch.from_arrays([
+            batch.column(0).cast(pa.int64()), pa.array([n for n, _, _ in found], pa.int64()), pa.array(hit, pa.int64()),
+            pa.array([len(i) for i in items], pa.int64()),
+            pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
+            pa.array([h > 0 for h in hit], pa.bool_())],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, DIGEST)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return _matched(rows, 1, benchmark, window, item_col, item_text_col, block_words, digest, DIGEST)
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -277,34 +318,31 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5,
                   text_col: str = "text", n_chars_col: str | None = "n_chars",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", block_words: int = 500_000) -> DataFrame:
     """``docs`` without benchmark passages, same columns.
 
     Spans whose match reaches the length limit (``window`` words) are removed
     from the text; a document of which more than ``max_coverage`` of the words
     are hit is removed whole.  All others stay as they are.
     """
-    models = automata(benchmark, window, item_col, item_text_col)
     at = docs.columns.index(text_col)
     chars = docs.columns.index(n_chars_col) if n_chars_col in docs.columns else None
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            found = _matches(texts, models)
-            if any(spans for _, spans, _ in found):
-                keep = [sum(b - a for a, b in spans) <= max_coverage * n for n, spans, _ in found]
-                texts = [_cut(t, spans) if spans else t for t, (_, spans, _) in zip(texts, found)]
-                cols = list(batch.columns)
-                if chars is not None:
-                    old = batch.column(chars).to_pylist()
-                    cols[chars] = pa.array([len(t) if spans else o for o, t, (_, spans, _) in zip(old, texts, found)],
-                                           batch.schema.field(chars).type)
-                cols[at] = pa.array(texts, batch.schema.field(at).type)
-                batch = pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(keep))
-            yield batch
-
-    return docs.mapInArrow(run, docs.schema)
+    def clean(batch, found):
+        if not any(spans for _, spans, _ in found):
+            return batch
+        texts = batch.column(at).to_pylist()
+        keep = [sum(b - a for a, b in spans) <= max_coverage * n for n, spans, _ in found]
+        texts = [_cut(t, spans) if spans else t for t, (_, spans, _) in zip(texts, found)]
+        cols = list(batch.columns)
+        if chars is not None:
+            old = batch.column(chars).to_pylist()
+            cols[chars] = pa.array([len(t) if spans else o for o, t, (_, spans, _) in zip(old, texts, found)],
+                                   batch.schema.field(chars).type)
+        cols[at] = pa.array(texts, batch.schema.field(at).type)
+        return pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(keep))
+
+    return _matched(docs, at, benchmark, window, item_col, item_text_col, block_words, clean, docs.schema)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -418,9 +418,24 @@ def test_decontaminate_removes_passages_and_keeps_clean(spark, odd, none):
     rows = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, bench).collect()}
     assert (rows[2]["n_hit"], rows[2]["n_items"], rows[4]["n_words"]) == (11, 1, 0)
     assert decontaminate.find_contamination(none, bench).count() == 0
+    assert decontaminate.decontaminate(none, bench).count() == 0 and decontaminate.decontaminate(odd, bench.limit(0)).count() == len(ODD)
     assert not any(r["contaminated"] for r in decontaminate.find_contamination(odd, bench.limit(0)).collect())
 
 
+def test_decontamination_in_blocks_equals_one_block(spark, odd):
+    rng = np.random.default_rng(19)
+    text = lambda n: " ".join(rng.choice(list("abc"), n))
+    items = [(f"i{k}", text(int(n))) for k, n in enumerate([3, 40, 7, 25, 0, 12])] + [(None, text(9)), ("odd", ODD[0][1])]
+    bench = spark.createDataFrame(items, "item_id string, text string").coalesce(1)
+    docs = spark.createDataFrame([(i, text(int(n)), "en", i) for i, n in enumerate(rng.integers(0, 60, 20))], SCHEMA).unionAll(odd)
+    assert max(sum(len(w) for _, w in b) for b in decontaminate.blocks(bench, 6, block_words=8)) <= 8
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    one, many = (rows(decontaminate.find_contamination(docs, bench, 6, block_words=n)) for n in (1000, 8))
+    assert one == many and any(r[3] > 1 for r in one)
+    one, many = (rows(decontaminate.decontaminate(docs, bench, 6, block_words=n)) for n in (1000, 8))
+    assert one == many and len(one) < 20 + len(ODD)
+
+
 # --- operator 10 ---------------------------------------------------------------------------
 
 def _dedup_brute(docs, least):
