@@ -368,11 +368,11 @@ def draw_settings(space: dict, n: int, seed: int = 42) -> list[dict]:
 
 def cross_validate(train: DataFrame, features: Sequence[str], label: str, settings: list[dict],
                    folds: int = 5, metric: str = "mse", seed: int = 42, parallelism: int = 4,
-                   base: dict | None = None, partitions: int | None = None):
+                   base: dict | None = None, partitions: int | None = None, refit: bool = True):
     """k-fold CV over sklearn-named settings; best refitted on all rows.
 
-    Returns (table of setting/metric rows, best FittedModel).  Each fold fit
-    is a distributed MLlib job; ``parallelism`` fits run concurrently.
+    Returns (table of setting/metric rows, best FittedModel; None without ``refit``).
+    Each fold fit is a distributed MLlib job; ``parallelism`` fits run concurrently.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -405,7 +405,7 @@ def cross_validate(train: DataFrame, features: Sequence[str], label: str, settin
             scores = list(pool.map(score, [(s, f) for s in settings for f in range(folds)]))
         means = [sum(scores[i * folds:(i + 1) * folds]) / folds for i in range(len(settings))]
         pick = max if evaluator.isLargerBetter() else min
-        best = FittedModel(pipeline(settings[means.index(pick(means))]).fit(scaled), params, features)
+        best = FittedModel(pipeline(settings[means.index(pick(means))]).fit(scaled), params, features) if refit else None
     finally:
         scaled.unpersist()
     rows = [(i, json.dumps(s, sort_keys=True, default=str), float(m))

@@ -33,6 +33,7 @@ FEATURES = ["quantity", "discount_pct", "tax_pct", "p_size", "price_cents", "lis
 LABEL = "label"
 KEYS = ["l_orderkey", "l_linenumber"]
 SEARCH_SETTINGS = 2     # settings drawn by the registered searches from the unchanged source ranges
+SEARCH_FITS = 8         # fits of a search that run side by side and share the cores
 
 _FITS: dict = {}
 
@@ -145,7 +146,8 @@ def _search(spark, d, settings, metric):
     train, _ = model_data(spark, d)
     n, spread = train.agg(F.count(F.lit(1)), F.var_pop(LABEL)).first()
     table, _ = models.cross_validate(train, FEATURES, LABEL, settings, folds=5, metric=metric, seed=42,
-                                     parallelism=8, partitions=spark.sparkContext.defaultParallelism)
+                                     parallelism=SEARCH_FITS, refit=False,
+                                     partitions=-(-spark.sparkContext.defaultParallelism // SEARCH_FITS))
     better = F.col("metric") < spread if metric == "mse" else F.col("metric") > 0
     return table.select("setting_id", "setting", "metric_name", better.alias("beats_mean"), F.lit(n).cast("long").alias("n"))
 
