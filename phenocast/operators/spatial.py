@@ -27,26 +27,29 @@ def _max_expr(df: DataFrame, c: str):
     return F.max(c).alias(c)
 
 
-def cluster_columnwise_max(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFrame:
+def cluster_columnwise_max(df: DataFrame, cluster: str, cols: Sequence[str],
+                           group: Sequence[str] = ()) -> DataFrame:
     """Each column's own maximum per cluster (A5; parity with the source).
 
     The result row need not exist in the input: location, lat and long are
-    maximised separately.
+    maximised separately.  ``group`` columns are further keys.
     """
-    return df.groupBy(cluster).agg(*[_max_expr(df, c) for c in cols])
+    return df.groupBy(*group, cluster).agg(*[_max_expr(df, c) for c in cols])
 
 
 def cluster_most_observed(df: DataFrame, counts: DataFrame, cluster: str, location: str,
-                          cols: Sequence[str], num_obs: str = "num_obs") -> DataFrame:
+                          cols: Sequence[str], num_obs: str = "num_obs", group: Sequence[str] = (),
+                          on: Sequence[str] = ()) -> DataFrame:
     """The location with most observations per cluster, with its own coordinates.
 
     Ties go to the larger location id (numeric-aware).  A partial ``max_by``
-    aggregate: no window, no sort of a whole cluster in one task.
+    aggregate: no window, no sort of a whole cluster in one task.  ``group`` columns are
+    further keys; ``on`` names those that ``counts`` has beside the location.
     """
-    j = df.join(counts, on=location, how="left")
+    j = df.join(counts, on=[*on, location], how="left")
     value = F.struct(*[F.col(c) for c in [location, *cols] if c != cluster], F.col(num_obs))
     order = F.struct(F.coalesce(F.col(num_obs), F.lit(0)).alias("_n"), numeric_aware_key(location).alias("_k"))
-    return j.groupBy(cluster).agg(F.max_by(value, order).alias("_r")).select(cluster, "_r.*")
+    return j.groupBy(*group, cluster).agg(F.max_by(value, order).alias("_r")).select(*group, cluster, "_r.*")
 
 
 def representative_counts(reps: DataFrame, counts: DataFrame, location: str = "location") -> DataFrame:
@@ -107,6 +110,69 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
         vec.unpersist()
 
 
+def _sq_dist(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
+
+
+def kmeans_by_group(points: DataFrame, key: str, coords: Sequence[str], max_k: int = 5, restarts: int = 10,
+                    seed: int = 42, cluster: str = "cluster", max_iter: int = 300, tol: float = 1e-4) -> DataFrame:
+    """KMeans of every group at once: per group, the best of ``restarts`` (M2 with a key).
+
+    Coordinates are standardized per group; k = min(different points, ``max_k``).  All
+    groups and restarts share each step: k-means++ seeding (a draw in proportion to the
+    squared distance, as a minimum over ``-ln(u) / d2`` with u from a hash), then
+    mean updates until no centre moves further than ``tol``.  Each step joins the
+    points with one small row of centres per group and combines sums before the
+    shuffle; the centres are checkpointed, so the plan does not grow.  ``key`` holds no
+    null; rows with a null coordinate are left out.
+    """
+    from phenocast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(points.sparkSession)
+    coords = list(coords)
+    points = points.where(" AND ".join(f"`{c}` IS NOT NULL" for c in coords))
+    z = [F.col(c).cast("double") for c in coords]
+    moments = points.groupBy(key).agg(*[F.avg(x).alias(f"_m{i}") for i, x in enumerate(z)],
+                                      *[F.stddev_pop(x).alias(f"_s{i}") for i, x in enumerate(z)])
+    scaled = points.join(moments, key).select(*points.columns, F.array(*[
+        (x - F.col(f"_m{i}")) / F.coalesce(F.nullif(f"_s{i}", F.lit(0.0)), F.lit(1.0))
+        for i, x in enumerate(z)]).alias("_x")).checkpoint()
+
+    def nearest(cs):
+        return F.array_min(F.transform(cs, lambda c: F.struct(
+            _sq_dist(F.col("_x"), c["_m"]).alias("d2"), c["_c"].alias("c"))))
+
+    def packed(cents):      # at most max_k centres a group and restart
+        return cents.groupBy(key, "_r").agg(F.collect_list(F.struct("_c", F.col("_x").alias("_m"))).alias("_cs"))
+
+    def each(cents):
+        per = packed(cents).groupBy(key).agg(F.collect_list(F.struct("_r", "_cs")).alias("_all"))
+        return (scaled.select(key, "_x").join(per, key).select(key, "_x", F.explode("_all").alias("_a"))
+                .select(key, "_x", F.col("_a._r").alias("_r"), nearest(F.col("_a._cs")).alias("_b")))
+
+    def drawn(step, weight):
+        u = (F.pmod(F.xxhash64(key, "_x", "_r", F.lit(step), F.lit(seed)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
+        return F.min_by("_x", -F.log(u) / weight).alias("_x")
+
+    cents = (scaled.select(key, "_x", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("_r"))
+             .groupBy(key, "_r").agg(drawn(0, F.lit(1.0))).select(key, "_r", F.lit(0).alias("_c"), "_x").checkpoint())
+    for step in range(1, max_k):
+        new = each(cents).where("_b.d2 > 0").groupBy(key, "_r").agg(drawn(step, F.col("_b.d2")))
+        cents = cents.unionByName(new.select(key, "_r", F.lit(step).alias("_c"), "_x")).checkpoint()
+    for _ in range(max_iter):
+        means = (each(cents).groupBy(key, "_r", F.col("_b.c").alias("_c"))
+                 .agg(F.array(*[F.avg(F.col("_x")[i]) for i in range(len(coords))]).alias("_n")))
+        moved = (cents.join(means, [key, "_r", "_c"], "left").withColumn("_n", F.coalesce("_n", "_x"))
+                 .select(key, "_r", "_c", F.col("_n").alias("_x"), _sq_dist(F.col("_x"), F.col("_n")).alias("_d"))
+                 .checkpoint())
+        cents = moved.drop("_d")
+        if (moved.agg(F.max("_d")).first()[0] or 0.0) <= tol * tol:
+            break
+    best = (each(cents).groupBy(key, "_r").agg(F.sum("_b.d2").alias("_cost"))
+            .groupBy(key).agg(F.min_by("_r", F.struct("_cost", "_r")).alias("_r")))
+    final = packed(cents).join(best, [key, "_r"]).select(key, "_cs").checkpoint()
+    return scaled.join(final, key).select(*points.columns, nearest(F.col("_cs"))["c"].cast("int").alias(cluster))
+
+
 def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
                    centre_id: str = "centre_id", out: str = "centre",
                    dist_out: str = "dist2", block: int = 256) -> DataFrame:
@@ -153,24 +219,32 @@ def representative_locations(data: DataFrame, location: str = "location", lat: s
     ``mode='columnwise_max'`` reproduces the source's column-wise maximum;
     ``'most_observed'`` picks the real location with most observations.
 
-    ``group`` (e.g. a country or source-file column) clusters each group on
-    its own, as the source does per input file: one distributed KMeans fit
-    per group value, the group columns kept as keys of all three outputs.
+    ``group`` (e.g. a country or source-file column) clusters each group on its own, as the
+    source does per input file: the group columns (null is a value) are keys of every step
+    and of all three outputs, so the number of jobs does not grow with the groups.  Points
+    with a null coordinate take no part there.
     """
+    if mode not in ("columnwise_max", "most_observed"):
+        raise ValueError(f"unknown mode {mode!r}")
     group = list(group)
     if group:
-        from functools import reduce
-        # one row per group value (countries / files): a bounded fetch
-        values = [tuple(r) for r in data.select(*group).distinct().collect()]
-        outs = []
-        for v in values:
-            cond = reduce(lambda a, b: a & b,
-                          [F.col(g).eqNullSafe(F.lit(x)) for g, x in zip(group, v)])
-            sub = representative_locations(data.where(cond), location, lat, long, order, mode, (),
-                                           max_k, restarts, seed)
-            outs.append([t.withColumns({g: F.lit(x) for g, x in zip(group, v)})
-                         .select(*group, *[c for c in t.columns if c not in group]) for t in sub])
-        return tuple(reduce(lambda a, b: a.unionByName(b), [o[i] for o in outs]) for i in range(3))
+        key = "_group"
+        data = data.withColumn(key, F.to_json(F.struct(*group)))    # equal for equal values, never null
+        counts = (data.where(F.col(location).isNotNull()).groupBy(key, location)
+                      .agg(F.count(F.lit(1)).alias("num_obs")))
+        points = dedupe_points(data, [key, lat, long], [*order, location]).select(key, *group, location, lat, long)
+        clusters = kmeans_by_group(points, key, [lat, long], max_k, restarts, seed)
+        if mode == "columnwise_max":
+            reps = cluster_columnwise_max(clusters, "cluster", [location, lat, long], [key, *group])
+            reps = reps.join(counts, on=[key, location], how="left")
+        else:
+            reps = cluster_most_observed(clusters, counts, "cluster", location, [lat, long],
+                                         group=[key, *group], on=[key])
+        rows = data.join(reps.select(key, location, "cluster"), on=[key, location])
+        rest = [c for c in data.columns if c not in (key, location, *group)]
+        return (clusters.select(*group, "cluster", location, lat, long),
+                reps.select(*group, "cluster", location, lat, long, "num_obs"),
+                rows.select(*group, *([] if location in group else [location]), *rest, "cluster"))
     counts = obs_per_location(data, location)
     points = dedupe_points(data, [lat, long], [*order, location]).select(location, lat, long)
     clusters = kmeans_clusters(points, [lat, long], max_k=max_k, restarts=restarts,
@@ -178,10 +252,8 @@ def representative_locations(data: DataFrame, location: str = "location", lat: s
     if mode == "columnwise_max":
         reps = cluster_columnwise_max(clusters, "cluster", [location, lat, long])
         reps = representative_counts(reps, counts, location)
-    elif mode == "most_observed":
-        reps = cluster_most_observed(clusters, counts, "cluster", location, [lat, long])
     else:
-        raise ValueError(f"unknown mode {mode!r}")
+        reps = cluster_most_observed(clusters, counts, "cluster", location, [lat, long])
     reps = reps.select("cluster", location, lat, long, "num_obs")
     rows = representative_rows(data, reps, location, "cluster")
     return clusters, reps, rows

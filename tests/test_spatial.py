@@ -84,3 +84,36 @@ def test_representatives_per_group(spark):
     per = {r["country"]: r["n"] for r in reps.groupBy("country").agg(F.count("*").alias("n")).collect()}
     assert set(per) == {"east", "west"} and all(1 <= n <= 5 for n in per.values())
     assert clusters.count() == 92
+
+
+def test_kmeans_by_group_splits_clear_clusters_of_every_group(spark):
+    rows = [(g, float(10 * c + 0.1 * (i % 3)), float(7 * (c % 2) + 0.1 * (i // 3)), c)
+            for g, k in (("a", 2), ("b", 5), (None, 3)) for c in range(k) for i in range(9)]
+    rows += [("one", 1.0, 1.0, 0), ("b", None, 2.0, 0)]
+    pts = spark.createDataFrame(rows, "g string, x double, y double, true int").withColumn("k", F.coalesce("g", F.lit("-")))
+    got = spatial.kmeans_by_group(pts, "k", ["x", "y"], max_k=5, restarts=4).collect()
+    assert len(got) == len(rows) - 1
+    pairs = {(r["k"], r["true"], r["cluster"]) for r in got if r["k"] == "b"}
+    assert len(pairs) == 5 and len({c for _, _, c in pairs}) == 5
+    for g in "a", "-":      # more centres than clear clusters: none is shared by two of them
+        mine = {(r["cluster"], r["true"]) for r in got if r["k"] == g}
+        assert len({c for c, _ in mine}) == len(mine) == 5
+    assert [r["cluster"] for r in got if r["k"] == "one"] == [0]
+
+
+def test_representatives_per_group_equal_own_clusters(spark):
+    rows = [(g, f"{g}{i}", float(i % 4), float(i // 4), y) for g in ("e", "w") for i in range(8) for y in range(1 + i % 3)]
+    rows += [(None, "n1", 1.0, 2.0, 0), (None, "n1", 1.0, 2.0, 1)]
+    data = spark.createDataFrame(rows, "country string, location string, lat double, long double, year int")
+    clusters, reps, out = spatial.representative_locations(data, group=["country"], mode="most_observed", restarts=2)
+    member = {(r["country"], r["location"]): r["cluster"] for r in clusters.collect()}
+    seen = {}
+    for g, loc, *_ in rows:
+        seen[g, loc] = seen.get((g, loc), 0) + 1
+    reps = reps.collect()
+    assert len(member) == len(seen) and len(reps) == len({(g, c) for (g, _), c in member.items()})
+    for r in reps:
+        most = max(n for k, n in seen.items() if k[0] == r["country"] and member[k] == r["cluster"])
+        assert member[r["country"], r["location"]] == r["cluster"]
+        assert r["num_obs"] == seen[r["country"], r["location"]] == most
+    assert out.count() == sum(r["num_obs"] for r in reps) and out.columns[:2] == ["country", "location"]
