@@ -8,17 +8,21 @@ id and line, and the lines of all later ones are deleted.
 The suffix array is built by distributed prefix doubling: ranks of one-line prefixes
 are the order of the distinct line ids, ranks of 2^(k+1)-line prefixes the order of
 the distinct pairs (rank of the first 2^k lines, rank of the next 2^k).  Prefixes that
-occur once are dropped at once, they lie in no repeated run.  A position's shortest
-qualifying run has T lines; the suffixes that share it, those with its pair of
-overlapping ranks, are the interval of the suffix array whose longest common prefix
-is at least T.  The interval's least position is the first copy.  Since every
-repeated qualifying run is a union of such shortest runs, the deleted lines of all
-intervals make up the maximal repeated runs; doubling ends at ``min_words`` lines.
+occur once are dropped at once, they lie in no repeated run.  Two runs are looked up
+for each position, the shortest qualifying one that starts there and the shortest that
+ends there; of a run of T lines, the suffixes with its pair of overlapping ranks are
+the interval of the suffix array whose longest common prefix is at least T.  The
+interval's least position is the first copy.  Every repeated qualifying run R, of any
+length, is a union of such shortest runs: a line with ``min_words`` words from it to
+the end of R starts one inside R, one with as many from the start of R to it ends one
+inside R, and any other line lies in the one that starts where R does.  A copy of R
+copies them all, so the deleted lines are those of the maximal repeated runs, and no
+prefix of more than ``min_words`` lines is needed, as a line has a word at least.
 
 Ranks of distinct keys come from a range partitioning and the partitions' counts; only
 these counts, one a partition, reach the driver.  A key with over 1/256 of the
-positions is joined by broadcast (fewer than 256 of them), so a hot line is no hot
-task.  Lines are compared by 128-bit hashes.
+positions is joined by broadcast (fewer than 256 of them, of the runs fewer than 512),
+so a hot line is no hot task.  Lines are compared by 128-bit hashes.
 
 Defined results: a null text stays null, an empty one empty, and both have no lines;
 blank lines are never deleted by themselves; rows that repeat (same id and text) are
@@ -73,7 +77,7 @@ def _ranked(classes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _join(rows: DataFrame, classes: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """``rows`` with their class; keys with over 1/256 of the rows by broadcast."""
+    """``rows`` with their class; keys with over 1/256 of ``total`` rows by broadcast."""
     hot = classes.where(F.col("n") * 256 > total)
     cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(classes.where(F.col("n") * 256 <= total), keys)
     warm = rows.join(F.broadcast(hot), keys)
@@ -93,12 +97,17 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
         """A later line's value, null where a line between occurs once and so is missing."""
         return F.when(F.lead("s", k).over(by_doc) == F.col("s") + k, F.lead(name, k).over(by_doc))
 
-    # T: lines of the shortest run from here with min_words words
-    sums = [F.col("w")]
-    rows = rows.select("*", *[ahead("w", j).alias(f"w{j}") for j in range(1, min_words)])
-    for j in range(1, min_words):
-        sums.append(sums[-1] + F.col(f"w{j}"))
-    rows = rows.withColumn("t", F.coalesce(*[F.when(x >= min_words, j + 1) for j, x in enumerate(sums)])).drop(*[f"w{j}" for j in range(1, min_words)])
+    def behind(name: str, k: int) -> Column:
+        return F.when(F.lag("s", k).over(by_doc) == F.col("s") - k, F.lag(name, k).over(by_doc))
+
+    # t, u: lines of the shortest run with min_words words that starts, that ends here; 0 for
+    # one that ends here and is the shortest from its start too, so that it is counted once
+    more = range(1, min_words)
+    rows = rows.select("*", *[ahead("w", j).alias(f"w{j}") for j in more], *[behind("w", j).alias(f"v{j}") for j in more])
+    starts, ends = ([sum((F.col(f"{v}{i}") for i in range(1, j + 1)), F.col("w")) for j in range(max(min_words, 1))] for v in "wv")
+    rows = (rows.withColumn("t", F.coalesce(*[F.when(x >= min_words, j + 1) for j, x in enumerate(starts)]))
+            .withColumn("u", F.coalesce(*[F.when(x >= min_words, F.when(x - F.col("w") >= min_words, j + 1).otherwise(0)) for j, x in enumerate(ends)]))
+            .drop(*[f"{v}{j}" for j in more for v in "wv"]))
     levels = max(min_words, 1).bit_length() - 1
     for k in range(levels):
         rows = written(rows.withColumn("nxt", ahead(f"r{k}", 1 << k)), f"lines-{k}-pairs")
@@ -109,15 +118,22 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
         rows = (rows.drop("nxt").join(paired.select(F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("s").alias("__s"), f"r{k + 1}"),
                                       F.col("d").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__th")) & (F.col("s") == F.col("__s")), "left")
                 .drop("__d", "__th", "__s"))
-    # the run of T lines as two overlapping prefixes of 2^k lines
-    a, b = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
+    def at(name: str, k: int) -> Column:
+        return F.lead(name, k).over(by_doc) if k > 0 else F.lag(name, -k).over(by_doc) if k else F.col(name)
+
+    # a run of T lines as two overlapping prefixes of 2^k lines
+    a, b, c, d = [F.lit(None).cast("bigint")] * 4
     for t in range(1, min_words + 1):
         k = t.bit_length() - 1
-        a = F.when(F.col("t") == t, F.col(f"r{k}")).otherwise(a)
-        rest = t - (1 << k)
-        b = F.when(F.col("t") == t, F.lead(f"r{k}", rest).over(by_doc) if rest else F.col(f"r{k}")).otherwise(b)
-    runs = written(rows.select(*_DOC, "s", "i", "t", a.alias("a"), b.alias("b")), "lines-runs")
-    whole = runs.where("a IS NOT NULL AND b IS NOT NULL")
+        a = F.when(F.col("t") == t, at(f"r{k}", 0)).otherwise(a)
+        b = F.when(F.col("t") == t, at(f"r{k}", t - (1 << k))).otherwise(b)
+        c = F.when(F.col("u") == t, at(f"r{k}", 1 - t)).otherwise(c)
+        d = F.when(F.col("u") == t, at(f"r{k}", 1 - (1 << k))).otherwise(d)
+    runs = written(rows.select(*_DOC, "s", "i", F.array(
+        F.struct("s", "t", a.alias("a"), b.alias("b")),
+        F.struct((F.col("s") - F.col("u") + 1).alias("s"), F.col("u").alias("t"), c.alias("a"), d.alias("b"))).alias("x")), "lines-runs")
+    whole = (runs.select(*_DOC, F.explode(F.filter("x", lambda x: x["a"].isNotNull() & x["b"].isNotNull())).alias("x"))
+             .select(*_DOC, "x.s", "x.t", "x.a", "x.b"))
     copies = written(whole.groupBy("t", "a", "b").agg(F.count("*").alias("n"), _first().alias("first")).where("n > 1"), "lines-copies")
     later = _join(whole, copies, ["t", "a", "b"], total).where(
         ~(F.col("d").eqNullSafe(F.col("first.d")) & (F.col("th") == F.col("first.th")) & (F.col("s") == F.col("first.s"))))

@@ -470,3 +470,35 @@ def test_line_dedup_odd_rows(odd, none):
     texts = {r["doc_id"]: r["text"] for r in got}
     assert texts[1] == ODD[0][1] and texts[2] is None and texts[3] == ""  # repeated rows are one document
     assert line_dedup.dedup_lines(none).count() == 0 and line_dedup.dedup_lines(none).columns == none.columns
+
+
+def _runs_brute(docs, least):
+    """All qualifying runs, of every length."""
+    firsts, gone = {}, {}
+    for i, text in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0)):
+        lines = text.split("\n")
+        at = [k for k, x in enumerate(lines) if x.strip(" ")]
+        for s in range(len(at)):
+            for e in range(s, len(at)):
+                if sum(lines[k].strip(" ").count(" ") + 1 for k in at[s:e + 1]) >= least:
+                    run = tuple(lines[k] for k in at[s:e + 1])
+                    if firsts.setdefault(run, (i, s)) != (i, s):
+                        gone.setdefault(i, set()).update(at[s:e + 1])
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ())) for i, t in docs}
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5, 10])
+def test_line_dedup_deletes_runs_of_every_length(spark, least):
+    rng = np.random.default_rng(11)
+    pool = ["a", "b c", "", " ", "d e f", "g h i j k l", "m"]
+    docs = [(i, "\n".join(pool[k] for k in rng.integers(0, len(pool), rng.integers(1, 14)))) for i in range(40)] + [(None, "b c\nb c\nb c")]
+    docs += [(100 + i, docs[i][1] + "\nz") for i in range(5)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), min_words=least).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == _runs_brute(docs, least)
+
+
+def test_line_dedup_leaves_no_short_end_of_a_copy(spark):
+    text = "\n".join(" ".join(f"{c}{i}" for i in range(n)) for c, n in zip("abcd", (10, 22, 93, 2)))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_deleted"], r["text"]) for r in line_dedup.dedup_lines(docs, report=True).collect()}
+    assert got == {0: (4, 0, text), 1: (4, 4, ""), 2: (4, 4, "")}
