@@ -70,15 +70,18 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of every row, as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """(id, fp): the fingerprint of every row, as a signed long; ``hashed`` adds ``th``, Spark's hash of its text."""
+    more = ["th"] if hashed else []
+
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps.view(np.int64), pa.int64())],
-                                             names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps.view(np.int64), pa.int64()), *batch.columns[2:]],
+                                             names=["id", "fp", *more])
 
-    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, "id bigint, fp bigint")
+    return (docs.select(F.col(id_col).cast("bigint"), F.col(text_col), *[F.xxhash64(text_col).alias(c) for c in more])
+            .mapInArrow(run, ", ".join(f"{c} bigint" for c in ["id", "fp", *more])))
 
 
 # --- partitions and thresholds ---------------------------------------------------------------
@@ -271,13 +274,18 @@ def _solve(rows: DataFrame, max_bits: int) -> DataFrame:
     return rows.select("key", "fp").repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
+def _rooted(firsts: DataFrame, max_bits: int, bucket_rows: int = 4096) -> DataFrame:
+    """``firsts`` (one row a fingerprint) with ``root``, the same for all of a component."""
+    roots = connected_components(near_links(firsts.select("fp"), max_bits, bucket_rows=bucket_rows))
+    return firsts.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
                        text_col: str = "text", bucket_rows: int = 4096) -> DataFrame:
     """(doc_id, fingerprint, component_id, n_bits_links): see the module text."""
     fps = written(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
     firsts = written(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    roots = connected_components(near_links(firsts.select("fp"), max_bits, bucket_rows=bucket_rows))
-    of = firsts.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    of = _rooted(firsts, max_bits, bucket_rows)
     low = of.groupBy("root").agg(F.min("first").alias("component_id"))
     of = of.join(low, "root").select("fp", "component_id")
     return (join_back(fps, of, "fp")
@@ -302,14 +310,19 @@ def join_back(rows: DataFrame, lookup: DataFrame, key: str, share: int = 256) ->
 
 def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id
-    (of repeated rows with that id, one)."""
-    groups = simhash_components(docs, shingle, max_bits, id_col, text_col)
-    keep = written(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "simhash-keep")
-    repeated = not keep.groupBy("doc_id").count().where("count > 1").isEmpty()
-    keep = keep.select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, F.col(id_col).cast("bigint").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates([id_col]) if repeated else kept
+    """``docs`` with one document of each component: the one with the smallest id, nulls
+    last, then text hash (of rows that repeat in id and text, one)."""
+    fps = written(fingerprints(docs, shingle, id_col, text_col, hashed=True), "simhash-fp")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("first")
+    firsts = written(fps.groupBy("fp").agg(first), "simhash-distinct")
+    low = _rooted(firsts, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    keep = written(low.select(F.col("first.id").alias("__id"), F.col("first.th").alias("__th")), "simhash-keep")
+    rows = fps.groupBy("id", "th").count().where("count > 1")
+    repeated = not rows.join(keep, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left_semi").isEmpty()
+    keep = keep.select(F.col("__id").alias("__keep"), F.col("__th").alias("__kept"))
+    kept = (docs.withColumns({"__id": F.col(id_col).cast("bigint"), "__th": F.xxhash64(text_col)})
+            .join(keep, F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__th") == F.col("__kept")), "left_semi"))
+    return (kept.dropDuplicates(["__id", "__th"]) if repeated else kept).drop("__id", "__th")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -246,6 +246,16 @@ def test_simhash_matches_brute_force(spark, odd, none):
     assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 2, 6, 7, 8, 9] and set(kept[0].asDict()) == set(odd.columns)
 
 
+def test_near_dedup_keeps_texts_under_null_and_repeated_ids(spark):
+    def text(k):
+        return " ".join(f"w{k}x{j}" for j in range(40))
+
+    rows = [(None, text(k)) for k in (0, 1, 2, 2, 3)] + [(5, text(4)), (5, text(5)), (5, text(5)), (6, text(6)), (None, text(6)), (7, text(4))]
+    got = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(None, text(k)) for k in range(4)] + [(5, text(4)), (5, text(5)), (6, text(6))], key=str)
+
+
 @pytest.mark.parametrize("bucket_rows", [4096, 8])
 def test_near_links_keep_all_components(spark, bucket_rows):
     rng = np.random.default_rng(4)
