@@ -7,8 +7,11 @@ end exclusive, relative to ``rendered``) of what the assistant has to write, eac
 turn's text with its closing mark.
 
 A dialogue of any length is rendered in parts of ``part_turns`` consecutive turn
-numbers, and a turn number that very many rows share in pieces by hash, so no row and
-no task holds an unbounded dialogue; parts in order make up the dialogue.
+numbers, and each part in pieces of ``tie_rows`` consecutive turns, numbered from 0, so
+no row holds an unbounded dialogue; parts and their pieces in order make up the
+dialogue.  Parts that may have more turns are sorted as a whole by a range
+partitioning; a turn's place is its place in its range and the counts of the ranges
+before, so no task sorts an unbounded part.
 
 Defined results: rows that repeat in all four columns are one turn; a null or empty
 role is the participant ``unknown``; a null text is empty; rows without a turn number
@@ -20,14 +23,30 @@ passed by.  Marks that occur in a text are taken apart with a blank.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import table
+from phenocast.llm._common import shuffle_partitions, table, written
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
+def _pieces(rows: DataFrame, piece_rows: int) -> DataFrame:
+    """``rows`` with ``piece``, their place in their part by ``piece_rows``."""
+    order = ["turn", "name", "content"]
+    placed = written(rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "conv_id", "part", *order)
+                     .withColumn("range", F.spark_partition_id()), "chat-order")
+    # at most the first part of each range begins in an earlier one
+    before = F.sum("count").over(Window.partitionBy("conv_id", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    begun = (placed.groupBy("conv_id", "part", "range").count().withColumn("before", before).where("before IS NOT NULL")
+             .select(F.col("conv_id").alias("__c"), F.col("part").alias("__p"), F.col("range").alias("__r"), "before"))
+    at = F.row_number().over(Window.partitionBy("conv_id", "part", "range").orderBy(*order))
+    placed = placed.withColumn("at", at).join(F.broadcast(begun), F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("part") == F.col("__p"))
+                                              & (F.col("range") == F.col("__r")), "left")
+    piece = F.floor((F.coalesce("before", F.lit(0)) + F.col("at") - 1) / piece_rows).cast("int")
+    return placed.select(*rows.columns, piece.alias("piece"))
+
+
 def rotate(conversations: DataFrame, part_turns: int = 512, tie_rows: int = 4096, system_role: str = "system",
            id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, speaker, part, piece, n_turns, rendered, assistant_spans): module text."""
@@ -40,16 +59,19 @@ def rotate(conversations: DataFrame, part_turns: int = 512, tie_rows: int = 4096
         clean(F.regexp_replace(F.when(role != "", role).otherwise("unknown"), "[\r\n]", " ")).alias("name"),
         clean(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("content")).distinct()
     rows = rows.withColumn("name", F.coalesce("name", F.lit("unknown")))
-    # turn numbers that very many rows share
-    ties = (rows.groupBy("conv_id", "turn").count().where(F.col("count") > tie_rows)
-            .select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), F.ceil(F.col("count") / tie_rows).alias("__n")))
-    rows = rows.join(ties, F.col("conv_id").eqNullSafe(F.col("__c")) & F.col("turn").eqNullSafe(F.col("__t")), "left")
-    rows = rows.select(
-        "conv_id", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).alias("part"),
-        F.coalesce(F.pmod(F.xxhash64("name", "content"), F.col("__n")) + 1, F.lit(0)).cast("int").alias("piece"),
-        F.struct("turn", "name", "content").alias("t"))
-    parts = rows.groupBy("conv_id", "part", "piece").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    people = (rows.select("conv_id", F.col("t.name").alias("speaker")).where(F.col("speaker") != system_role).distinct()
+    rows = rows.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)))
+    # parts of more rows, repeated ones counted: under 1 / tie_rows of the rows
+    part = F.coalesce(F.floor(F.col(turn_col).cast("bigint") / part_turns), F.lit(-1))
+    large = written(conversations.groupBy(F.col(id_col).alias("conv_id"), part.alias("part")).count().where(F.col("count") > tie_rows)
+                    .select(F.col("conv_id").alias("__c"), F.col("part").alias("__p")), "chat-large")
+    turns = rows.withColumn("piece", F.lit(0))
+    if not large.isEmpty():
+        of_large = F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("part") == F.col("__p"))
+        turns = turns.join(F.broadcast(large), of_large, "left_anti").unionByName(
+            _pieces(rows.join(F.broadcast(large), of_large, "left_semi"), tie_rows))
+    parts = (turns.select("conv_id", "part", "piece", F.struct("turn", "name", "content").alias("t"))
+             .groupBy("conv_id", "part", "piece").agg(F.sort_array(F.collect_list("t")).alias("turns")))
+    people = (rows.select("conv_id", F.col("name").alias("speaker")).where(F.col("speaker") != system_role).distinct()
               .select(F.col("conv_id").alias("__c"), "speaker"))
     both = parts.join(people, F.col("conv_id").eqNullSafe(F.col("__c"))).drop("__c")
 

@@ -307,6 +307,21 @@ def test_chat_pieces_of_a_hot_turn_lose_nothing(spark):
     assert len(got) > 1 and sum(r["n_turns"] for r in got) == 100
 
 
+def test_chat_pieces_in_order_make_up_the_dialogue(spark):
+    rows = [(c, t, "ab"[i % 2], f"{c}.{t}.{i:03d}") for c in (1, None) for t, n in ((0, 3), (5, 100), (9, 30), (600, 70)) for i in range(n)]
+    rows += [(2, t, "a", f"2.{t}") for t in range(4)]
+    got = chat.rotate(spark.createDataFrame(rows + rows[:50], "conv_id long, turn long, role string, text string"), tie_rows=20).collect()
+    for conv in (1, 2, None):
+        mine = sorted((r for r in got if r["conv_id"] == conv and r["speaker"] == "a"), key=lambda r: (r["part"], r["piece"]))
+        bodies = [x for r in mine for x in re.findall(r"\n([^\n]*)<\|im_end\|>", r["rendered"])]
+        assert bodies == [x[3] for x in sorted((x for x in rows if x[0] == conv), key=lambda x: x[1:])]
+        sizes = [(r["part"], r["piece"], r["n_turns"]) for r in mine]
+        if conv != 2:
+            assert sizes == [(0, i, 20) for i in range(6)] + [(0, 6, 13), (1, 0, 20), (1, 1, 20), (1, 2, 20), (1, 3, 10)]
+        else:
+            assert sizes == [(0, 0, 4)]
+
+
 # --- operator 7 ----------------------------------------------------------------------------
 
 def _pii_brute(t):
