@@ -178,16 +178,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH l AS (SELECT doc_id, i, trim(x, ' ') AS x, length(trim(x, ' ')) - length(replace(trim(x, ' '), ' ', '')) + 1 AS w, line
+WITH RECURSIVE l AS (SELECT doc_id, i, trim(x, ' ') AS x, length(trim(x, ' ')) - length(replace(trim(x, ' '), ' ', '')) + 1 AS w, line
            FROM (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS x,
                         unnest(string_split(text, chr(10))) AS line FROM documents)),
-n AS (SELECT doc_id, i, line, w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS s FROM l WHERE x <> ''),
-g AS (SELECT doc_id, list(w ORDER BY s) AS ws, list(line ORDER BY s) AS ls, list(i ORDER BY s) AS idx FROM n GROUP BY doc_id),
-p AS (SELECT doc_id, ws, ls, unnest(range(1, len(ls) + 1)) AS s FROM g),
-t AS (SELECT doc_id, s, ls, CAST(list_min(list_filter(range(1, 11), lambda k: s + k - 1 <= len(ws) AND list_sum(ws[s:s + k - 1]) >= 10)) AS BIGINT) AS t FROM p),
-k AS (SELECT doc_id, s, t, array_to_string(ls[s:s + t - 1], chr(10)) AS run FROM t WHERE t IS NOT NULL),
-f AS (SELECT doc_id, s, t, row_number() OVER (PARTITION BY run, t ORDER BY doc_id, s) AS copy FROM k),
-gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + t)) AS s FROM f WHERE copy > 1),
+m AS (SELECT doc_id, i, line, w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS s, row_number() OVER (ORDER BY doc_id, i) AS pos
+      FROM l WHERE x <> ''),
+n AS (SELECT *, min(pos) OVER (PARTITION BY line) AS lid, count(*) OVER (PARTITION BY line) AS c FROM m),
+r(doc_id, s, pos, k, w, cls) AS (
+  SELECT doc_id, s, pos, CAST(1 AS BIGINT), CAST(w AS BIGINT), lid FROM n WHERE c > 1
+  UNION ALL
+  SELECT doc_id, s, pos, k, w, f FROM (
+    SELECT r.doc_id, r.s, r.pos, r.k + 1 AS k, CAST(r.w + x.w AS BIGINT) AS w,
+           min(r.pos) OVER (PARTITION BY r.cls, x.lid) AS f, count(*) OVER (PARTITION BY r.cls, x.lid) AS c
+    FROM r JOIN n x ON x.pos = r.pos + r.k AND x.doc_id = r.doc_id AND x.c > 1) t WHERE c > 1),
+longest AS (SELECT doc_id, s, max(k) AS k FROM r WHERE w >= 10 AND cls <> pos GROUP BY doc_id, s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + k)) AS s FROM longest),
 gi AS (SELECT n.doc_id, n.i FROM gone JOIN n ON gone.doc_id = n.doc_id AND gone.s = n.s),
 kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text FROM l LEFT JOIN gi ON l.doc_id = gi.doc_id AND l.i = gi.i
          WHERE gi.i IS NULL GROUP BY l.doc_id),

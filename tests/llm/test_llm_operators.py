@@ -463,32 +463,6 @@ def test_decontamination_in_blocks_equals_one_block(spark, odd):
 
 # --- operator 10 ---------------------------------------------------------------------------
 
-def _dedup_brute(docs, least):
-    firsts, gone = {}, {}
-    for i, text in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0)):
-        lines = text.split("\n")
-        at = [k for k, x in enumerate(lines) if x.strip(" ")]
-        for s in range(len(at)):
-            n = 0
-            for e in range(s, len(at)):
-                n += lines[at[e]].strip(" ").count(" ") + 1
-                if n >= least:
-                    run = tuple(lines[k] for k in at[s:e + 1])
-                    if firsts.setdefault(run, (i, s)) != (i, s):
-                        gone.setdefault(i, set()).update(at[s:e + 1])
-                    break
-    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ())) for i, t in docs}
-
-
-@pytest.mark.parametrize("least", [1, 3, 5])
-def test_line_dedup_matches_brute_force(spark, least):
-    rng = np.random.default_rng(10)
-    pool = ["a", "b c", "", " ", "d e f", "g h i j k l"]
-    docs = [(i, "\n".join(pool[k] for k in rng.integers(0, len(pool), rng.integers(1, 9)))) for i in range(25)] + [(None, "b c\nb c\nb c")]
-    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), min_words=least).collect()
-    assert {r["doc_id"]: r["text"] for r in got} == _dedup_brute(docs, least)
-
-
 def test_line_dedup_odd_rows(odd, none):
     got = line_dedup.dedup_lines(odd, report=True).collect()
     assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, *_ in ODD)
