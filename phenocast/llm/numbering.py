@@ -23,7 +23,7 @@ def numbered(df: DataFrame, order: list[str], out: str, within: str | None = Non
     tag = uuid.uuid4().hex
     part, at, low, num, begin = (f"{x}_{tag}" for x in ("part", "at", "low", "num", "begin"))
     n = shuffle_partitions(df.sparkSession)
-    rows = written(df, "numbering-rows").withColumn(f"f_{tag}", F.col("_metadata.file_path")).withColumn(f"r_{tag}", F.col("_metadata.row_index"))
+    rows = written(df, "numbering-rows").withColumn(f"f_{tag}", F.xxhash64("_metadata.file_path")).withColumn(f"r_{tag}", F.col("_metadata.row_index"))
     keys = [*([within] if within else []), *order, f"f_{tag}", f"r_{tag}"]
     placed = (rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop(f"f_{tag}", f"r_{tag}")
               .withColumn(at, F.monotonically_increasing_id()))
