@@ -1,11 +1,14 @@
 """Lexical retrieval packing (operator 3).
 
-Documents are tokenized and dealt into shards of about ``shard_tokens`` tokens: runs
-of consecutive rows of one partition, so no text is shuffled and memory is bounded.
-Each shard has a BM25 inverted index over its documents' token ids, weighted with
-document frequencies and a mean length counted over all documents.  A seed document
-opens a window; its best unused neighbours, by BM25 on the seed's ``query_terms``
-heaviest terms, are placed after it until the window is full.  The document that
+Documents are tokenized, routed by content and dealt into shards of about ``shard_tokens``
+tokens.  Routing: ``pivots`` documents, those of the least hashes among the distinct ones of
+moderate length, stand for groups; a document joins the pivot of the largest cosine of BM25
+weights, and the groups are laid out in ranges by (pivot, rarest token that another document
+has, hash), so copies and documents with a rare token in common lie together, and a hot
+group is cut into shards like any other.  Each shard has a BM25 inverted index over its
+documents' token ids, weighted with document frequencies and a mean length counted over all
+documents.  A seed document opens a window; its best unused neighbours in the shard, by BM25
+on all of the seed's terms, are placed after it until the window is full.  The document that
 crosses the end is cut there, opens the next window and is its seed; without unused
 neighbours the first unused document is.
 
@@ -19,74 +22,113 @@ ids are packed as they are; an empty table gives no piece; other columns are pas
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import table, utf8, written
+from phenocast.llm._common import table, written
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
-_SHAPE = re.compile(rb"([a-z\x80-\xff]*)([!-&(-/:-@\[-`{-~]*)$")
+# marks that never merge with the letters before them; an apostrophe may
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
 
 
-class WordIds(dict):
-    """Packed token ids of white-space separated chunks; a memo over one tokenizer.
+class WordIds:
+    """Packed token ids of whole batches of texts, for a tokenizer whose white-space separated
+    chunks are independent.
 
-    A chunk of letters with plain punctuation behind it is put together from its two
-    parts, which the tokenizer never merges; any other chunk is encoded whole.
+    Arrow finds a batch's distinct chunks, and of chunks of letters with plain marks behind
+    them, which never merge, the distinct words without their marks; only these meet the
+    tokenizer, or a memo of words met before.  Any other chunk is encoded whole.  A full memo
+    becomes the older half, and what is asked for again moves over.
     """
 
-    def __init__(self, tokenizer, dtype, most: int = 400_000):
-        super().__init__()
-        self.tokenizer, self.dtype, self.most = tokenizer, dtype, most
+    def __init__(self, tokenizer, dtype, most: int = 300_000):
+        self.tokenizer, self.model, self.most, self.dtype = tokenizer, tokenizer.model, most, dtype
+        self.code = {np.uint16: "H", np.uint32: "I"}[dtype]
         self.alphabet = _byte_alphabet()
+        self.words: dict = {}
+        self.older: dict = {}
+        self.marks: dict = {}
 
-    def encode(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "replace")
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+    def encode(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def letters(self, part: bytes) -> bytes:
-        got = self.get(part)
+    def word(self, word: str) -> bytes | None:
+        """Ids of a word of letters, None for anything else; one pre-token, straight to the merges."""
+        got = self.words.get(word)
         if got is None:
-            # one pre-token: straight to the merges
-            got = self[part] = np.array([t.id for t in self.tokenizer.model.tokenize(part.decode("latin-1").translate(self.alphabet))],
-                                        dtype=self.dtype).tobytes()
+            got = self.older.get(word)
+            if got is None:
+                if word.isascii():
+                    if not word.isalpha():
+                        return None
+                    text = word
+                elif _plain(word):
+                    text = word.encode().decode("latin-1").translate(self.alphabet)
+                else:
+                    return None
+                got = array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
+            if len(self.words) >= self.most:
+                self.older, self.words = self.words, {}
+            self.words[word] = got
         return got
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        m = _SHAPE.match(chunk)
-        if m is None:
-            got = self.encode(chunk)
-        else:
-            word, marks = m.groups()
-            if word.isalpha() if word.isascii() else _plain(word):
-                got = self.letters(word)
-                if marks:
-                    tail = self.get(marks)
-                    if tail is None:
-                        tail = self[marks] = self.encode(marks)
-                    got += tail
-            else:
-                got = self.encode(chunk)
-        self[chunk] = got
-        return got
-
-
-def _plain(word: bytes) -> bool:
+    def chunks(self, chunks: pa.Array) -> list[bytes]:
+        """Ids of distinct chunks."""
+        stems = pc.ascii_rtrim(chunks, characters=_MARKS).dictionary_encode()
+        words, at = stems.dictionary.to_numpy(zero_copy_only=False), stems.indices.to_numpy(zero_copy_only=False)
+        got = self.words.get
+        known = [got(w) or self.word(w) for w in words]
+        out = [known[k] for k in at.tolist()]
+        cut = pc.binary_length(stems.dictionary).to_numpy(zero_copy_only=False)[at]
+        longer = np.flatnonzero(pc.binary_length(chunks).to_numpy(zero_copy_only=False) > cut)
+        for j, chunk, stem in zip(longer.tolist(), chunks.take(pa.array(longer)).to_numpy(zero_copy_only=False), words[at[longer]]):
+            if out[j] is not None:
+                marks = chunk[len(stem):]
+                tail = self.marks.get(marks)
+                if tail is None:
+                    tail = self.encode(marks)
+                    if len(self.marks) < self.most:
+                        self.marks[marks] = tail
+                out[j] += tail
+        for j in [j for j, got in enumerate(out) if got is None]:
+            out[j] = self.encode(chunks[j].as_py())
+        return out
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, null read as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)     # a special token's name could arise
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
+        flat = lists.flatten()
+        full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+        upto = np.concatenate(([0], np.cumsum(full)))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        coded = flat.filter(pa.array(full)).dictionary_encode()
+        parts = self.chunks(coded.dictionary)
+        sizes = np.array([len(x) for x in parts], dtype=np.int64) // np.dtype(self.dtype).itemsize
+        ids, first = np.frombuffer(b"".join(parts), dtype=self.dtype), np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        flat_ids = ids[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+        bounds = ends[upto]
+        out = [flat_ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        for j in np.flatnonzero(special).tolist():
+            out[j] = b"".join(map(self.encode, texts[j].as_py().split()))
+        return out
+
+
+def _plain(word: str) -> bool:
     """Letters only, lower case and composed: the normaliser leaves it as it is."""
-    try:
-        text = word.decode()
-    except UnicodeDecodeError:
-        return False
-    return text.isalpha() and text == text.lower() and max(text) < "̀"
+    return word.isalpha() and word == word.lower() and max(word) < "\u0300"
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -108,13 +150,11 @@ def word_memo(tokenizer, dtype) -> WordIds | None:
     return WordIds(tokenizer, dtype) if ok else None
 
 
-def encode_text(text: str | None, tokenizer, memo: WordIds | None, dtype) -> bytes:
-    data = utf8(text)
-    if memo is None:
-        return np.array(tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype=dtype).tobytes()
-    if b"<|" not in data:  # else a special token's name could arise
-        data = data.lower()
-    return b"".join(map(memo.__getitem__, data.split()))
+def encode_texts(texts: pa.Array, tokenizer, memo: WordIds | None, dtype) -> list[bytes]:
+    """Packed ids of each text, null read as empty."""
+    if memo is not None:
+        return memo.batch(texts)
+    return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype=dtype).tobytes() for t in texts.to_pylist()]
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id",
@@ -135,17 +175,19 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
         df = np.zeros(size + 2, dtype=np.int64)
         schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary()), ("df", pa.binary())])
         for batch in batches:
-            ids, n = batch.column(0).cast(pa.int64()), len(batch)
-            for lo in range(0, n, 1000):
+            ids = batch.column(0).cast(pa.int64())
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // (16 << 20)
+            starts = np.flatnonzero(np.diff(upto, prepend=-1)).tolist()       # slices of about 16 MB
+            for lo, hi in zip(starts, [*starts[1:], len(batch)]):
                 out = []
-                for t in batch.column(1).slice(lo, 1000):
-                    b = encode_text(t.as_py(), tokenizer, memo, dtype) + end
+                for b in encode_texts(batch.column(1).slice(lo, hi - lo), tokenizer, memo, dtype):
+                    b += end
                     a = np.frombuffer(b, dtype=dtype)
                     df[np.flatnonzero(np.bincount(a, minlength=size)) if len(a) > 20_000 else np.unique(a)] += 1
                     df[size + 1] += len(a)
                     out.append(b)
                 df[size] += len(out)
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, 1000), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()], pa.binary())], schema=schema)
 
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, "doc_id bigint, tokens binary, df binary")
@@ -170,11 +212,15 @@ def _statistics(tokens: DataFrame) -> np.ndarray:
     return out
 
 
+K1, B = 1.2, 0.75        # of BM25
+_MOST_RANGES = 50_000
+
+
 class Bm25Shard:
     """Inverted index over the token ids of a shard's documents."""
 
-    def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float, query_terms: int,
-                 k1: float = 1.2, b: float = 0.75):
+    def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float,
+                 k1: float = K1, b: float = B):
         sizes = np.array([len(d) for d in docs], dtype=np.int64)
         flat = np.concatenate(docs).astype(np.int64)
         key = np.sort((np.repeat(np.arange(len(docs)), sizes) << 32) | flat)
@@ -185,11 +231,9 @@ class Bm25Shard:
         norm = k1 * (1 - b + b * sizes[doc] / max(mean, 1e-9))
         weight = (idf * tf * (k1 + 1) / (tf + norm)).astype(np.float32)
         self.n = len(docs)
-        # a document's query: its heaviest terms
-        order = np.lexsort((term, -weight, doc))
-        start = np.searchsorted(doc[order], np.arange(self.n))
-        stop = np.searchsorted(doc[order], np.arange(self.n), side="right")
-        self.query = [term[order[a:min(z, a + query_terms)]] for a, z in zip(start, stop)]
+        # a document's query: all its terms
+        bounds = np.searchsorted(doc, np.arange(self.n + 1))
+        self.query = [term[a:z] for a, z in zip(bounds[:-1], bounds[1:])]
         by_term = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[by_term], weight[by_term]
         self.ptr = np.searchsorted(term[by_term], np.arange(int(term.max()) + 2))
@@ -257,10 +301,55 @@ def _pieces(order: list[int], sizes: np.ndarray, window: int) -> list[tuple[int,
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int = 2, shard_tokens: int = 2_000_000,
-         query_terms: int = 48, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents in sequences of at most ``window`` tokens (module text);
-    ``with_ids`` adds each piece's token ids as little-endian unsigned 32-bit integers."""
+def _pivots(tokens: DataFrame, count: int, dtype) -> list[np.ndarray]:
+    """The distinct documents of 32 to 8,192 tokens with the least hashes; a bounded sample."""
+    size = np.dtype(dtype).itemsize
+    some = (tokens.where(F.octet_length("tokens").between(32 * size, 8192 * size)).select("tokens", F.xxhash64("tokens").alias("h"))
+            .orderBy("h").limit(4 * count).collect())
+    return [np.frombuffer(t, dtype=dtype) for t in list(dict.fromkeys(bytes(r["tokens"]) for r in some))[:count]]
+
+
+def _weights(doc: np.ndarray, df: np.ndarray, n_docs: int, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of a document and their BM25 weights."""
+    term, tf = np.unique(doc, return_counts=True)
+    idf = np.log1p((n_docs - df[term] + 0.5) / (df[term] + 0.5))
+    return term, (idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(doc) / max(mean, 1e-9)))).astype(np.float32)
+
+
+def route(tokens: DataFrame, df: np.ndarray, n_docs: int, mean: float, pivots: int = 64) -> DataFrame:
+    """(doc_id, tokens, route, rare, h): the group of each document and its place in there."""
+    dtype = np.uint16 if len(df) <= 1 << 16 else np.uint32
+    table_ = np.zeros((len(df), max(pivots, 1)), dtype=np.float32)
+    chosen = _pivots(tokens, pivots, dtype)
+    for k, pivot in enumerate(chosen):
+        term, w = _weights(pivot, df, n_docs, mean)
+        table_[term, k] = w / max(float(np.linalg.norm(w)), 1e-9)
+    # like pivots side by side: each is followed by the most similar one that is left
+    near, chain, left = table_.T @ table_, [0], set(range(1, len(chosen)))
+    while left:
+        chain.append(max(left, key=lambda k: (near[chain[-1], k], -k)))
+        left.remove(chain[-1])
+    table_ = np.ascontiguousarray(table_[:, chain])
+
+    def run(batches):
+        for batch in batches:
+            routes, rares = np.zeros(len(batch), dtype=np.int32), np.zeros(len(batch), dtype=np.int32)
+            for k, t in enumerate(batch.column(1)):
+                term, w = _weights(np.frombuffer(t.as_buffer(), dtype=dtype), df, n_docs, mean)
+                routes[k] = np.argmax(w @ table_[term])
+                shared = np.where(df[term] > 1, df[term], np.iinfo(np.int64).max)
+                rares[k] = term[np.argmin(shared)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(routes), pa.array(rares), batch.column(2)],
+                                             names=["doc_id", "tokens", "route", "rare", "h"])
+
+    held = tokens.where("tokens IS NOT NULL").select("doc_id", "tokens", F.xxhash64("tokens").alias("h"))
+    return held.mapInArrow(run, "doc_id bigint, tokens binary, route int, rare int, h bigint")
+
+
+def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int = 2, shard_tokens: int = 1_000_000,
+         pivots: int = 64, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Pieces of all documents in sequences of at most ``window`` tokens (module text), a written
+    table; ``with_ids`` adds each piece's token ids as little-endian unsigned 32-bit integers."""
     tokens = written(token_table(docs, tokenizer_path, end_id, id_col, text_col), "packing-tokens")
     stats = _statistics(tokens)
     df, n_docs, n_tokens = stats[:-2], int(stats[-2]), int(stats[-1])
@@ -269,7 +358,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
 
     def solve(ids, held, base):
         sizes = np.array([len(h) for h in held], dtype=np.int64)
-        index = Bm25Shard(held, df, n_docs, mean, query_terms)
+        index = Bm25Shard(held, df, n_docs, mean)
         got = _pieces(pack_shard(index, sizes, window), sizes, window)
         raw = [held[d][s:s + n].astype("<u4").tobytes() for d, s, n, _, _ in got]
         cols = [pa.array([ids[d] for d, *_ in got], pa.int64()), pa.array([p[1] for p in got], pa.int64()),
@@ -297,8 +386,11 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
         if held:
             yield solve(ids, held, base)[0]
 
-    return (tokens.where("tokens IS NOT NULL").select("doc_id", "tokens")
-            .mapInArrow(run, PIECES + (", ids binary" if with_ids else "")))
+    order = ["route", "rare", "h"]
+    ranges = max(1, min(-(-n_tokens // (2 * shard_tokens)), _MOST_RANGES))      # two shards a task, more where the ranges are at their most
+    dealt = route(tokens, df, n_docs, mean, pivots).repartitionByRange(ranges, *order, "doc_id")
+    dealt = dealt.sortWithinPartitions(*order, "doc_id").select("doc_id", "tokens")
+    return written(dealt.mapInArrow(run, PIECES + (", ids binary" if with_ids else "")), "packing-pieces")
 
 
 def op3_lexical_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:

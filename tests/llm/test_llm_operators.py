@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -142,12 +143,50 @@ def test_packing_covers_every_id_once(spark, odd, none, tokenizer_path):
 
 def test_packing_places_neighbours_behind_their_seed(spark, tokenizer_path):
     docs = [(0, "zebra quagga okapi " * 10), (1, "flour butter sugar " * 10), (2, "zebra okapi " * 15), (3, "butter flour " * 15)]
-    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), tokenizer_path, with_ids=True).collect()
-    order = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
-    assert order == [0, 2, 1, 3]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), tokenizer_path, pivots=1, with_ids=True).collect()
+    place = {r["doc_id"]: (r["sequence_id"] >> 32, r["sequence_id"], r["offset"]) for r in rows if r["start"] == 0}
+    for a, b in ((0, 2), (1, 3)):       # a topic's documents share a rare token, so they lie in one shard, one behind the other
+        between = sorted(k for k in place if place[a] <= place[k] <= place[b] or place[b] <= place[k] <= place[a])
+        assert place[a][0] == place[b][0] and between == [a, b]
     assert all(len(r["ids"]) == 4 * r["length"] for r in rows)
 
 
+def _bm25(docs, seed):
+    n, mean, tfs = len(docs), sum(map(len, docs)) / len(docs), [Counter(d.tolist()) for d in docs]
+    df = {t: sum(t in c for c in tfs) for t in tfs[seed]}
+    return np.array([sum(np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in df if t in c)
+                     for d, c in zip(docs, tfs)])
+
+
+def test_neighbours_equal_brute_force_on_all_terms():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 60, rng.integers(1, 200)).astype(np.uint16) for _ in range(40)]
+    df = np.array([sum(t in d for d in docs) for t in range(70)], dtype=np.int64)
+    index = packing.Bm25Shard(docs, df, len(docs), sum(map(len, docs)) / len(docs))
+    unused = rng.random(40) < 0.7
+    for seed in range(40):
+        want = _bm25(docs, seed)
+        got = index.neighbours(seed, unused)
+        assert set(got) == {k for k in range(40) if unused[k] and want[k] > 0}
+        assert all(want[a] >= want[b] - 1e-4 for a, b in zip(got, got[1:]))
+
+
+def test_routing_brings_neighbours_of_all_partitions_together(spark, tokenizer_path):
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    topics = [["".join(rng.choice(letters, 7)) for _ in range(12)] for _ in range(25)]
+    texts = [" ".join(rng.choice(topics[i % 25], 40)) for i in range(200)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+    rows = packing.pack(df, tokenizer_path, window=256, shard_tokens=2000).collect()
+    shard = {r["doc_id"]: r["sequence_id"] >> 32 for r in rows}
+    assert len(set(shard.values())) > 3
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path)
+    docs = [np.array(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    hits = [shard[s] == shard[k] for s in range(0, 200, 5) for k in [int(x) for x in np.argsort(-_bm25(docs, s)) if x != s][:5]]
+    assert np.mean(hits) >= 0.9
+
+
 def test_packed_words_match_the_tokenizer(tokenizer_path):
     import random
 
@@ -157,9 +196,12 @@ def test_packed_words_match_the_tokenizer(tokenizer_path):
     memo = packing.word_memo(tok, np.uint16)
     rng = random.Random(5)
     parts = [*"abcdeABC'.,!?-$%^&*()0123 \n\t<|>=é̸́ßÄñ—…ıİΣςσ中文の한\x85\xa0 ²½", "<|endoftext|>", "'s", "it's", "!'s", "ﬁ", "don't"]
-    for _ in range(3000):
-        s = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
-        assert np.frombuffer(packing.encode_text(s, tok, memo, np.uint16), np.uint16).tolist() == tok.encode(s, add_special_tokens=False).ids
+    memo.most = 500                     # the memo turns over
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)] + [None, "word " * 5000, ""]
+    want = [tok.encode(s or "", add_special_tokens=False).ids for s in texts]
+    for size in (1, 7, 3003):
+        got = [b for lo in range(0, 3003, size) for b in packing.encode_texts(pa.array(texts[lo:lo + size], pa.string()), tok, memo, np.uint16)]
+        assert [np.frombuffer(b, np.uint16).tolist() for b in got] == want
 
 
 # --- operator 4 ----------------------------------------------------------------------------
