@@ -1,11 +1,11 @@
 """Lexical retrieval packing (operator 3).
 
 Documents are tokenized, routed by content and dealt into shards of about ``shard_tokens``
-tokens.  Routing: ``pivots`` documents, those of the least hashes among the distinct ones of
-moderate length, stand for groups; a document joins the pivot of the largest cosine of BM25
-weights, and the groups are laid out in ranges by (pivot, rarest token that another document
-has, hash), so copies and documents with a rare token in common lie together, and a hot
-group is cut into shards like any other.  Each shard has a BM25 inverted index over its
+tokens.  Routing: of a sample of about ``SAMPLE`` different documents, drawn by hash, ``pivots``
+stand for groups; a document joins the pivot of the largest cosine of BM25 weights (with the
+sample's frequencies), and the groups are laid out in ranges by (pivot, min-hash of the
+tokens, hash), so copies lie side by side, like documents near them, and a hot group is cut
+into shards like any other.  Each shard has a BM25 inverted index over its
 documents' token ids, weighted with document frequencies and a mean length counted over all
 documents.  A seed document opens a window; its best unused neighbours in the shard, by BM25
 on all of the seed's terms, are placed after it until the window is full.  The document that
@@ -50,7 +50,7 @@ class WordIds:
     becomes the older half, and what is asked for again moves over.
     """
 
-    def __init__(self, tokenizer, dtype, most: int = 300_000):
+    def __init__(self, tokenizer, dtype, most: int = 150_000):
         self.tokenizer, self.model, self.most, self.dtype = tokenizer, tokenizer.model, most, dtype
         self.code = {np.uint16: "H", np.uint32: "I"}[dtype]
         self.alphabet = _byte_alphabet()
@@ -118,7 +118,10 @@ class WordIds:
         at = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[at]
         ends = np.concatenate(([0], np.cumsum(n)))
-        flat_ids = ids[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+        place = np.repeat(first[at] - ends[:-1], n)
+        place += np.arange(ends[-1])
+        flat_ids = ids[place]
+        del place
         bounds = ends[upto]
         out = [flat_ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         for j in np.flatnonzero(special).tolist():
@@ -157,40 +160,112 @@ def encode_texts(texts: pa.Array, tokenizer, memo: WordIds | None, dtype) -> lis
     return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype=dtype).tobytes() for t in texts.to_pylist()]
 
 
+K1, B = 1.2, 0.75        # of BM25
+_MOST_RANGES = 50_000
+
+
+class Router:
+    """Group and min-hash of documents, from a bounded sample of them."""
+
+    def __init__(self, sample: list[np.ndarray], size: int, pivots: int):
+        self.size, self.n = size, len(sample)
+        self.mean = sum(map(len, sample)) / max(self.n, 1)
+        df = np.zeros(size, dtype=np.int64)
+        for d in sample:
+            df[np.unique(d)] += 1
+        self.idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        self.mixed = np.random.default_rng(3).permutation(size).astype(np.int32)
+        table = np.zeros((size, max(min(pivots, self.n), 1)), dtype=np.float32)
+        for k, d in enumerate(sample[:pivots]):
+            term, tf = np.unique(d, return_counts=True)
+            w = self.weights(term, tf, len(d))
+            table[term, k] = w / max(float(np.linalg.norm(w)), 1e-9)
+        # like pivots side by side: each is followed by the most similar one that is left
+        near, chain, left = table.T @ table, [0], set(range(1, table.shape[1]))
+        while left:
+            chain.append(max(left, key=lambda k: (near[chain[-1], k], -k)))
+            left.remove(chain[-1])
+        self.table = np.ascontiguousarray(table[:, chain])
+
+    def weights(self, term, tf, length) -> np.ndarray:
+        return (self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(self.mean, 1e-9)))).astype(np.float32)
+
+    def place(self, term: np.ndarray, tf: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Groups and min-hashes of documents whose distinct terms begin at ``start``."""
+        sizes = np.diff(start, append=len(term))
+        groups = np.empty(len(start), dtype=np.int32)
+        # some documents at a time, so that their rows of the table stay small
+        cuts = np.searchsorted(start, np.arange(0, len(term), 40_000)).tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(start)]):
+            if lo < hi:
+                a, z = start[lo], start[hi] if hi < len(start) else len(term)
+                w = self.weights(term[a:z], tf[a:z], np.repeat(lengths[lo:hi], sizes[lo:hi]))
+                groups[lo:hi] = np.add.reduceat(self.table[term[a:z]] * w[:, None], start[lo:hi] - a, axis=0).argmax(1)
+        return groups, np.minimum.reduceat(self.mixed[term], start)
+
+
+def _distinct_terms(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of all documents one after the other, their counts, and where each document's begin."""
+    key = np.repeat(np.arange(len(lengths), dtype=np.uint64) << np.uint64(32), lengths)
+    key |= flat
+    key.sort()
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    tf = np.diff(np.append(first, len(key)))
+    doc = (key[first] >> np.uint64(32)).astype(np.int64)
+    return (key[first] & np.uint64(0xFFFFFFFF)).astype(np.int64), tf, np.searchsorted(doc, np.arange(len(lengths)))
+
+
+SAMPLE = 512
+
+
+def _sampled_texts(docs: DataFrame, text_col: str, count: int = SAMPLE) -> list[str]:
+    """About ``count`` different texts of 100 to 20,000 characters (all, if they are fewer), by hash."""
+    texts = docs.where(F.length(text_col).between(100, 20_000)).select(F.col(text_col).alias("t"))
+    n = texts.count()
+    share = min(1.0, 4 * count / max(n, 1))
+    drawn = (texts.withColumn("h", F.xxhash64("t")).where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
+             .groupBy("h").agg(F.first("t").alias("t")).orderBy("h").limit(count))
+    return [r["t"] for r in drawn.collect()]
+
+
 def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """(doc_id, tokens): a row a document with its packed ids; and a row a task with
-    null tokens, whose ``df`` packs the task's document frequencies, documents and tokens."""
+                text_col: str = "text", pivots: int = 64) -> DataFrame:
+    """(doc_id, tokens, route, mark, df): a row a document with its packed ids, group and
+    min-hash; and a row a task with null tokens, whose ``df`` packs the task's document
+    frequencies, documents and tokens."""
     from tokenizers import Tokenizer
 
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    size = max(Tokenizer.from_str(spec).get_vocab_size(), end_id + 1)
+    tokenizer = Tokenizer.from_str(spec)
+    size = max(tokenizer.get_vocab_size(), end_id + 1)
     dtype = np.uint16 if size <= 1 << 16 else np.uint32
+    sample = encode_texts(pa.array(_sampled_texts(docs, text_col), pa.string()), tokenizer, word_memo(tokenizer, dtype), dtype)
+    router = Router([np.frombuffer(b, dtype=dtype) for b in sample if b], size, pivots)
+    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary()), ("route", pa.int32()), ("mark", pa.int32()), ("df", pa.binary())])
 
     def run(batches):
         tokenizer = Tokenizer.from_str(spec)
         memo = word_memo(tokenizer, dtype)
         end = np.array([end_id], dtype=dtype).tobytes()
         df = np.zeros(size + 2, dtype=np.int64)
-        schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary()), ("df", pa.binary())])
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
-            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // (16 << 20)
-            starts = np.flatnonzero(np.diff(upto, prepend=-1)).tolist()       # slices of about 16 MB
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // (8 << 20)
+            starts = np.flatnonzero(np.diff(upto, prepend=-1)).tolist()       # slices of about 8 MB
             for lo, hi in zip(starts, [*starts[1:], len(batch)]):
-                out = []
-                for b in encode_texts(batch.column(1).slice(lo, hi - lo), tokenizer, memo, dtype):
-                    b += end
-                    a = np.frombuffer(b, dtype=dtype)
-                    df[np.flatnonzero(np.bincount(a, minlength=size)) if len(a) > 20_000 else np.unique(a)] += 1
-                    df[size + 1] += len(a)
-                    out.append(b)
-                df[size] += len(out)
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())], schema=schema)
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()], pa.binary())], schema=schema)
+                out = [b + end for b in encode_texts(batch.column(1).slice(lo, hi - lo), tokenizer, memo, dtype)]
+                lengths = np.array([len(b) for b in out], dtype=np.int64) // np.dtype(dtype).itemsize
+                term, tf, start = _distinct_terms(np.frombuffer(b"".join(out), dtype=dtype), lengths)
+                df[:size] += np.bincount(term, minlength=size)
+                df[size:] += len(out), lengths.sum()
+                groups, marks = router.place(term, tf, start, lengths)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(out, pa.binary()), pa.array(groups), pa.array(marks),
+                                                  pa.nulls(len(out), pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()),
+                                          pa.array([df.tobytes()], pa.binary())], schema=schema)
 
-    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, "doc_id bigint, tokens binary, df binary")
+    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, "doc_id bigint, tokens binary, route int, mark int, df binary")
 
 
 def _statistics(tokens: DataFrame) -> np.ndarray:
@@ -212,42 +287,52 @@ def _statistics(tokens: DataFrame) -> np.ndarray:
     return out
 
 
-K1, B = 1.2, 0.75        # of BM25
-_MOST_RANGES = 50_000
-
-
 class Bm25Shard:
-    """Inverted index over the token ids of a shard's documents."""
+    """Index over the token ids of a shard's documents: postings of the rarer terms, a dense
+    table of the weights of terms in over a quarter of the documents."""
 
     def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float,
                  k1: float = K1, b: float = B):
         sizes = np.array([len(d) for d in docs], dtype=np.int64)
-        flat = np.concatenate(docs).astype(np.int64)
-        key = np.sort((np.repeat(np.arange(len(docs)), sizes) << 32) | flat)
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        tf = np.diff(np.concatenate((first, [len(key)]))).astype(np.float32)
-        doc, term = key[first] >> 32, key[first] & 0xFFFFFFFF
-        idf = np.log1p((n_docs - df[term] + 0.5) / (df[term] + 0.5))
-        norm = k1 * (1 - b + b * sizes[doc] / max(mean, 1e-9))
-        weight = (idf * tf * (k1 + 1) / (tf + norm)).astype(np.float32)
+        term, tf, start = _distinct_terms(np.concatenate(docs), sizes)
         self.n = len(docs)
-        # a document's query: all its terms
-        bounds = np.searchsorted(doc, np.arange(self.n + 1))
-        self.query = [term[a:z] for a, z in zip(bounds[:-1], bounds[1:])]
+        doc = np.repeat(np.arange(self.n), np.diff(np.append(start, len(term))))
+        idf = np.log1p((n_docs - df[term] + 0.5) / (df[term] + 0.5))
+        weight = (idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[doc] / max(mean, 1e-9)))).astype(np.float32)
+        held = np.bincount(term)
+        common = np.flatnonzero(held * 4 > self.n)
+        column = np.full(len(held), -1, dtype=np.int64)
+        column[common] = np.arange(len(common))
+        # a document's query: all its terms, the common ones as columns of the table
+        dense = column[term] >= 0
+        cut = lambda x, of: np.split(x, np.searchsorted(of, np.arange(1, self.n)))
+        self.rare, self.often = cut(term[~dense], doc[~dense]), cut(column[term[dense]], doc[dense])
+        self.table = np.zeros((self.n, len(common)), dtype=np.float32)
+        self.table[doc[dense], column[term[dense]]] = weight[dense]
+        term, doc, weight = term[~dense], doc[~dense], weight[~dense]
         by_term = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[by_term], weight[by_term]
-        self.ptr = np.searchsorted(term[by_term], np.arange(int(term.max()) + 2))
+        self.ptr = np.searchsorted(term[by_term], np.arange(len(held) + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> list[int]:
-        """Unused documents that share a term with the seed, best first, ties by place."""
-        terms = self.query[seed]
-        lo, hi = self.ptr[terms], self.ptr[terms + 1]
+    def scores(self, seed: int) -> np.ndarray:
+        lo, hi = self.ptr[self.rare[seed]], self.ptr[self.rare[seed] + 1]
         size = hi - lo
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
+        at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
         score = np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
-        score[~unused] = 0
+        query = np.zeros(self.table.shape[1], dtype=np.float32)
+        query[self.often[seed]] = 1
+        return score + self.table @ query
+
+    def neighbours(self, seed: int, unused: np.ndarray):
+        """Unused documents that share a term with the seed, best first, ties by place."""
+        score = np.where(unused, self.scores(seed), 0)
         found = np.flatnonzero(score > 0)
-        return found[np.argsort(-score[found], kind="stable")].tolist()
+        if len(found) > 64:             # most windows are full after a few
+            least = -np.partition(-score[found], 48)[48]
+            top = found[score[found] >= least]
+            yield from top[np.argsort(-score[top], kind="stable")].tolist()
+            found = found[score[found] < least]
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
 def pack_shard(index: Bm25Shard, sizes: np.ndarray, window: int) -> list[int]:
@@ -301,56 +386,11 @@ def _pieces(order: list[int], sizes: np.ndarray, window: int) -> list[tuple[int,
     return out
 
 
-def _pivots(tokens: DataFrame, count: int, dtype) -> list[np.ndarray]:
-    """The distinct documents of 32 to 8,192 tokens with the least hashes; a bounded sample."""
-    size = np.dtype(dtype).itemsize
-    some = (tokens.where(F.octet_length("tokens").between(32 * size, 8192 * size)).select("tokens", F.xxhash64("tokens").alias("h"))
-            .orderBy("h").limit(4 * count).collect())
-    return [np.frombuffer(t, dtype=dtype) for t in list(dict.fromkeys(bytes(r["tokens"]) for r in some))[:count]]
-
-
-def _weights(doc: np.ndarray, df: np.ndarray, n_docs: int, mean: float) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms of a document and their BM25 weights."""
-    term, tf = np.unique(doc, return_counts=True)
-    idf = np.log1p((n_docs - df[term] + 0.5) / (df[term] + 0.5))
-    return term, (idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(doc) / max(mean, 1e-9)))).astype(np.float32)
-
-
-def route(tokens: DataFrame, df: np.ndarray, n_docs: int, mean: float, pivots: int = 64) -> DataFrame:
-    """(doc_id, tokens, route, rare, h): the group of each document and its place in there."""
-    dtype = np.uint16 if len(df) <= 1 << 16 else np.uint32
-    table_ = np.zeros((len(df), max(pivots, 1)), dtype=np.float32)
-    chosen = _pivots(tokens, pivots, dtype)
-    for k, pivot in enumerate(chosen):
-        term, w = _weights(pivot, df, n_docs, mean)
-        table_[term, k] = w / max(float(np.linalg.norm(w)), 1e-9)
-    # like pivots side by side: each is followed by the most similar one that is left
-    near, chain, left = table_.T @ table_, [0], set(range(1, len(chosen)))
-    while left:
-        chain.append(max(left, key=lambda k: (near[chain[-1], k], -k)))
-        left.remove(chain[-1])
-    table_ = np.ascontiguousarray(table_[:, chain])
-
-    def run(batches):
-        for batch in batches:
-            routes, rares = np.zeros(len(batch), dtype=np.int32), np.zeros(len(batch), dtype=np.int32)
-            for k, t in enumerate(batch.column(1)):
-                term, w = _weights(np.frombuffer(t.as_buffer(), dtype=dtype), df, n_docs, mean)
-                routes[k] = np.argmax(w @ table_[term])
-                shared = np.where(df[term] > 1, df[term], np.iinfo(np.int64).max)
-                rares[k] = term[np.argmin(shared)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(routes), pa.array(rares), batch.column(2)],
-                                             names=["doc_id", "tokens", "route", "rare", "h"])
-
-    held = tokens.where("tokens IS NOT NULL").select("doc_id", "tokens", F.xxhash64("tokens").alias("h"))
-    return held.mapInArrow(run, "doc_id bigint, tokens binary, route int, rare int, h bigint")
-
-
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int = 2, shard_tokens: int = 1_000_000,
          pivots: int = 64, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of all documents in sequences of at most ``window`` tokens (module text), a written
     table; ``with_ids`` adds each piece's token ids as little-endian unsigned 32-bit integers."""
-    tokens = written(token_table(docs, tokenizer_path, end_id, id_col, text_col), "packing-tokens")
+    tokens = written(token_table(docs, tokenizer_path, end_id, id_col, text_col, pivots), "packing-tokens")
     stats = _statistics(tokens)
     df, n_docs, n_tokens = stats[:-2], int(stats[-2]), int(stats[-1])
     dtype = np.uint16 if len(df) <= 1 << 16 else np.uint32
@@ -386,10 +426,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
         if held:
             yield solve(ids, held, base)[0]
 
-    order = ["route", "rare", "h"]
     ranges = max(1, min(-(-n_tokens // (2 * shard_tokens)), _MOST_RANGES))      # two shards a task, more where the ranges are at their most
-    dealt = route(tokens, df, n_docs, mean, pivots).repartitionByRange(ranges, *order, "doc_id")
-    dealt = dealt.sortWithinPartitions(*order, "doc_id").select("doc_id", "tokens")
+    order = ["route", "mark", "h", "doc_id"]
+    dealt = tokens.where("tokens IS NOT NULL").select("doc_id", "tokens", "route", "mark", F.xxhash64("tokens").alias("h"))
+    dealt = dealt.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("doc_id", "tokens")
     return written(dealt.mapInArrow(run, PIECES + (", ids binary" if with_ids else "")), "packing-pieces")
 
 

@@ -166,7 +166,7 @@ def test_neighbours_equal_brute_force_on_all_terms():
     unused = rng.random(40) < 0.7
     for seed in range(40):
         want = _bm25(docs, seed)
-        got = index.neighbours(seed, unused)
+        got = list(index.neighbours(seed, unused))
         assert set(got) == {k for k in range(40) if unused[k] and want[k] > 0}
         assert all(want[a] >= want[b] - 1e-4 for a, b in zip(got, got[1:]))
 
