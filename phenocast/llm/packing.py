@@ -1,7 +1,7 @@
 """Lexical retrieval packing (operator 3).
 
 Documents are tokenized, routed by content and dealt into shards of about ``shard_tokens``
-tokens.  Routing: of a sample of about ``SAMPLE`` different documents, drawn by hash, ``pivots``
+tokens.  Routing: of a random sample of about ``SAMPLE`` different documents ``pivots``
 stand for groups; a document joins the pivot of the largest cosine of BM25 weights (with the
 sample's frequencies), and the groups are laid out in ranges by (pivot, min-hash of the
 tokens, hash), so copies lie side by side, like documents near them, and a hot group is cut
@@ -51,57 +51,71 @@ class WordIds:
     """
 
     def __init__(self, tokenizer, dtype, most: int = 150_000):
-        self.tokenizer, self.model, self.most, self.dtype = tokenizer, tokenizer.model, most, dtype
+        self.tokenizer, self.tokenize, self.most, self.dtype = tokenizer, tokenizer.model.tokenize, most, dtype
         self.code = {np.uint16: "H", np.uint32: "I"}[dtype]
         self.alphabet = _byte_alphabet()
         self.words: dict = {}
         self.older: dict = {}
         self.marks: dict = {}
+        self.room = most
 
     def encode(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, word: str) -> bytes | None:
-        """Ids of a word of letters, None for anything else; one pre-token, straight to the merges."""
-        got = self.words.get(word)
+        """Ids of a new word of letters, None for anything else; one pre-token, straight to the merges."""
+        got = self.older.get(word)
         if got is None:
-            got = self.older.get(word)
-            if got is None:
-                if word.isascii():
-                    if not word.isalpha():
-                        return None
-                    text = word
-                elif _plain(word):
-                    text = word.encode().decode("latin-1").translate(self.alphabet)
-                else:
+            if word.isascii():
+                if not word.isalpha():
                     return None
-                got = array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
-            if len(self.words) >= self.most:
-                self.older, self.words = self.words, {}
+                text = word
+            elif _plain(word):
+                text = word.encode().decode("latin-1").translate(self.alphabet)
+            else:
+                return None
+            got = array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
+        if self.room > 0:
+            self.room -= 1
             self.words[word] = got
         return got
 
-    def chunks(self, chunks: pa.Array) -> list[bytes]:
-        """Ids of distinct chunks."""
+    def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks one after the other, and their numbers."""
+        if self.room <= 0:
+            self.older, self.words, self.room = self.words, {}, self.most
         stems = pc.ascii_rtrim(chunks, characters=_MARKS).dictionary_encode()
-        words, at = stems.dictionary.to_numpy(zero_copy_only=False), stems.indices.to_numpy(zero_copy_only=False)
-        got = self.words.get
-        known = [got(w) or self.word(w) for w in words]
-        out = [known[k] for k in at.tolist()]
-        cut = pc.binary_length(stems.dictionary).to_numpy(zero_copy_only=False)[at]
-        longer = np.flatnonzero(pc.binary_length(chunks).to_numpy(zero_copy_only=False) > cut)
-        for j, chunk, stem in zip(longer.tolist(), chunks.take(pa.array(longer)).to_numpy(zero_copy_only=False), words[at[longer]]):
-            if out[j] is not None:
-                marks = chunk[len(stem):]
-                tail = self.marks.get(marks)
-                if tail is None:
-                    tail = self.encode(marks)
-                    if len(self.marks) < self.most:
-                        self.marks[marks] = tail
-                out[j] += tail
-        for j in [j for j, got in enumerate(out) if got is None]:
-            out[j] = self.encode(chunks[j].as_py())
-        return out
+        seen, word = self.words.get, self.word
+        known = [seen(w) or word(w) for w in stems.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        at = stems.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        over = pc.binary_length(chunks).to_numpy(zero_copy_only=False) - pc.binary_length(stems.dictionary).to_numpy(zero_copy_only=False)[at]
+        # chunks that are no word with marks are encoded whole, behind the words
+        odd = np.array([x is None for x in known])
+        whole = np.flatnonzero(odd[at])
+        at[whole] = len(known) + np.arange(len(whole))
+        over[whole] = 0
+        known = [x or b"" for x in known] + [self.encode(x) for x in chunks.take(pa.array(whole)).to_pylist()]
+        tails, tail_at, places = [b""], np.zeros(len(at), dtype=np.int64), {"": 0}
+        raw = chunks.cast(pa.large_binary())
+        for n in np.unique(over[over > 0]).tolist():
+            some = np.flatnonzero(over == n)
+            marks = pc.binary_slice(raw.take(pa.array(some)), -n).dictionary_encode()
+            of = []
+            for m in marks.dictionary.to_pylist():
+                if m not in places:
+                    tail = self.marks.get(m)
+                    if tail is None:
+                        tail = self.encode(m.decode())
+                        if len(self.marks) < self.most:
+                            self.marks[m] = tail
+                    places[m] = len(tails)
+                    tails.append(tail)
+                of.append(places[m])
+            tail_at[some] = np.array(of)[marks.indices.to_numpy(zero_copy_only=False)]
+        parts = known + tails
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // np.dtype(self.dtype).itemsize
+        pairs = np.stack([at, len(known) + tail_at], axis=1).ravel()
+        return _gathered(np.frombuffer(b"".join(parts), dtype=self.dtype), sizes, pairs), sizes[pairs].reshape(-1, 2).sum(axis=1)
 
     def batch(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, null read as empty."""
@@ -112,16 +126,10 @@ class WordIds:
         full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
         upto = np.concatenate(([0], np.cumsum(full)))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         coded = flat.filter(pa.array(full)).dictionary_encode()
-        parts = self.chunks(coded.dictionary)
-        sizes = np.array([len(x) for x in parts], dtype=np.int64) // np.dtype(self.dtype).itemsize
-        ids, first = np.frombuffer(b"".join(parts), dtype=self.dtype), np.cumsum(sizes) - sizes
+        ids, sizes = self.chunks(coded.dictionary)
         at = coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[at]
-        ends = np.concatenate(([0], np.cumsum(n)))
-        place = np.repeat(first[at] - ends[:-1], n)
-        place += np.arange(ends[-1])
-        flat_ids = ids[place]
-        del place
+        flat_ids = _gathered(ids, sizes, at)
+        ends = np.concatenate(([0], np.cumsum(sizes[at])))
         bounds = ends[upto]
         out = [flat_ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         for j in np.flatnonzero(special).tolist():
@@ -129,6 +137,15 @@ class WordIds:
         return out
 
 
+def _gathered(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs ``at`` of ``ids``, which holds runs of the given sizes."""
+    first, n = np.cumsum(sizes) - sizes, sizes[at]
+    ends = np.cumsum(n)
+    place = np.repeat(first[at] - ends + n, n)
+    place += np.arange(len(place))
+    return ids[place]
+
+
 def _plain(word: str) -> bool:
     """Letters only, lower case and composed: the normaliser leaves it as it is."""
     return word.isalpha() and word == word.lower() and max(word) < "\u0300"
@@ -195,7 +212,7 @@ class Router:
         sizes = np.diff(start, append=len(term))
         groups = np.empty(len(start), dtype=np.int32)
         # some documents at a time, so that their rows of the table stay small
-        cuts = np.searchsorted(start, np.arange(0, len(term), 40_000)).tolist()
+        cuts = np.searchsorted(start, np.arange(0, len(term), 2_000)).tolist()
         for lo, hi in zip(cuts, [*cuts[1:], len(start)]):
             if lo < hi:
                 a, z = start[lo], start[hi] if hi < len(start) else len(term)
@@ -219,12 +236,10 @@ SAMPLE = 512
 
 
 def _sampled_texts(docs: DataFrame, text_col: str, count: int = SAMPLE) -> list[str]:
-    """About ``count`` different texts of 100 to 20,000 characters (all, if they are fewer), by hash."""
-    texts = docs.where(F.length(text_col).between(100, 20_000)).select(F.col(text_col).alias("t"))
-    n = texts.count()
-    share = min(1.0, 4 * count / max(n, 1))
-    drawn = (texts.withColumn("h", F.xxhash64("t")).where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
-             .groupBy("h").agg(F.first("t").alias("t")).orderBy("h").limit(count))
+    """About ``count`` different texts of 100 to 20,000 characters (all, if they are fewer)."""
+    texts = docs.select(F.col(text_col).alias("t")).where(F.length("t").between(100, 20_000))
+    share = min(1.0, 4 * count / max(docs.count(), 1))
+    drawn = texts.where(F.rand(11) < share).withColumn("h", F.xxhash64("t")).groupBy("h").agg(F.first("t").alias("t")).orderBy("h").limit(count)
     return [r["t"] for r in drawn.collect()]
 
 
