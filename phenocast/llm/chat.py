@@ -60,15 +60,15 @@ def rotate(conversations: DataFrame, part_turns: int = 512, tie_rows: int = 4096
         clean(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("content")).distinct()
     rows = rows.withColumn("name", F.coalesce("name", F.lit("unknown")))
     rows = rows.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)))
-    # parts of more rows, repeated ones counted: under 1 / tie_rows of the rows
+    # parts of more rows, repeated ones counted: under 1 / tie_rows of the rows, joined by their written size
     part = F.coalesce(F.floor(F.col(turn_col).cast("bigint") / part_turns), F.lit(-1))
     large = written(conversations.groupBy(F.col(id_col).alias("conv_id"), part.alias("part")).count().where(F.col("count") > tie_rows)
                     .select(F.col("conv_id").alias("__c"), F.col("part").alias("__p")), "chat-large")
     turns = rows.withColumn("piece", F.lit(0))
     if not large.isEmpty():
         of_large = F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("part") == F.col("__p"))
-        turns = turns.join(F.broadcast(large), of_large, "left_anti").unionByName(
-            _pieces(rows.join(F.broadcast(large), of_large, "left_semi"), tie_rows))
+        turns = turns.join(large, of_large, "left_anti").unionByName(
+            _pieces(rows.join(large, of_large, "left_semi"), tie_rows))
     parts = (turns.select("conv_id", "part", "piece", F.struct("turn", "name", "content").alias("t"))
              .groupBy("conv_id", "part", "piece").agg(F.sort_array(F.collect_list("t")).alias("turns")))
     people = (rows.select("conv_id", F.col("name").alias("speaker")).where(F.col("speaker") != system_role).distinct()
@@ -108,13 +108,14 @@ p AS (SELECT DISTINCT conv_id, name AS speaker FROM r WHERE name <> 'system'),
 x AS (SELECT r.conv_id, speaker, CAST(coalesce(floor(turn / 512), -1) AS BIGINT) AS part, turn, name, content,
         '{OPEN}' || CASE WHEN name = 'system' THEN 'system' WHEN name = speaker THEN 'assistant' ELSE 'user name=' || name END || chr(10) AS head,
         content || '{CLOSE}' AS body FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
+c AS (SELECT *, CAST((row_number() OVER (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, name, content) - 1) // 4096 AS INTEGER) AS piece FROM x),
 o AS (SELECT *, row_number() OVER w AS rn,
-        coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, name, content
+        coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part, piece ORDER BY turn NULLS FIRST, name, content
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base
-      FROM x WINDOW w AS (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, name, content))
-SELECT conv_id, speaker, part, CAST(0 AS INTEGER) AS piece, count(*) AS n_turns,
+      FROM c WINDOW w AS (PARTITION BY conv_id, speaker, part, piece ORDER BY turn NULLS FIRST, name, content))
+SELECT conv_id, speaker, part, piece, count(*) AS n_turns,
        string_agg(head || body || chr(10), '' ORDER BY rn) AS rendered,
        coalesce(string_agg(CAST(CAST(base + length(head) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(base + length(head) + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY rn)
            FILTER (WHERE name = speaker), '') AS assistant_spans
-FROM o GROUP BY conv_id, speaker, part
+FROM o GROUP BY conv_id, speaker, part, piece
 """

@@ -23,8 +23,8 @@ on how clustered the data are; without clusters no bound from summaries saves mu
 Defined results: a vector that is null or holds a null or non-finite component takes
 no part; an empty vector is a zero vector, a shorter one is filled with zeros;
 ties go to the smaller id; rows with a null id take no part; of rows that repeat an
-id, each is a candidate, a query's own id never is, and a repeated query is
-answered once; an empty table gives an empty result; other columns are passed by.
+id, each is a candidate, a query's own id never is, and a repeated query is answered
+once, for the least of its vectors, compared component by component; an empty table gives an empty result; other columns are passed by.
 """
 
 from __future__ import annotations
@@ -110,8 +110,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, n_pivo
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     theta = _summary_bounds(pivots, summary, groups, k)
 
-    # queries: one row an id
-    queries = cells.where("q").select("vec_id", "v", "cell").dropDuplicates(["vec_id", "cell"])
+    # queries: one row an id, of different vectors under one id the least
+    queries = (cells.where("q").groupBy("vec_id").agg(F.min(F.struct("v", "cell")).alias("x"))
+               .select("vec_id", F.col("x.v").alias("v"), F.col("x.cell").alias("cell")))
     pieces = {c: max(1, -(-r["n"] // slice_rows)) for c, r in summary.items()}
     parts = {c: max(1, -(-r["qn"] // slice_rows)) for c, r in summary.items()}
     own = cells.select(F.col("cell").alias("grp"), "vec_id", "v")

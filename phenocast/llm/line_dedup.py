@@ -32,7 +32,7 @@ line is never deleted; an empty table gives an empty result; other columns are k
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -146,29 +146,30 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
 def dedup_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = "n_chars",
                 report: bool = False) -> DataFrame:
     """``docs`` without later copies of repeated line runs, same columns; ``n_chars_col``
-    is kept up.  ``report`` adds ``n_lines`` (non-blank) and ``n_deleted``."""
+    is kept up.  ``report`` adds ``n_lines`` (non-blank) and ``n_deleted``, in place of columns named so."""
+    tag = uuid.uuid4().hex              # helper columns that no column of ``docs`` is named like
+    doc, at, lost, new, cut = (f"{c}_{tag}" for c in ("doc", "hash", "gone", "text", "lines"))
     gone = written(repeated_lines(docs, min_words, id_col, text_col), "lines-deleted")
-    gone = gone.select(F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("deleted").alias("__gone"))
-    kept = docs.withColumn("__h", F.xxhash64(text_col))
-    both = kept.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("__d")) & (F.col("__h") == F.col("__th")), "left")
+    gone = gone.select(F.col("d").alias(doc), F.col("th").alias(at), F.col("deleted").alias(lost))
+    both = docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64(text_col) == F.col(at)), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     # linear in the lines: indices by a hash set, then lines by index
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone")), lambda i: F.get(F.col("__lines"), i)), "\n"))
-    both = both.withColumn("__lines", F.when(F.col("__gone").isNotNull(), lines)).withColumn("__text", text)
+    text = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(
+        F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost)), lambda i: F.get(F.col(cut), i)), "\n"))
+    both = both.withColumn(cut, F.when(F.col(lost).isNotNull(), lines)).withColumn(new, text)
     out = []
     for c in docs.columns:
         if c == text_col:
-            out.append(F.col("__text").alias(c))
+            out.append(F.col(new).alias(c))
         elif c == n_chars_col:
             kind = docs.schema[c].dataType
-            out.append(F.when(F.col("__gone").isNull(), F.col(c)).otherwise(F.length("__text")).cast(kind).alias(c))
-        else:
+            out.append(F.when(F.col(lost).isNull(), F.col(c)).otherwise(F.length(new)).cast(kind).alias(c))
+        elif not (report and c in ("n_lines", "n_deleted")):
             out.append(F.col(c))
     if report:
         n = F.size(F.filter(lines, lambda x: F.trim(x) != ""))
         out += [F.coalesce(n, F.lit(0)).cast("bigint").alias("n_lines"),
-                F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint").alias("n_deleted")]
+                F.coalesce(F.size(lost), F.lit(0)).cast("bigint").alias("n_deleted")]
     return both.select(*out)
 
 

@@ -12,10 +12,11 @@ is decoded as one with the CRF.  An added span must hold what its kind is define
 (``valid``): an ``@`` with a dotted domain, four parts up to 255, 13 to 19 digits
 passing Luhn, or 7 to 15 digits.
 
-``fit`` learns from the windows of at most ``max_documents`` documents (those whose id
-hashes lowest among documents with a digit or ``@``), labelled by the base spans or
-by any given labelling function.  Without a labelled span there is no network, and
-the base spans are the result.
+``fit`` learns from the windows of at most ``max_documents`` documents, a share of them
+for each kind, labelled by the base spans or by any given labelling function, and from the
+same phone numbers without their country prefix, which the base patterns do not know.
+Without a labelled span in the documents that look like holding one there is no network,
+and the base spans are the result.
 
 Defined results: a null or empty text has no spans; repeated rows get equal results;
 null ids are kept; an empty table gives an empty result; other columns are passed by.
@@ -30,10 +31,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import table
+from phenocast.llm._common import table, written
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -416,25 +417,66 @@ def find_spans(p: dict | None, texts: list[str | None]) -> list[tuple[list[Span]
 
 # --- on Spark --------------------------------------------------------------------------------
 
+_HINTS = {"email": "@[A-Za-z0-9-]+[.]", "ip": "[0-9][.][0-9]+[.][0-9]+[.][0-9]", "card": "[0-9]([ -]?[0-9]){15}", "phone": "[+][0-9]"}
+_PREFIX = re.compile(r"\+[0-9]{1,3}[ .-]")
+
+
+def without_prefix(text: str, spans: list[Span]) -> tuple[str, list[Span]] | None:
+    """The text with its phone numbers as they are written at home, and its spans there; None
+    if no phone number has a country prefix.  The base patterns do not know this form."""
+    out, moved, last, gone = [], [], 0, 0
+    found = False
+    for kind, a, b in sorted(spans, key=lambda s: s[1]):
+        m = _PREFIX.match(text, a, b) if kind == "phone" and a >= last else None
+        if m and len(_digits(text[m.end():b])) >= 7:
+            out.append(text[last:a])
+            gone += m.end() - a
+            moved.append((kind, m.end() - gone, b - gone))
+            last, found = m.end(), True
+        else:
+            moved.append((kind, a - gone, b - gone))
+    return ("".join(out) + text[last:], moved) if found else None
+
+
 def fit(docs: DataFrame, max_documents: int = 600, max_windows: int = 1500, label: Callable[[str], list[Span]] = base_spans,
         id_col: str = "doc_id", text_col: str = "text") -> dict | None:
-    """Network trained on labelled spans of a bounded sample (module text)."""
+    """Network trained on labelled spans of a bounded sample (module text).
+
+    A fifth of the documents and windows goes to each kind, those with the least hashes that
+    hold it (documents by a plain pattern of the kind), the last fifth to the rest; documents
+    with phone numbers count a second time in the form of :func:`without_prefix`.
+    """
+    share = max_documents // (len(KINDS) + 1)
+
     def run(batches):
         for batch in batches:
-            hs, got = [], []
-            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = training_windows(t, label(t))
-                hs += [h] * len(rows)
-                got += rows
-            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array([np.concatenate(r).astype(np.int8).tobytes() for r in got], pa.binary())],
-                                             names=["h", "window"])
+            hs, ks, got = [], [], []
+            for t in batch.column(0).to_pylist():
+                spans = label(t)
+                home = without_prefix(t, spans)
+                for text, found in [(t, spans), *([home] if home else [])]:
+                    for row in training_windows(text, found):
+                        raw = np.concatenate(row).astype(np.int8).tobytes()
+                        tags = row[1][row[1] > 0]
+                        hs.append(int.from_bytes(hashlib.blake2b(raw, digest_size=7).digest(), "big"))
+                        ks.append(int(tags[0] - 1) // 2 if len(tags) else -1)
+                        got.append(raw)
+            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(ks, pa.int32()), pa.array(got, pa.binary())], names=["h", "k", "window"])
 
     rows = docs.where(F.col(text_col).rlike("[0-9@]")).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"))
-    n = rows.count()
-    if n > 2 * max_documents:  # a threshold on the hash first, so that few texts are ordered
-        rows = rows.where(F.pmod("h", F.lit(1 << 40)) < int(2.0 * max_documents / n * (1 << 40)))
-    sample = rows.orderBy("h", "t").limit(max_documents)
-    got = sample.mapInArrow(run, "h bigint, window binary").orderBy("h", "window").limit(max_windows).collect()
+    hints = [F.col("t").rlike(p) for p in _HINTS.values()]
+    hints.append(~(hints[0] | hints[1] | hints[2] | hints[3]))
+    n = rows.agg(*[F.count_if(c).alias(f"n{k}") for k, c in enumerate(hints)]).first()
+    # a threshold on the hash for each kind, so that few texts are ordered
+    place = F.pmod("h", F.lit(1 << 40))
+    low = [c & (place < int(min(1.0, 2.0 * share / max(m, 1)) * (1 << 40))) for c, m in zip(hints, n)]
+    some = rows.where(low[0] | low[1] | low[2] | low[3] | low[4]).select("h", "t", F.array(*[F.when(c, F.lit(k)) for k, c in enumerate(low)]).alias("ks"))
+    some = some.select("h", "t", F.explode(F.filter("ks", lambda k: k.isNotNull())).alias("k"))
+    some = some.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("h", "t"))).where(F.col("rn") <= share)    # about 2 * share texts a kind
+    windows = written(some.select("t").distinct().mapInArrow(run, "h bigint, k int, window binary"), "pii-windows")
+    best = Window.partitionBy("k").orderBy("h", "window")       # windows of at most max_documents documents
+    got = (windows.distinct().withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= max_windows // (len(KINDS) + 1))
+           .orderBy("h", "window").select("window").collect())
     xy = np.array([np.frombuffer(r["window"], np.int8) for r in got], dtype=np.int64).reshape(-1, 2 * WINDOW)
     if not xy[:, WINDOW:].any():
         return None

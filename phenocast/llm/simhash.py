@@ -30,6 +30,8 @@ empty result; other columns are passed by.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -282,7 +284,7 @@ def _rooted(firsts: DataFrame, max_bits: int, bucket_rows: int = 4096) -> DataFr
 
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
                        text_col: str = "text", bucket_rows: int = 4096) -> DataFrame:
-    """(doc_id, fingerprint, component_id, n_bits_links): see the module text."""
+    """(doc_id, fingerprint, component_id): see the module text."""
     fps = written(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
     firsts = written(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     of = _rooted(firsts, max_bits, bucket_rows)
@@ -316,13 +318,15 @@ def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("first")
     firsts = written(fps.groupBy("fp").agg(first), "simhash-distinct")
     low = _rooted(firsts, max_bits).groupBy("root").agg(F.min("first").alias("first"))
-    keep = written(low.select(F.col("first.id").alias("__id"), F.col("first.th").alias("__th")), "simhash-keep")
+    keep = written(low.select(F.col("first.id").alias("id"), F.col("first.th").alias("th")), "simhash-keep")
+    tag = uuid.uuid4().hex              # helper columns that no column of ``docs`` is named like
+    key, at, kept_id, kept_at = (f"{c}_{tag}" for c in ("id", "hash", "kept", "kept_hash"))
+    keep = keep.select(F.col("id").alias(kept_id), F.col("th").alias(kept_at))
     rows = fps.groupBy("id", "th").count().where("count > 1")
-    repeated = not rows.join(keep, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left_semi").isEmpty()
-    keep = keep.select(F.col("__id").alias("__keep"), F.col("__th").alias("__kept"))
-    kept = (docs.withColumns({"__id": F.col(id_col).cast("bigint"), "__th": F.xxhash64(text_col)})
-            .join(keep, F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__th") == F.col("__kept")), "left_semi"))
-    return (kept.dropDuplicates(["__id", "__th"]) if repeated else kept).drop("__id", "__th")
+    repeated = not rows.join(keep, F.col("id").eqNullSafe(F.col(kept_id)) & (F.col("th") == F.col(kept_at)), "left_semi").isEmpty()
+    kept = (docs.withColumns({key: F.col(id_col).cast("bigint"), at: F.xxhash64(text_col)})
+            .join(keep, F.col(key).eqNullSafe(F.col(kept_id)) & (F.col(at) == F.col(kept_at)), "left_semi"))
+    return (kept.dropDuplicates([key, at]) if repeated else kept).drop(key, at)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
