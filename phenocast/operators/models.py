@@ -9,7 +9,6 @@ way, and the estimator runs inside a ``PipelineModel`` that can be saved.
 
 from __future__ import annotations
 
-import json
 import math
 import random
 from dataclasses import dataclass
@@ -205,7 +204,7 @@ def make_estimator(kind: str = "gbt", label: str = "label", settings: dict | Non
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def _fitting_rows(train: DataFrame, features: list, label: str, partitions: int | None):
+def _fitting_rows(train: DataFrame, features: list, label: str, partitions: int | None, extra: Sequence[str] = ()):
     """(normalization table, scaled rows with a label), the rows to be persisted by the caller.
 
     The table has one row per feature, so it is held as a local relation.
@@ -218,7 +217,7 @@ def _fitting_rows(train: DataFrame, features: list, label: str, partitions: int
     rows = train.where(F.col(label).isNotNull())
     if partitions:
         rows = rows.repartition(partitions)
-    keep = [label, VALIDATION_COL] if VALIDATION_COL in train.columns else [label]
+    keep = [label, *extra, *([VALIDATION_COL] if VALIDATION_COL in train.columns else [])]
     return params, scale_with(rows, params, features).select(
         *keep, *[f"{c}__z" for c in features])
 
@@ -366,53 +365,10 @@ def draw_settings(space: dict, n: int, seed: int = 42) -> list[dict]:
     return out
 
 
-def cross_validate(train: DataFrame, features: Sequence[str], label: str, settings: list[dict],
-                   folds: int = 5, metric: str = "mse", seed: int = 42, parallelism: int = 4,
-                   base: dict | None = None, partitions: int | None = None, refit: bool = True):
-    """k-fold CV over sklearn-named settings; best refitted on all rows.
-
-    Returns (table of setting/metric rows, best FittedModel; None without ``refit``).
-    Each fold fit is a distributed MLlib job; ``parallelism`` fits run concurrently.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml import Pipeline
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
-
-    from phenocast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(train.sparkSession)
-    features = list(features)
-    params, scaled = _fitting_rows(train, features, label, partitions)
-    # the fold is drawn before the rows are persisted, so every fit sees the same folds
-    scaled = scaled.withColumn("_fold", F.floor(F.rand(seed) * folds).cast("int"))
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
-    assembler = VectorAssembler(inputCols=[f"{c}__z" for c in features], outputCol="_features",
-                                handleInvalid="keep")
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol="_prediction", metricName=metric)
-
-    def pipeline(s):
-        est = make_estimator("gbt", label, {**(base or {}), **sklearn_to_spark(s)}, seed)
-        return Pipeline(stages=[assembler, est])
-
-    def score(task):
-        s, fold = task
-        model = pipeline(s).fit(scaled.where(F.col("_fold") != fold))
-        return evaluator.evaluate(model.transform(scaled.where(F.col("_fold") == fold)))
-
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            scores = list(pool.map(score, [(s, f) for s in settings for f in range(folds)]))
-        means = [sum(scores[i * folds:(i + 1) * folds]) / folds for i in range(len(settings))]
-        pick = max if evaluator.isLargerBetter() else min
-        best = FittedModel(pipeline(settings[means.index(pick(means))]).fit(scaled), params, features) if refit else None
-    finally:
-        scaled.unpersist()
-    rows = [(i, json.dumps(s, sort_keys=True, default=str), float(m))
-            for i, (s, m) in enumerate(zip(settings, means))]
-    table = train.sparkSession.createDataFrame(rows, "setting_id int, setting string, metric double") \
-                 .withColumn("metric_name", F.lit(metric))
-    return table, best
+def cross_validate(*args, **kwargs):
+    """k-fold scores of settings, the best refitted (M10, M11): :func:`phenocast.operators.search.cross_validate`."""
+    from phenocast.operators import search
+    return search.cross_validate(*args, **kwargs)
 
 
 def model_comparison(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import sys
+import uuid
 from typing import Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +17,8 @@ from phenocast.functions.numeric import numeric_aware_key
 from phenocast.operators.phenology import dedupe_points
 from phenocast.operators.stats import standardize
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need no copy of it
+
 
 def obs_per_location(df: DataFrame, location: str = "location", out: str = "num_obs") -> DataFrame:
     """Rows per location; NULL locations are not counted (A4)."""
@@ -173,38 +179,98 @@ def kmeans_by_group(points: DataFrame, key: str, coords: Sequence[str], max_k: i
     return scaled.join(final, key).select(*points.columns, nearest(F.col("_cs"))["c"].cast("int").alias(cluster))
 
 
+def _centre_groups(cent: np.ndarray) -> list[np.ndarray]:
+    """Centres in about sqrt(k) groups, each around its first member (one group up to 64 centres)."""
+    k = len(cent)
+    if k <= 64:
+        return [np.arange(k)]
+    pivots = np.linspace(0, k - 1, int(math.sqrt(k))).astype(int)
+    d2 = ((cent * cent).sum(1)[:, None] - 2 * cent @ cent[pivots].T + (cent[pivots] ** 2).sum(1))
+    own = d2.argmin(1)
+    own[pivots] = np.arange(len(pivots))
+    return [np.concatenate([[p], np.setdiff1d(np.flatnonzero(own == g), [p])]) for g, p in enumerate(pivots)]
+
+
 def nearest_centre(points: DataFrame, centres: DataFrame, coords: Sequence[str],
                    centre_id: str = "centre_id", out: str = "centre",
-                   dist_out: str = "dist2", block: int = 256) -> DataFrame:
-    """Assign each point to the nearest centre by squared distance (M3).
-
-    ``centres`` holds one row per centre (k rows, k a model parameter).  They
-    become constant arrays of ``block`` centres in the plan; each point picks the
-    minimum of ``struct(dist2, centre_id)`` over them - ties go to the smaller id -
-    in narrow projections, with no join and no shuffle of the points.
+                   dist_out: str = "dist2", block: int = 4096) -> DataFrame:
+    """Assign each point to the nearest centre by squared distance (M3), ties to the smaller id.
+
+    ``centres`` holds one row per centre (k rows, k a model parameter).  They travel with the
+    code, in groups around pivots.  Points come in Arrow batches, ``block`` at a time: the
+    distance to a group's pivot less the group's radius bounds the distance to its members, so
+    a point meets only the groups whose bound is not above its nearest centre so far.  A
+    matrix product finds the candidates within its rounding error of the least distance, and
+    only these are computed coordinate by coordinate, so the result is exact.  No join and no
+    shuffle of the points.  A point with a missing coordinate has no centre (NULL).
     """
     coords = list(coords)
-    cent = centres.select(centre_id, *[F.col(c).cast("double").alias(c) for c in coords]).collect()
+    cent = centres.select(centre_id, *[F.col(c).cast("double").alias(c) for c in coords]).orderBy(centre_id).collect()
     id_type = centres.schema[centre_id].dataType
     if not cent:
         return points.withColumns({out: F.lit(None).cast(id_type), dist_out: F.lit(None).cast("double")})
-    xs = F.array(*[F.col(c).cast("double") for c in coords])
-
-    def nearest(rows):
-        lits = F.array(*[F.struct(F.array(*[F.lit(r[c]).cast("double") for c in coords]).alias("x"),
-                                  F.lit(r[centre_id]).cast(id_type).alias("id")) for r in rows])
-
-        def score(c):
-            d2 = F.aggregate(F.zip_with(F.col("_xs"), c["x"], lambda a, b: (a - b) * (a - b)),
-                             F.lit(0.0), lambda s, v: s + v)
-            return F.struct(d2.alias("d2"), c["id"].alias("id"))
-
-        return F.array_min(F.transform(lits, score))
-
-    res = points.withColumn("_xs", xs).withColumn("_best", nearest(cent[:block]))
-    for i in range(block, len(cent), block):
-        res = res.withColumn("_best", F.least("_best", nearest(cent[i:i + block])))
-    return res.withColumns({out: F.col("_best.id"), dist_out: F.col("_best.d2")}).drop("_best", "_xs")
+    ids = F.array(*[F.lit(r[centre_id]).cast(id_type) for r in cent]) if len(cent) <= 64 else None
+    c = np.array([[r[x] for x in coords] for r in cent], dtype=np.float64)      # in the order of the ids
+    groups = _centre_groups(c)
+    norms = (c * c).sum(1)
+    radius = np.array([np.sqrt(((c[g] - c[g[0]]) ** 2).sum(1)).max() for g in groups])
+    pivot = np.array([g[0] for g in groups])
+
+    def solve(x):
+        n, own = len(x), (x * x).sum(1)
+        err = 1e-9 * (own + norms.max()) + 1e-300
+        to = np.sqrt(np.maximum(own[:, None] - 2 * x @ c[pivot].T + norms[pivot], 0.0))
+        low = np.maximum(to - radius, 0.0) ** 2 - err[:, None] * (1 + 2 * len(coords) ** 0.5)
+        best, place = np.full(n, np.inf), np.zeros(n, dtype=np.int64)
+        first = to.argmin(1)
+        least = (to.min(1)) ** 2 + err                      # a pivot is a centre
+        for turn in (True, False):
+            for g, members in enumerate(groups):
+                rows = np.flatnonzero((first == g) if turn else ((first != g) & (low[:, g] <= np.minimum(least, best))))
+                if not len(rows):
+                    continue
+                d = own[rows, None] - 2 * x[rows] @ c[members].T + norms[members]
+                near = d <= (np.minimum(np.minimum(d.min(1), least[rows]), best[rows]) + 2 * err[rows])[:, None]
+                r, m = np.nonzero(near)
+                if not len(r):
+                    continue
+                exact = np.zeros(len(r))
+                for j in range(len(coords)):
+                    step = x[rows[r], j] - c[members[m], j]
+                    exact += step * step
+                order = np.lexsort((members[m], exact, r))
+                r, m, exact = r[order], m[order], exact[order]
+                top = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+                rr, dd, mm = rows[r[top]], exact[top], members[m[top]]
+                better = (dd < best[rr]) | ((dd == best[rr]) & (mm < place[rr]))
+                best[rr[better]], place[rr[better]] = dd[better], mm[better]
+                least[rr] = np.minimum(least[rr], best[rr])
+        return place, best
+
+    @F.pandas_udf("k bigint, d2 double")
+    def nearest(v):
+        import pandas as pd
+        x = v.to_numpy(dtype=np.float64)
+        k, d = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.nan)
+        full = np.flatnonzero(~np.isnan(x).any(1))
+        for lo in range(0, len(full), block):
+            rows = full[lo:lo + block]
+            k[rows], d[rows] = solve(x[rows])
+        gap = np.isnan(d)
+        return pd.DataFrame({"k": pd.Series(k).astype("Int64").mask(gap), "d2": pd.Series(d).astype("Float64").mask(gap)})
+
+    tag = f"_{uuid.uuid4().hex}"
+    res = points.withColumn(tag, nearest(F.struct(*[F.col(x).cast("double").alias(f"x{i}") for i, x in enumerate(coords)])))
+    if ids is None:
+        names = [r[centre_id] for r in cent]
+        named = points.sparkSession.createDataFrame(list(enumerate(names)), T.StructType([T.StructField(f"{tag}k", T.LongType()),
+                                                                                         T.StructField(f"{tag}id", id_type)]))
+        res = res.join(F.broadcast(named), F.col(f"{tag}.k") == F.col(f"{tag}k"), "left")      # k rows, held by the driver already
+        which = F.col(f"{tag}id")
+    else:
+        which = F.get(ids, F.col(f"{tag}.k").cast("int"))
+    kept = [F.col(x) for x in points.columns if x not in (out, dist_out)]
+    return res.select(*kept, which.alias(out), F.col(f"{tag}.d2").alias(dist_out))
 
 
 def representative_locations(data: DataFrame, location: str = "location", lat: str = "lat",

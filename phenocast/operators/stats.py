@@ -9,10 +9,13 @@ applying them is a narrow projection and no row ever moves for them.
 from __future__ import annotations
 
 import math
+import sys
 from itertools import combinations_with_replacement
 from typing import Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +23,8 @@ from pyspark.sql import types as T
 from phenocast.functions.numeric import half_even_int, normal_z
 from phenocast.functions.quantiles import kth_smallest_many
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need no copy of it
+
 
 # --------------------------------------------------------------------------- moments
 def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -121,7 +126,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     are present; a constant column gives NULL instead of an error.  Pairs are
     aggregated in chunks that stay inside whole-stage codegen, over one
     persisted projection.  For hundreds of columns use
-    :func:`correlation_matrix_wide` on filled data instead.
+    :func:`correlation_matrix_wide`, one pass whatever their number.
     """
     cols = list(cols)
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
@@ -155,21 +160,54 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All-pairs Pearson correlation for many columns via MLlib (no NULLs allowed).
-
-    One distributed Gramian pass (``pyspark.ml.stat.Correlation``); fill gaps
-    first (:func:`phenocast.operators.assemble.fill_with_means`).  The k x k
-    result is returned as a long table.
+    """Pearson correlation of every pair of many columns, pairwise-complete, long form (A10).
+
+    One pass: a task adds up, over its rows, the masked block products of values and presence
+    (counts, sums, squares and cross products of each pair over the rows that have both), so
+    240 columns cost six 240 x 240 tables a task instead of 28,920 aggregates; the tables are
+    added up by row of the result.  Values are taken relative to the means of a few rows, which
+    only spares digits.  A missing value is NULL or NaN; a column that is constant where the
+    other is present, or a pair that never meets, gives NULL.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
     cols = list(cols)
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(df.select(*cols))
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    spark = df.sparkSession
-    rows = [(a, b, None if m[i][j] != m[i][j] else float(m[i][j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    k = len(cols)
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    known = [F.when(~F.isnan(f"x{i}"), F.col(f"x{i}")) for i in range(k)]
+    near = x.limit(1000).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(known)]).first()     # one row
+    shift = np.array([v if v is not None else 0.0 for v in near])
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def products(batches):
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            v = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=np.float64) for c in batch.columns], axis=1)
+            there = ~np.isnan(v)
+            m, z = there.astype(np.float64), np.where(there, v - shift, 0.0)
+            s, q = z.T @ m, (z * z).T @ m
+            total += np.stack([m.T @ m, s, s.T, q, q.T, z.T @ z])
+        if total[0].any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), *[pa.array(list(t), pa.list_(pa.float64())) for t in total]], names=["i", *names])
+
+    def added(batches):
+        rows: dict = {}
+        for batch in batches:
+            tables = [np.stack(c.to_numpy(zero_copy_only=False)) for c in batch.columns[1:]]
+            for j, i in enumerate(batch.column(0).to_pylist()):
+                rows[i] = rows.get(i, 0) + np.stack([t[j] for t in tables])
+        for i, t in rows.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i] * k, pa.int32()), pa.array(range(k), pa.int32()), *[pa.array(c) for c in t]], names=["i", "j", *names])
+
+    sums = x.mapInArrow(products, "i int, " + ", ".join(f"{c} array<double>" for c in names))
+    sums = sums.repartition(min(k, 64), "i").mapInArrow(added, "i int, j int, " + ", ".join(f"{c} double" for c in names))
+    n = F.col("n")
+    vx, vy = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
+    spread = (vx > 1e-12 * n * F.col("sxx")) & (vy > 1e-12 * n * F.col("syy"))      # else constant, up to rounding
+    corr = F.when((n > 0) & spread, F.when(F.col("i") == F.col("j"), 1.0).otherwise((n * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(vx * vy)))
+    name = F.array(*[F.lit(c) for c in cols])
+    every = df.sparkSession.range(k * k).select((F.col("id") / k).cast("int").alias("a"), (F.col("id") % k).cast("int").alias("b"))
+    got = sums.select("i", "j", corr.alias("corr"))
+    return every.join(got, (F.col("a") == F.col("i")) & (F.col("b") == F.col("j")), "left").select(
+        F.element_at(name, F.col("a") + 1).alias("feature_a"), F.element_at(name, F.col("b") + 1).alias("feature_b"), "corr")
 
 
 # --------------------------------------------------------------------------- metrics

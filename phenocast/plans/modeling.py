@@ -22,7 +22,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from phenocast.operators import models, spatial, stats
+from phenocast.operators import boosting, models, spatial, stats
 from phenocast.plans import standins as V
 from phenocast.plans.registry import register
 from phenocast.plans.standins import with_views
@@ -143,11 +143,17 @@ CROSS JOIN (SELECT count(*) AS n FROM split WHERE split = 'train') s"""
 
 
 def _search(spark, d, settings, metric):
+    """(scores of the settings with the best marked, training rows); finished fits are in the ledger."""
     train, _ = model_data(spark, d)
+    table, _ = models.cross_validate(train, FEATURES, LABEL, settings, folds=5, metric=metric, seed=42, parallelism=SEARCH_FITS, refit=False,
+                                     partitions=-(-spark.sparkContext.defaultParallelism // SEARCH_FITS), keys=KEYS,
+                                     ledger=shared_scratch_path(spark, "search-ledger"))
+    return table, train
+
+
+def _checked_search(spark, d, settings, metric):
+    table, train = _search(spark, d, settings, metric)
     n, spread = train.agg(F.count(F.lit(1)), F.var_pop(LABEL)).first()
-    table, _ = models.cross_validate(train, FEATURES, LABEL, settings, folds=5, metric=metric, seed=42,
-                                     parallelism=SEARCH_FITS, refit=False,
-                                     partitions=-(-spark.sparkContext.defaultParallelism // SEARCH_FITS))
     better = F.col("metric") < spread if metric == "mse" else F.col("metric") > 0
     return table.select("setting_id", "setting", "metric_name", better.alias("beats_mean"), F.lit(n).cast("long").alias("n"))
 
@@ -159,12 +165,105 @@ _RANDOM_DRAW = models.draw_settings(models.RANDOM_SEARCH_SPACE, SEARCH_SETTINGS,
 @register("grid_search", _search_sql(_GRID_DRAW, "mse"))
 def q_grid_search(spark, d):
     """Settings of the unchanged base grid; ``python -m phenocast search`` runs any number of them."""
-    return _search(spark, d, _GRID_DRAW, "mse")
+    return _checked_search(spark, d, _GRID_DRAW, "mse")
+
+
+@register("grid_search_scores")
+def q_grid_search_scores(spark, d):
+    """The same search: cross-validated metric of each setting, the best marked (its fits come from the ledger)."""
+    return _search(spark, d, _GRID_DRAW, "mse")[0]
 
 
 @register("random_search", _search_sql(_RANDOM_DRAW, "r2"))
 def q_random_search(spark, d):
-    return _search(spark, d, _RANDOM_DRAW, "r2")
+    return _checked_search(spark, d, _RANDOM_DRAW, "r2")
+
+
+@register("random_search_scores")
+def q_random_search_scores(spark, d):
+    return _search(spark, d, _RANDOM_DRAW, "r2")[0]
+
+
+# ---------------------------------------------------------------- results of the fits
+@register("gbt_predictions")
+def q_gbt_predictions(spark, d):
+    """Held-out rows with their prediction (M6)."""
+    return fitted(spark, d, "gbt").transform(model_data(spark, d)[1], "prediction").select(*KEYS, LABEL, "prediction")
+
+
+@register("random_forest_predictions")
+def q_random_forest_predictions(spark, d):
+    return fitted(spark, d, "rf").transform(model_data(spark, d)[1], "prediction").select(*KEYS, LABEL, "prediction")
+
+
+@register("importance_scores")
+def q_importance_scores(spark, d):
+    """Importance, rank and running share of every feature of the boosted model."""
+    _, imp, cut = _selection(spark, d)
+    return imp.join(cut.select("feature", F.lit(True).alias("chosen")), "feature", "left").select(
+        "feature", "score", "rank", F.coalesce("chosen", F.lit(False)).alias("selected"))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, d):
+    """MSE and R^2 of the rounded predictions of each model family on the held-out rows."""
+    _, test = model_data(spark, d)
+    tables = [models.evaluate(fitted(spark, d, kind), test, LABEL).withColumn("model", F.lit(kind)) for kind in ("rf", "gbt", "linear")]
+    return reduce(lambda a, b: a.unionByName(b), tables).select("model", "n", "mse", "r2")
+
+
+# ---------------------------------------------------------------- histogram boosting
+_BOOST_FEATURES = ["quantity", "discount_pct", "tax_pct", "p_size"]
+_BOOST_LOSSES = {"squared_error": None, "absolute_error": 0.5, "quantile": 0.9}
+_BOOST_INIT = {"squared_error": "avg(label)", "absolute_error": "quantile_disc(label, 0.5)", "quantile": "quantile_disc(label, 0.9)"}
+_BOOST_RESIDUAL = {"squared_error": "diff", "absolute_error": "CAST(sign(diff) AS DOUBLE)",
+                   "quantile": "CASE WHEN diff > 0 THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) - 1 END"}
+_BOOST_LEAF = {"squared_error": "avg(diff)", "absolute_error": "quantile_disc(diff, 0.5)", "quantile": "quantile_disc(diff, 0.9)"}
+
+
+def _first_trees_sql() -> str:
+    out, last = [], []
+    for i, loss in enumerate(_BOOST_LOSSES):
+        long = " UNION ALL ".join(f"SELECT {k} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, r FROM d{i}" for k, c in enumerate(_BOOST_FEATURES))
+        out += [f"d{i} AS (SELECT *, {_BOOST_RESIDUAL[loss]} AS r FROM (SELECT o.*, label - (SELECT {_BOOST_INIT[loss]} FROM order_lines) AS diff FROM order_lines o) t)",
+                f"g{i} AS (SELECT f, feature, v, count(*) AS n, sum(r) AS s FROM ({long}) t GROUP BY f, feature, v)",
+                f"u{i} AS (SELECT *, sum(n) OVER w AS a, sum(s) OVER w AS m, sum(n) OVER (PARTITION BY f) AS n_all, sum(s) OVER (PARTITION BY f) AS s_all "
+                f"FROM g{i} WINDOW w AS (PARTITION BY f ORDER BY v))",
+                f"b{i} AS (SELECT feature, v AS threshold, a, n_all - a AS b FROM u{i} WHERE a < n_all "
+                f"ORDER BY m * m / a + (s_all - m) * (s_all - m) / (n_all - a) - s_all * s_all / n_all DESC, f, v LIMIT 1)"]
+        side = "CASE b.feature " + " ".join(f"WHEN '{c}' THEN d.{c}" for c in _BOOST_FEATURES) + " END <= b.threshold"
+        last.append(f"SELECT '{loss}' AS loss, any_value(b.feature) AS feature, any_value(b.threshold) AS threshold, CAST(any_value(b.a) AS BIGINT) AS n_left, "
+                    f"CAST(any_value(b.b) AS BIGINT) AS n_right, round({_BOOST_LEAF[loss]} FILTER (WHERE {side}), 4) AS value_left, "
+                    f"round({_BOOST_LEAF[loss]} FILTER (WHERE NOT ({side})), 4) AS value_right FROM d{i} d, b{i} b")
+    return with_views("order_lines").rstrip() + ",\n" + ",\n".join(out) + "\n" + "\nUNION ALL\n".join(last)
+
+
+@register("boosting_first_trees", _first_trees_sql())
+def q_boosting_first_trees(spark, d):
+    """First split and leaf values of each loss on all rows: the gain of every candidate split and
+    the leaves' order statistics, checked against SQL."""
+    data = V.order_lines(spark, d).select(*KEYS, *_BOOST_FEATURES, LABEL)
+    settings = [boosting.Setting.of({"loss": loss, "n_estimators": 1, "max_depth": 1, **({"alpha": a} if a else {})}) for loss, a in _BOOST_LOSSES.items()]
+    got = boosting.fit_many(boosting.prepare(data, _BOOST_FEATURES, LABEL, KEYS), [(s, -1) for s in settings])
+    rows = []
+    for m in got:
+        t = m.trees[0]
+        f, left, right = t.feature[0], t.left[0], t.right[0]
+        rows.append((m.setting.loss, m.features[f], float(m.thresholds[f][t.cut[0]]), int(t.n[left]), int(t.n[right]), float(t.value[left]), float(t.value[right])))
+    return spark.createDataFrame(rows, "loss string, feature string, threshold double, n_left bigint, n_right bigint, value_left double, value_right double") \
+        .withColumns({c: F.round(c, 4) for c in ("value_left", "value_right")})
+
+
+@register("boosting_curves")
+def q_boosting_curves(spark, d):
+    """Training loss after each tree of several settings trained in lockstep: losses, best-first
+    growth, pruning, row and feature samples."""
+    train, _ = model_data(spark, d)
+    named = {"squared": {}, "absolute": {"loss": "lad"}, "huber": {"loss": "huber"}, "quantile": {"loss": "quantile", "alpha": 0.9},
+             "five_leaves": {"max_leaf_nodes": 5}, "pruned": {"ccp_alpha": 1e6}, "final": {"max_depth": 4, "max_features": "sqrt", "subsample": 0.8, "min_samples_split": 10}}
+    got = boosting.fit_many(boosting.prepare(train, FEATURES, LABEL, KEYS), [(boosting.Setting.of({"n_estimators": 5, **s}), -1) for s in named.values()])
+    rows = [(name, k, float(loss), sum(len(t.leaves()) for t in m.trees[:k])) for name, m in zip(named, got) for k, loss in enumerate(m.curve)]
+    return spark.createDataFrame(rows, "setting string, n_trees int, loss double, n_leaves int")
 
 
 @register("score_batch", with_views("order_lines") + """
@@ -242,6 +341,34 @@ def q_representatives_most_observed(spark, d):
         "cluster", F.lit(top).cast("long").alias("max_obs"), F.coalesce("is_point", F.lit(False)).alias("is_point"))
 
 
+@register("kmeans_assignments")
+def q_kmeans_assignments(spark, d):
+    """Every site with its cluster (M2)."""
+    from phenocast.operators.phenology import dedupe_points
+    pts = dedupe_points(V.sites(spark, d), ["lat", "long"], ["location"]).select("location", "lat", "long")
+    return spatial.kmeans_clusters(pts, ["lat", "long"], max_k=_K, restarts=10, seed=42).select("location", "lat", "long", "cluster")
+
+
+@register("representative_sites")
+def q_representative_sites(spark, d):
+    """The most observed real location of each cluster, with its cluster's number of points (M4)."""
+    points, reps, _ = spatial.representative_locations(V.bloom(spark, d), "location", "lat", "long", order=["year"], mode="most_observed", max_k=_K)
+    return reps.join(points.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points")), "cluster").select(
+        "cluster", "location", "lat", "long", "num_obs", "n_points")
+
+
+@register("score_batch_predictions")
+def q_score_batch_predictions(spark, d):
+    """The latest year's rows scored by the selected-feature model, with their interval."""
+    selected, _, _ = _selection(spark, d)
+    model = fitted(spark, d, "gbt", selected)
+    rows = V.order_lines(spark, d).select(*KEYS, "l_shipdate", *FEATURES)
+    latest = rows.agg(F.max(F.year("l_shipdate"))).first()[0]
+    new = model.fill(rows.where(F.year("l_shipdate") == F.lit(latest)).drop("l_shipdate"))
+    pred = model.transform(new, "_raw").select(*KEYS, "_raw")
+    return stats.final_predictions(pred, "_raw", "prediction", tail_alpha=0.75).select(*KEYS, "prediction", "lower", "upper")
+
+
 # ---------------------------------------------------------------- wide correlation
 @register("correlation_wide", with_views("points") + """
 SELECT feature_a, feature_b, CASE WHEN corr = 0 THEN 0.0 ELSE corr END AS corr FROM (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from phenocast.functions.numeric import normal_z, round_doubles
-from phenocast.operators import assemble, models, spatial, stats
+from phenocast.operators import assemble, isolation, models, spatial, stats
 from phenocast.plans import standins as V
 from phenocast.plans.registry import register
 from phenocast.plans.standins import FEATURES, with_views
@@ -103,6 +103,22 @@ def q_correlation_matrix(spark, d):
     return R6(stats.correlation_matrix(_features(spark, d), FEATURES))
 
 
+_WIDE = [f"{m}_{k:02d}" for m in V.MEASURES for k in range(1, 13)]
+
+
+@register("correlation_gapped", with_views("weather_wide").rstrip() + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT location, year, '{c}' AS feature, {c} AS x FROM weather_wide" for c in _WIDE) + """)
+SELECT feature_a, feature_b, CASE WHEN corr = 0 THEN 0.0 ELSE corr END AS corr FROM (
+  SELECT a.feature AS feature_a, b.feature AS feature_b,
+         CASE WHEN var_pop(a.x) FILTER (WHERE b.x IS NOT NULL) > 0 AND var_pop(b.x) FILTER (WHERE a.x IS NOT NULL) > 0
+              THEN round(covar_pop(a.x, b.x) / (stddev_pop(a.x) FILTER (WHERE b.x IS NOT NULL) * stddev_pop(b.x) FILTER (WHERE a.x IS NOT NULL)), 6) END AS corr
+  FROM long a JOIN long b ON a.location = b.location AND a.year = b.year GROUP BY a.feature, b.feature) t""")
+def q_correlation_gapped(spark, d):
+    """Pairwise-complete correlation of all monthly features, months without data among them (A10)."""
+    out = stats.correlation_matrix_wide(V.weather_wide(spark, d), _WIDE)
+    return out.withColumn("corr", F.round("corr", 6) + F.lit(0.0))
+
+
 @register("regression_metrics", with_views("scores") + """
 SELECT count(*) AS n, round(avg((y - prediction) * (y - prediction)), 6) AS mse,
        round(1 - sum((y - prediction) * (y - prediction)) / (count(*) * var_pop(y)), 6) AS r2
@@ -190,6 +206,25 @@ def q_outlier_row_filter(spark, d):
     return stats.outlier_row_filter(flagged, [c + "_outlier" for c in FEATURES], 0.10)
 
 
+_ISOLATED = with_views("features").rstrip() + ",\n" + isolation.oracle_sql("features", FEATURES, KEYS)
+
+
+@register("isolation_flags", _ISOLATED + """
+SELECT * FROM flags""")
+def q_isolation_flags(spark, d):
+    """A forest per feature: paths and flags of every row."""
+    f = _features(spark, d).select(*KEYS, *FEATURES)
+    return isolation.isolation_flags(f, FEATURES, KEYS, keep_paths=True).drop(*FEATURES)
+
+
+@register("isolation_row_filter", _ISOLATED + """
+SELECT l_orderkey, l_linenumber FROM flags WHERE NOT ((""" + " + ".join(f"CAST({c}_outlier AS INTEGER)" for c in FEATURES) + f") / {len(FEATURES)} > 0.1)")
+def q_isolation_row_filter(spark, d):
+    """Rows with at most a tenth of isolated features (P19 over M12)."""
+    flagged = isolation.isolation_flags(_features(spark, d).select(*KEYS, *FEATURES), FEATURES, KEYS)
+    return stats.outlier_row_filter(flagged, [c + "_outlier" for c in FEATURES], 0.10).select(*KEYS)
+
+
 # ---------------------------------------------------------------- importance ranking
 @register("importance_rank", with_views("importances") + """
 SELECT feature, score, CAST(row_number() OVER (ORDER BY score DESC, feature) AS INTEGER) AS rank
