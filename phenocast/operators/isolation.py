@@ -58,10 +58,13 @@ def forest_leaves(df: DataFrame, cols: Sequence[str], keys: Sequence[str], trees
     rows = df.select(hash64(keys, seed).alias("h"),
                      F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"),
                      *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    rows = rows.orderBy("h", "key").limit(pool)                                         # bounded: one task may hold it
+    # a threshold on the hash first, so that a large table's partitions send few rows to be ordered
+    share = min(1.0, 3 * pool / max(df.count(), 1))
+    values = [f"x{i}" for i in range(len(cols))]            # tell rows with equal keys apart
+    rows = rows.where(F.col("h") <= int(share * (1 << 60))).orderBy("h", "key", *values).limit(pool)       # bounded: one task may hold it
     drawn = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
              .withColumn("o", hash64(["key", "tree"], seed))
-             .withColumn("rn", F.row_number().over(Window.partitionBy("tree").orderBy("o", "key"))).where(F.col("rn") <= sample))
+             .withColumn("rn", F.row_number().over(Window.partitionBy("tree").orderBy("o", "key", *values))).where(F.col("rn") <= sample))
     points = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"x{i}").alias("x")) for i in range(len(cols))])
     at = (drawn.select("tree", F.explode(points).alias("p")).select("p.feature", "tree", "p.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
           .repartition("feature", "tree")
@@ -147,10 +150,11 @@ def oracle_sql(source: str, cols: Sequence[str], keys: Sequence[str], contaminat
     """CTEs of the same forests and flags for DuckDB; the last, ``flags``, has the keys, paths and flags."""
     key = "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
     h = lambda *parts: f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)}, '{SEED}')), 1, 15) AS BIGINT)"
+    values = ", ".join(f"x{i} NULLS FIRST" for i in range(len(cols)))
     out = [f"""pool AS (SELECT {key} AS key, {', '.join(f'CAST({c} AS DOUBLE) AS x{i}' for i, c in enumerate(cols))} FROM {source}
-  ORDER BY {h(*[f'CAST({k} AS VARCHAR)' for k in keys])}, key LIMIT {POOL})""",
+  ORDER BY {h(*[f'CAST({k} AS VARCHAR)' for k in keys])}, key, {values} LIMIT {POOL})""",
            f"""drawn AS (SELECT * FROM pool, (SELECT unnest(range(0, {TREES})) AS tree) t
-  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {h('key', 'CAST(tree AS VARCHAR)')}, key) <= {SAMPLE})""",
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {h('key', 'CAST(tree AS VARCHAR)')}, key, {values}) <= {SAMPLE})""",
            "l0 AS (" + " UNION ALL ".join(f"SELECT {i} AS f, tree, x{i} AS x, CAST(1 AS BIGINT) AS node, 0 AS depth, CAST('-inf' AS DOUBLE) AS low, "
                                           f"CAST('inf' AS DOUBLE) AS high FROM drawn WHERE x{i} IS NOT NULL" for i in range(len(cols))) + ")"]
     for k in range(max_depth()):
@@ -166,12 +170,11 @@ def oracle_sql(source: str, cols: Sequence[str], keys: Sequence[str], contaminat
   FROM l{max_depth()} GROUP BY f, tree, node)""")
     out.append("""steps AS (SELECT f, above, sum(d) OVER (PARTITION BY f ORDER BY above) AS path FROM (
   SELECT f, above, sum(d) AS d FROM (SELECT f, low AS above, d FROM leaves UNION ALL SELECT f, high, -d FROM leaves) e GROUP BY f, above) g)""")
-    for i, c in enumerate(cols):
-        out.append(f"""s{i} AS (SELECT {', '.join(f's.{k}' for k in keys)}, CAST(p.path AS BIGINT) AS path,
-  CASE WHEN s.{c} IS NOT NULL THEN row_number() OVER (PARTITION BY s.{c} IS NULL ORDER BY p.path) END AS rn, count(s.{c}) OVER () AS n
-  FROM {source} s ASOF LEFT JOIN (SELECT * FROM steps WHERE f = {i}) p ON CAST(s.{c} AS DOUBLE) > p.above)""")
-        out.append(f"c{i} AS (SELECT max(path) AS cut FROM s{i} WHERE rn = least(CAST(floor(CAST({contamination} AS DOUBLE) * n) AS BIGINT), n - 1) + 1)")
-    joins = " ".join(f"JOIN s{i} ON " + " AND ".join(f"s0.{k} = s{i}.{k}" for k in keys) for i in range(1, len(cols)))
-    what = ", ".join(f"s{i}.path AS {c}_path, coalesce(s{i}.path < (SELECT cut FROM c{i}), false) AS {c}_outlier" for i, c in enumerate(cols))
-    out.append(f"flags AS (SELECT {', '.join(f's0.{k}' for k in keys)}, {what} FROM s0 {joins})")
+    asof = " ".join(f"ASOF LEFT JOIN (SELECT above, path FROM steps WHERE f = {i}) p{i} ON CAST(s.{c} AS DOUBLE) > p{i}.above" for i, c in enumerate(cols))
+    out.append(f"paths AS (SELECT {', '.join(f's.{k}' for k in keys)}, {', '.join(f'CAST(p{i}.path AS BIGINT) AS path{i}' for i in range(len(cols)))} FROM {source} s {asof})")
+    for i in range(len(cols)):
+        out.append(f"c{i} AS (SELECT max(path{i}) AS cut FROM (SELECT path{i}, row_number() OVER (ORDER BY path{i}) AS rn, count(*) OVER () AS n FROM paths WHERE path{i} IS NOT NULL) t "
+                   f"WHERE rn = least(CAST(floor(CAST({contamination} AS DOUBLE) * n) AS BIGINT), n - 1) + 1)")
+    what = ", ".join(f"path{i} AS {c}_path, coalesce(path{i} < (SELECT cut FROM c{i}), false) AS {c}_outlier" for i, c in enumerate(cols))
+    out.append(f"flags AS (SELECT {', '.join(keys)}, {what} FROM paths)")
     return ",\n".join(out)
