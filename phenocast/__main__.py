@@ -51,7 +51,9 @@ def main(argv=None) -> int:
     g.add_argument("training"); g.add_argument("out")
     g.add_argument("--preset", default="base", choices=[*models.GRID_PRESETS, "random"])
     g.add_argument("--settings", type=int, help="how many settings to draw (default: all of a grid, 1000 random)")
-    g.add_argument("--parallelism", type=int, default=4, help="fits submitted at once")
+    g.add_argument("--parallelism", type=int, default=4, help="fits submitted at once (mllib), or trained in lockstep (histogram)")
+    g.add_argument("--engine", default="mllib", choices=["mllib", "histogram"])
+    g.add_argument("--ledger", help="shared folder of finished scores; a search that finds its own goes on from there")
     s = sub.add_parser("score", help="model bundle + new rows -> predictions with intervals")
     s.add_argument("model"); s.add_argument("input_csv"); s.add_argument("out_base")
     a = ap.parse_args(argv)
@@ -101,11 +103,16 @@ def main(argv=None) -> int:
             settings = models.draw_settings(models.RANDOM_SEARCH_SPACE, a.settings or 1000, 42)
         else:
             grid = models.GRID_PRESETS[a.preset]
-            settings = models.draw_grid(grid, a.settings or len(models.expand_grid(grid)), 42)
+            ok = models.supported if a.engine == "mllib" else (lambda p: p.get("criterion") != "mae")
+            settings = models.draw_grid(grid, a.settings or len(models.expand_grid(grid)), 42, ok)
         table, best = models.cross_validate(data, schemas.WIDE_FEATURES, "bloom_doy", settings, 5,
-                                            "r2" if a.preset == "random" else "mse", 42, a.parallelism)
+                                            "r2" if a.preset == "random" else "mse", 42, a.parallelism,
+                                            keys=["location", "year"], ledger=a.ledger, engine=a.engine)
         writers.write_csv(table, f"{a.out}/settings")
-        save_model_bundle(best, f"{a.out}/model")
+        if a.engine == "histogram":
+            best.save(spark, f"{a.out}/model")
+        else:
+            save_model_bundle(best, f"{a.out}/model")
     elif a.cmd == "score":
         fitted = load_model_bundle(spark, a.model)
         rows = readers.read_csv(spark, a.input_csv, schemas.SCORING_INPUT)
