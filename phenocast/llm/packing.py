@@ -191,7 +191,6 @@ class Router:
         for d in sample:
             df[np.unique(d)] += 1
         self.idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        self.mixed = np.random.default_rng(3).permutation(size).astype(np.int32)
         table = np.zeros((size, max(min(pivots, self.n), 1)), dtype=np.float32)
         for k, d in enumerate(sample[:pivots]):
             term, tf = np.unique(d, return_counts=True)
@@ -202,13 +201,22 @@ class Router:
         while left:
             chain.append(max(left, key=lambda k: (near[chain[-1], k], -k)))
             left.remove(chain[-1])
-        self.table = np.ascontiguousarray(table[:, chain])
+        table = table[:, chain]
+        self.at = tuple(x.astype(np.int32) for x in np.nonzero(table))     # sparse on its way to the tasks
+        self.values, self.width, self.table, self.mixed = table[self.at], table.shape[1], None, None
+
+    def unpack(self) -> None:
+        self.table = np.zeros((self.size, self.width), dtype=np.float32)
+        self.table[self.at] = self.values
+        self.mixed = np.random.default_rng(3).permutation(self.size).astype(np.int32)
 
     def weights(self, term, tf, length) -> np.ndarray:
         return (self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(self.mean, 1e-9)))).astype(np.float32)
 
     def place(self, term: np.ndarray, tf: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Groups and min-hashes of documents whose distinct terms begin at ``start``."""
+        if self.table is None:
+            self.unpack()
         sizes = np.diff(start, append=len(term))
         groups = np.empty(len(start), dtype=np.int32)
         # some documents at a time, so that their rows of the table stay small
@@ -235,12 +243,26 @@ def _distinct_terms(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray,
 SAMPLE = 512
 
 
-def _sampled_texts(docs: DataFrame, text_col: str, count: int = SAMPLE) -> list[str]:
-    """About ``count`` different texts of 100 to 20,000 characters (all, if they are fewer)."""
+def _sample(docs: DataFrame, spec: str, text_col: str, count: int = SAMPLE) -> tuple[int, list[np.ndarray]]:
+    """Vocabulary size, and the ids of about ``count`` different texts of 100 to 20,000 characters
+    (all, if they are fewer); tokenized in a task, the driver loads no tokenizer."""
+    from tokenizers import Tokenizer
+
     texts = docs.select(F.col(text_col).alias("t")).where(F.length("t").between(100, 20_000))
     share = min(1.0, 4 * count / max(docs.count(), 1))
     drawn = texts.where(F.rand(11) < share).withColumn("h", F.xxhash64("t")).groupBy("h").agg(F.first("t").alias("t")).orderBy("h").limit(count)
-    return [r["t"] for r in drawn.collect()]
+
+    def run(batches):
+        tokenizer = Tokenizer.from_str(spec)
+        memo = word_memo(tokenizer, np.uint32)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int32()), pa.array(encode_texts(batch.column(0), tokenizer, memo, np.uint32), pa.binary())],
+                                             names=["size", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array([tokenizer.get_vocab_size()], pa.int32()), pa.nulls(1, pa.binary())], names=["size", "tokens"])
+
+    rows = drawn.select("t").mapInArrow(run, "size int, tokens binary").collect()     # at most `count` short documents
+    size = max((r["size"] for r in rows if r["size"] is not None), default=0) or Tokenizer.from_str(spec).get_vocab_size()
+    return size, [np.frombuffer(r["tokens"], dtype=np.uint32) for r in rows if r["tokens"]]
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id",
@@ -252,11 +274,10 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
 
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    tokenizer = Tokenizer.from_str(spec)
-    size = max(tokenizer.get_vocab_size(), end_id + 1)
+    size, sample = _sample(docs, spec, text_col)
+    size = max(size, end_id + 1)
     dtype = np.uint16 if size <= 1 << 16 else np.uint32
-    sample = encode_texts(pa.array(_sampled_texts(docs, text_col), pa.string()), tokenizer, word_memo(tokenizer, dtype), dtype)
-    router = Router([np.frombuffer(b, dtype=dtype) for b in sample if b], size, pivots)
+    router = Router(sample, size, pivots)
     schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary()), ("route", pa.int32()), ("mark", pa.int32()), ("df", pa.binary())])
 
     def run(batches):
