@@ -96,7 +96,9 @@ def kmeans_clusters(points: DataFrame, coords: Sequence[str], max_k: int = 5,
     base = standardize(points, coords, suffix="__z") if scale else points
     src = [f"{c}__z" for c in coords] if scale else coords
     vec = VectorAssembler(inputCols=src, outputCol="_features").transform(base)
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
+    # many passes: no more tasks than the points are worth
+    parallel = points.sparkSession.sparkContext.defaultParallelism
+    vec = vec.coalesce(max(2 * parallel, -(-n // 500_000))).persist(StorageLevel.MEMORY_AND_DISK)
     from concurrent.futures import ThreadPoolExecutor
 
     def fit(i):
