@@ -6,10 +6,12 @@ machines separate the languages within that family.  Features are hashed byte
 ASCII and no letter read as a space), as square roots of relative frequencies, so
 a text's length does not matter.
 
-The machines are fitted on a bounded sample of labelled rows: at most
-``max_sample`` rows, shared evenly by the languages, those whose id hashes lowest.
-Features are computed on the executors; only sparse vectors of at most ``_DIM``
-entries reach the driver.  Everything else covers all rows and whole texts.
+Every labelled row is learned from.  The rows are dealt by hash to groups of about
+``piece``; a language that is rare lends its rows to several groups, so that each group
+has ``piece`` / languages of them (all, if there are fewer), at most doubling the rows.
+The machines are fitted in each group and their weights averaged, by the rows of the two
+languages in the group; the sums are integers, so the order of adding does not matter.
+Only the averaged machines reach the driver.
 
 Defined results: ``und`` with score 0 for a null text, a text without any letter,
 or if no labelled row could be learned from; with a single learned language every
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import table
+from phenocast.llm._common import shuffle_partitions, table
 
 #: ISO 639-1 codes by family; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -41,6 +43,7 @@ _BI, _TRI = 1 << 12, 1 << 13
 _DIM = _BI + _TRI
 _FOLD = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _PIECE = 1 << 22
+_STEPS = 1 << 24
 Model = dict
 
 
@@ -70,76 +73,107 @@ def features(text: str) -> np.ndarray:
     return np.sqrt(counts).astype(np.float32)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30, seed: int = 0) -> np.ndarray:
-    """Linear SVM (squared hinge, weights then bias) by dual coordinate descent; y is +1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1], dtype=x.dtype)
+def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30, seed: int = 0, rows: np.ndarray | None = None) -> np.ndarray:
+    """Linear SVM (squared hinge, weights then bias) by dual coordinate descent on the given
+    rows of ``x`` (all by default); y is +1 or -1, one a row that is used."""
+    rows = np.arange(len(x)) if rows is None else rows
+    alpha, w, bias = np.zeros(len(rows)), np.zeros(x.shape[1], dtype=x.dtype), 0.0
     diag = 1.0 / (2.0 * c)
-    q = np.einsum("ij,ij->i", x, x).astype(np.float64) + diag
+    q = np.array([float(x[i] @ x[i]) for i in rows]) + 1.0 + diag
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(len(x)):
-            g = y[i] * float(x[i] @ w) - 1.0 + diag * alpha[i]
+        for i in rng.permutation(len(rows)).tolist():
+            row = x[rows[i]]
+            g = y[i] * (float(row @ w) + bias) - 1.0 + diag * alpha[i]
             new = max(alpha[i] - g / q[i], 0.0)
             if new != alpha[i]:
-                w += np.float32((new - alpha[i]) * y[i]) * x[i]
+                step = (new - alpha[i]) * y[i]
+                w += np.float32(step) * row
+                bias += step
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
         if moved < 1e-3:
             break
-    return w
+    return np.append(w, np.float32(bias))
 
 
-def _one_versus_one(x: np.ndarray, names: np.ndarray) -> list[tuple[str, str, np.ndarray]]:
-    labels = sorted(set(names))
+def _one_versus_one(x: np.ndarray, names: np.ndarray) -> list[tuple[str, str, int, np.ndarray]]:
+    """(label, label, rows, machine) of each two labels."""
+    labels = sorted(set(names.tolist()))
     out = []
     for i, a in enumerate(labels):
         for b in labels[i + 1:]:
-            rows = np.isin(names, [a, b])
-            out.append((a, b, fit_svm(x[rows], np.where(names[rows] == a, 1.0, -1.0))))
+            rows = np.flatnonzero((names == a) | (names == b))
+            out.append((a, b, len(rows), fit_svm(x, np.where(names[rows] == a, 1.0, -1.0), rows=rows)))
     return out
 
 
-def fit_languages(docs: DataFrame, learn, max_sample: int = 2000, id_col: str = "doc_id", text_col: str = "text",
+def _group_machines(got: list[tuple[str, np.ndarray, np.ndarray]], total: dict) -> None:
+    """The machines of one group of (language, feature numbers, values), added to (family or
+    None, label, label) -> (rows, weights times rows, in steps of 1 / _STEPS)."""
+    x = np.zeros((len(got), _DIM), dtype=np.float32)
+    for i, (_, at, value) in enumerate(got):
+        x[i, at] = value
+    langs = np.array([lang for lang, _, _ in got], dtype=object)
+    fams = np.array([family_of(lang) for lang in langs], dtype=object)
+    found = [(None, *m) for m in _one_versus_one(x, fams)]
+    for f in sorted(set(fams.tolist())):
+        mine = np.flatnonzero(fams == f)
+        if len(set(langs[mine].tolist())) > 1:
+            found += [(f, *m) for m in _one_versus_one(x[mine], langs[mine])]
+    for f, a, b, n, w in found:
+        n_all, w_all = total.get((f, a, b), (0, 0))
+        total[f, a, b] = n_all + n, w_all + np.rint(w.astype(np.float64) * (n * _STEPS)).astype(np.int64)
+
+
+def fit_languages(docs: DataFrame, learn, piece: int = 1000, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> Model:
-    """Machines learned from the rows where ``learn`` holds (module text)."""
-    rows = docs.where(learn & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = rows.select(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang"))
+    """Machines learned from all rows where ``learn`` holds (module text)."""
+    spark = docs.sparkSession
+    rows = docs.where(learn & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     if not counts:
         return {"families": [], "within": {}, "langs": {}}
-    quota = max(max_sample // len(counts), 2)
-    # a threshold on the hash keeps about twice the quota of each language before the exact cut
-    cut = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, int(min(1.0, 2.0 * (quota + 20) / n) * (1 << 40)))])
-    sample = rows.where(F.col("h") < F.element_at(cut, F.col("lang")))
+    groups, quota = -(-sum(counts.values()) // piece), max(piece // len(counts), 2)
+    copies = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, -(-groups * min(n, quota) // n))])
+    dealt = rows.withColumn("g", F.explode(F.sequence(F.lit(0), F.element_at(copies, F.col("lang")) - 1)))
+    dealt = dealt.withColumn("g", F.pmod(F.col("h") + F.col("g"), F.lit(groups))).withColumn("k", F.xxhash64("h", "t", "lang"))
+    dealt = dealt.repartition(min(groups, shuffle_partitions(spark)), "g").sortWithinPartitions("g", "k").select("g", "lang", "t")
 
     def run(batches):
+        total, got, now = {}, [], None
         for batch in batches:
-            got = [(h, lang, features(t)) for h, t, lang in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([h for h, _, _ in got], pa.int64()), pa.array([lang for _, lang, _ in got], pa.string()),
-                pa.array([np.flatnonzero(f).astype("<u2").tobytes() for _, _, f in got], pa.binary()),
-                pa.array([f[f != 0].astype("<f4").tobytes() for _, _, f in got], pa.binary())], names=["h", "lang", "at", "value"])
-
-    vectors = sample.mapInArrow(run, "h bigint, lang string, at binary, value binary")
-    order = F.row_number().over(_window("lang", "h"))
-    got = vectors.withColumn("__n", order).where(F.col("__n") <= quota).orderBy("lang", "h").collect()
-    if not got:
-        return {"families": [], "within": {}, "langs": {}}
-    x = np.zeros((len(got), _DIM), dtype=np.float32)
-    for i, r in enumerate(got):
-        x[i, np.frombuffer(r["at"], dtype="<u2")] = np.frombuffer(r["value"], dtype="<f4")
-    langs = np.array([r["lang"] for r in got])
-    fams = np.array([family_of(lang) for lang in langs])
-    within = {f: _one_versus_one(x[fams == f], langs[fams == f]) for f in sorted(set(fams))}
-    return {"families": _one_versus_one(x, fams), "within": within, "langs": {f: sorted(set(langs[fams == f])) for f in within}}
-
-
-def _window(part: str, order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(part).orderBy(order)
+            for lo in range(0, len(batch), 64):
+                for g, lang, t in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns)):
+                    if got and (g != now or len(got) >= 4 * piece):     # more only where many rows are copies of one
+                        _group_machines(got, total)
+                        got = []
+                    now = g
+                    f = features(t)
+                    at = np.flatnonzero(f).astype(np.uint16)
+                    got.append((lang, at, f[at]))
+        if got:
+            _group_machines(got, total)
+        keys = list(total)
+        yield pa.RecordBatch.from_arrays([
+            *(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array([total[k][0] for k in keys], pa.int64()),
+            pa.array([total[k][1].tobytes() for k in keys], pa.binary())], names=["family", "a", "b", "n", "w"])
+
+    def added(one, two):
+        return one[0] + two[0], (np.frombuffer(one[1], np.int64) + np.frombuffer(two[1], np.int64)).tobytes()
+
+    sums = dealt.mapInArrow(run, "family string, a string, b string, n bigint, w binary").rdd
+    sums = sums.map(lambda r: ((r["family"], r["a"], r["b"]), (r["n"], bytes(r["w"])))).reduceByKey(added, min(groups, shuffle_partitions(spark)))
+    machines: dict = {}
+    for (f, a, b), (n, w) in sums.collect():        # a machine each two labels
+        machines.setdefault(f, []).append((a, b, (np.frombuffer(w, np.int64) / (n * _STEPS)).astype(np.float32)))
+    langs: dict = {}
+    for lang in sorted(counts):
+        langs.setdefault(family_of(lang), []).append(lang)
+    by_name = {f: sorted(some, key=lambda m: m[:2]) for f, some in machines.items()}
+    return {"families": by_name.get(None, []), "within": {f: by_name.get(f, []) for f in sorted(langs)}, "langs": langs}
 
 
 def _vote(x: np.ndarray, machines: list[tuple[str, str, np.ndarray]], labels: list[str]) -> tuple[list[str], np.ndarray]:
@@ -161,15 +195,18 @@ def _vote(x: np.ndarray, machines: list[tuple[str, str, np.ndarray]], labels: li
     return [labels[k] for k in best], least[np.arange(len(x)), best]
 
 
-def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
+def predict(model: Model, texts) -> tuple[list[str], list[float]]:
+    """Languages and scores of a list or an Arrow array of texts, read a few at a time."""
     langs, scores = ["und"] * len(texts), [0.0] * len(texts)
     if not model["within"]:
         return langs, scores
-    for lo in range(0, len(texts), 256):
-        rows = [i for i in range(lo, min(lo + 256, len(texts))) if has_letter(texts[i])]
+    for lo in range(0, len(texts), 64):
+        some = texts[lo:lo + 64]
+        some = some if isinstance(some, list) else some.to_pylist()
+        rows = [lo + i for i, t in enumerate(some) if has_letter(t)]
         if not rows:
             continue
-        x = np.stack([features(texts[i]) for i in rows]).astype(np.float64)
+        x = np.stack([features(some[i - lo]) for i in rows]).astype(np.float64)
         fams, m1 = _vote(x, model["families"], sorted(model["within"]))
         for f in set(fams):
             mine = np.array([k for k, g in enumerate(fams) if g == f])
@@ -184,7 +221,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """(doc_id, lang_pred, score) of every row."""
     def run(batches):
         for batch in batches:
-            langs, scores = predict(model, batch.column(1).to_pylist())
+            langs, scores = predict(model, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
@@ -198,7 +235,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
 
     def run(batches):
         for batch in batches:
-            langs, scores = predict(model, batch.column(at).to_pylist())
+            langs, scores = predict(model, batch.column(at))
             yield batch.filter(pa.array([g != "und" and s >= min_score for g, s in zip(langs, scores)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
