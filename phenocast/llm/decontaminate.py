@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenocast.llm._common import table, utf8, written
+from phenocast.llm._common import released, slices, table, utf8, written
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
               for c in range(256))
@@ -265,7 +265,7 @@ def _matched(docs: DataFrame, at: int, benchmark: DataFrame, window: int, item_c
 
     def one_pass(model, last):
         def run(batches):
-            for batch in batches:
+            for batch in (some for whole in batches for some in slices(whole, at)):
                 before = None
                 if batch.num_columns > width:
                     before = list(zip(batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()))
@@ -278,7 +278,7 @@ def _matched(docs: DataFrame, at: int, benchmark: DataFrame, window: int, item_c
                         [*batch.columns, pa.array([[x for s in spans for x in s] for _, spans, _ in found], pa.list_(pa.int64())),
                          pa.array([list(items) for _, _, items in found], pa.list_(pa.string()))],
                         names=carry.names)
-        return run
+        return released(run)
 
     rest = blocks(benchmark, window, item_col, item_text_col, block_words)
     block, frame = next(rest, []), docs

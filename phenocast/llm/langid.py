@@ -11,6 +11,7 @@ Every labelled row is learned from.  The rows are dealt by hash to groups of abo
 has ``piece`` / languages of them (all, if there are fewer), at most doubling the rows.
 The machines are fitted in each group and their weights averaged, by the rows of the two
 languages in the group; the sums are integers, so the order of adding does not matter.
+Machines are sent and added in parts of ``_PART`` weights.
 Only the averaged machines reach the driver.
 
 Defined results: ``und`` with score 0 for a null text, a text without any letter,
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import shuffle_partitions, table
+from phenocast.llm._common import released, shuffle_partitions, slices, table
 
 #: ISO 639-1 codes by family; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -44,6 +45,8 @@ _DIM = _BI + _TRI
 _FOLD = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _PIECE = 1 << 22
 _STEPS = 1 << 24
+_PART = 512
+_SUMS = "family string, a string, b string, part int, n bigint, w binary"
 Model = dict
 
 
@@ -98,13 +101,13 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30, see
     return np.append(w, np.float32(bias))
 
 
-def _one_versus_one(x: np.ndarray, names: np.ndarray) -> list[tuple[str, str, int, np.ndarray]]:
-    """(label, label, rows, machine) of each two labels."""
-    labels = sorted(set(names.tolist()))
+def _one_versus_one(x: np.ndarray, names: np.ndarray, mine: np.ndarray) -> list[tuple[str, str, int, np.ndarray]]:
+    """(label, label, rows, machine) of each two labels of the rows ``mine``; none are copied."""
+    labels = sorted(set(names[mine].tolist()))
     out = []
     for i, a in enumerate(labels):
         for b in labels[i + 1:]:
-            rows = np.flatnonzero((names == a) | (names == b))
+            rows = mine[(names[mine] == a) | (names[mine] == b)]
             out.append((a, b, len(rows), fit_svm(x, np.where(names[rows] == a, 1.0, -1.0), rows=rows)))
     return out
 
@@ -117,16 +120,37 @@ def _group_machines(got: list[tuple[str, np.ndarray, np.ndarray]], total: dict)
         x[i, at] = value
     langs = np.array([lang for lang, _, _ in got], dtype=object)
     fams = np.array([family_of(lang) for lang in langs], dtype=object)
-    found = [(None, *m) for m in _one_versus_one(x, fams)]
+    found = [(None, *m) for m in _one_versus_one(x, fams, np.arange(len(got)))]
     for f in sorted(set(fams.tolist())):
         mine = np.flatnonzero(fams == f)
         if len(set(langs[mine].tolist())) > 1:
-            found += [(f, *m) for m in _one_versus_one(x[mine], langs[mine])]
+            found += [(f, *m) for m in _one_versus_one(x, langs, mine)]
     for f, a, b, n, w in found:
         n_all, w_all = total.get((f, a, b), (0, 0))
         total[f, a, b] = n_all + n, w_all + np.rint(w.astype(np.float64) * (n * _STEPS)).astype(np.int64)
 
 
+def _sums(total: dict):
+    """Batches of rows (family, label, label, part, rows, weights) of what ``_group_machines`` has added."""
+    for (f, a, b), (n, w) in total.items():
+        parts = [w[lo:lo + _PART].tobytes() for lo in range(0, len(w), _PART)]
+        yield pa.RecordBatch.from_arrays([*(pa.array([k] * len(parts), pa.string()) for k in (f, a, b)), pa.array(range(len(parts)), pa.int32()),
+                                          pa.array([n] * len(parts), pa.int64()), pa.array(parts, pa.binary())],
+                                         names=["family", "a", "b", "part", "n", "w"])
+
+
+def _added(batches):
+    """The rows of ``_sums`` of all tasks, added by machine and part."""
+    total: dict = {}
+    for batch in batches:
+        for f, a, b, part, n, w in zip(*(c.to_pylist() for c in batch.columns)):
+            n_all, w_all = total.get((f, a, b, part), (0, 0))
+            total[f, a, b, part] = n_all + n, w_all + np.frombuffer(w, np.int64)
+    for (f, a, b, part), (n, w) in total.items():
+        yield pa.RecordBatch.from_arrays([*(pa.array([k], pa.string()) for k in (f, a, b)), pa.array([part], pa.int32()), pa.array([n], pa.int64()),
+                                          pa.array([w.tobytes()], pa.binary())], names=["family", "a", "b", "part", "n", "w"])
+
+
 def fit_languages(docs: DataFrame, learn, piece: int = 1000, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> Model:
     """Machines learned from all rows where ``learn`` holds (module text)."""
@@ -156,19 +180,16 @@ def fit_languages(docs: DataFrame, learn, piece: int = 1000, id_col: str = "doc_
                     got.append((lang, at, f[at]))
         if got:
             _group_machines(got, total)
-        keys = list(total)
-        yield pa.RecordBatch.from_arrays([
-            *(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array([total[k][0] for k in keys], pa.int64()),
-            pa.array([total[k][1].tobytes() for k in keys], pa.binary())], names=["family", "a", "b", "n", "w"])
-
-    def added(one, two):
-        return one[0] + two[0], (np.frombuffer(one[1], np.int64) + np.frombuffer(two[1], np.int64)).tobytes()
+        yield from _sums(total)
 
-    sums = dealt.mapInArrow(run, "family string, a string, b string, n bigint, w binary").rdd
-    sums = sums.map(lambda r: ((r["family"], r["a"], r["b"]), (r["n"], bytes(r["w"])))).reduceByKey(added, min(groups, shuffle_partitions(spark)))
+    sums = dealt.mapInArrow(released(run), _SUMS).repartition(min(groups, shuffle_partitions(spark)), "family", "a", "b", "part")
+    found: dict = {}
+    for r in sums.mapInArrow(_added, _SUMS).collect():        # a machine each two labels
+        found.setdefault((r["family"], r["a"], r["b"], r["n"]), {})[r["part"]] = bytes(r["w"])
     machines: dict = {}
-    for (f, a, b), (n, w) in sums.collect():        # a machine each two labels
-        machines.setdefault(f, []).append((a, b, (np.frombuffer(w, np.int64) / (n * _STEPS)).astype(np.float32)))
+    for (f, a, b, n), w in found.items():
+        w = np.frombuffer(b"".join(w[k] for k in sorted(w)), np.int64)
+        machines.setdefault(f, []).append((a, b, (w / (n * _STEPS)).astype(np.float32)))
     langs: dict = {}
     for lang in sorted(counts):
         langs.setdefault(family_of(lang), []).append(lang)
@@ -226,7 +247,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                                              names=["doc_id", "lang_pred", "score"])
 
     return (docs.select(F.col(id_col).cast("bigint"), F.col(text_col))
-            .mapInArrow(run, "doc_id bigint, lang_pred string, score double"))
+            .mapInArrow(released(run), "doc_id bigint, lang_pred string, score double"))
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
@@ -235,10 +256,11 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
 
     def run(batches):
         for batch in batches:
-            langs, scores = predict(model, batch.column(at))
-            yield batch.filter(pa.array([g != "und" and s >= min_score for g, s in zip(langs, scores)], pa.bool_()))
+            for some in slices(batch, at):
+                langs, scores = predict(model, some.column(at))
+                yield some.filter(pa.array([g != "und" and s >= min_score for g, s in zip(langs, scores)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def fold(id_col: str = "doc_id"):

@@ -37,7 +37,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import shuffle_partitions, table, written
+from phenocast.llm._common import few, shuffle_partitions, table, written
 
 _DOC = ["d", "th"]
 
@@ -62,11 +62,11 @@ def _first() -> Column:
     return F.min(F.struct(F.col("d").isNull().alias("n"), "d", "th", "s"))
 
 
-def _ranked(classes: DataFrame, keys: list[str]) -> DataFrame:
-    """``classes`` (one row a key) with ``rank``, the place in the order of the keys."""
+def _ranked(classes: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``classes`` (one row a key) of ``total`` rows with ``rank``, the place in the order of the keys."""
     n = shuffle_partitions(classes.sparkSession)
-    placed = written(classes.repartitionByRange(n, *keys).withColumn("part", F.spark_partition_id())
-                     .withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy(*keys))), "lines-ranks")
+    placed = classes.repartitionByRange(n, *keys).withColumn("part", F.spark_partition_id())
+    placed = written(few(placed.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy(*keys))), total), "lines-ranks")
     counts = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}  # one row a partition
     offset, starts = 0, []
     for part in sorted(counts):
@@ -88,9 +88,9 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
     """(d, th, deleted): of each document with later copies, the indices of their lines."""
     lines = written(line_table(docs, id_col, text_col).distinct(), "lines")
     classes = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
-    classes = _ranked(classes, ["h1", "h2"])
     total = lines.count()
-    rows = written(_join(lines, classes, ["h1", "h2"], total).select(*_DOC, "s", "i", "w", F.col("rank").alias("r0")), "lines-0")
+    classes = _ranked(classes, ["h1", "h2"], total)
+    rows = written(few(_join(lines, classes, ["h1", "h2"], total).select(*_DOC, "s", "i", "w", F.col("rank").alias("r0")), total), "lines-0")
     by_doc = Window.partitionBy(*_DOC).orderBy("s")
 
     def ahead(name: str, k: int) -> Column:
@@ -110,10 +110,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
             .drop(*[f"{v}{j}" for j in more for v in "wv"]))
     levels = max(min_words, 1).bit_length() - 1
     for k in range(levels):
-        rows = written(rows.withColumn("nxt", ahead(f"r{k}", 1 << k)), f"lines-{k}-pairs")
+        rows = written(few(rows.withColumn("nxt", ahead(f"r{k}", 1 << k)), total), f"lines-{k}-pairs")
         keys = [f"r{k}", "nxt"]
         pairs = rows.where("nxt IS NOT NULL").groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-        pairs = _ranked(pairs, keys).select(*keys, "n", F.col("rank").alias(f"r{k + 1}"))
+        pairs = _ranked(pairs, keys, total).select(*keys, "n", F.col("rank").alias(f"r{k + 1}"))
         paired = _join(rows.where("nxt IS NOT NULL"), pairs, keys, total).select(*_DOC, "s", f"r{k + 1}")
         rows = (rows.drop("nxt").join(paired.select(F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("s").alias("__s"), f"r{k + 1}"),
                                       F.col("d").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__th")) & (F.col("s") == F.col("__s")), "left")
@@ -129,18 +129,18 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id",
         b = F.when(F.col("t") == t, at(f"r{k}", t - (1 << k))).otherwise(b)
         c = F.when(F.col("u") == t, at(f"r{k}", 1 - t)).otherwise(c)
         d = F.when(F.col("u") == t, at(f"r{k}", 1 - (1 << k))).otherwise(d)
-    runs = written(rows.select(*_DOC, "s", "i", F.array(
+    runs = written(few(rows.select(*_DOC, "s", "i", F.array(
         F.struct("s", "t", a.alias("a"), b.alias("b")),
-        F.struct((F.col("s") - F.col("u") + 1).alias("s"), F.col("u").alias("t"), c.alias("a"), d.alias("b"))).alias("x")), "lines-runs")
+        F.struct((F.col("s") - F.col("u") + 1).alias("s"), F.col("u").alias("t"), c.alias("a"), d.alias("b"))).alias("x")), total), "lines-runs")
     whole = (runs.select(*_DOC, F.explode(F.filter("x", lambda x: x["a"].isNotNull() & x["b"].isNotNull())).alias("x"))
              .select(*_DOC, "x.s", "x.t", "x.a", "x.b"))
-    copies = written(whole.groupBy("t", "a", "b").agg(F.count("*").alias("n"), _first().alias("first")).where("n > 1"), "lines-copies")
+    copies = written(few(whole.groupBy("t", "a", "b").agg(F.count("*").alias("n"), _first().alias("first")).where("n > 1"), total), "lines-copies")
     later = _join(whole, copies, ["t", "a", "b"], total).where(
         ~(F.col("d").eqNullSafe(F.col("first.d")) & (F.col("th") == F.col("first.th")) & (F.col("s") == F.col("first.s"))))
     gone = later.select(*_DOC, F.explode(F.sequence(F.col("s"), F.col("s") + F.col("t") - 1)).alias("s")).distinct()
     gone = gone.join(runs.select(F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("s").alias("__s"), "i"),
                      F.col("d").eqNullSafe(F.col("__d")) & (F.col("th") == F.col("__th")) & (F.col("s") == F.col("__s")))
-    return gone.groupBy(*_DOC).agg(F.collect_list("i").alias("deleted"))
+    return few(gone.groupBy(*_DOC).agg(F.collect_list("i").alias("deleted")), total)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = "n_chars",

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import table, written
+from phenocast.llm._common import released, slices, table, written
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
@@ -260,7 +260,7 @@ def _sample(docs: DataFrame, spec: str, text_col: str, count: int = SAMPLE) -> t
                                              names=["size", "tokens"])
         yield pa.RecordBatch.from_arrays([pa.array([tokenizer.get_vocab_size()], pa.int32()), pa.nulls(1, pa.binary())], names=["size", "tokens"])
 
-    rows = drawn.select("t").mapInArrow(run, "size int, tokens binary").collect()     # at most `count` short documents
+    rows = drawn.select("t").mapInArrow(released(run), "size int, tokens binary").collect()     # at most `count` short documents
     size = max((r["size"] for r in rows if r["size"] is not None), default=0) or Tokenizer.from_str(spec).get_vocab_size()
     return size, [np.frombuffer(r["tokens"], dtype=np.uint32) for r in rows if r["tokens"]]
 
@@ -286,22 +286,19 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
         end = np.array([end_id], dtype=dtype).tobytes()
         df = np.zeros(size + 2, dtype=np.int64)
         for batch in batches:
-            ids = batch.column(0).cast(pa.int64())
-            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // (8 << 20)
-            starts = np.flatnonzero(np.diff(upto, prepend=-1)).tolist()       # slices of about 8 MB
-            for lo, hi in zip(starts, [*starts[1:], len(batch)]):
-                out = [b + end for b in encode_texts(batch.column(1).slice(lo, hi - lo), tokenizer, memo, dtype)]
+            for some in slices(batch, 1, 4 << 20):
+                out = [b + end for b in encode_texts(some.column(1), tokenizer, memo, dtype)]
                 lengths = np.array([len(b) for b in out], dtype=np.int64) // np.dtype(dtype).itemsize
                 term, tf, start = _distinct_terms(np.frombuffer(b"".join(out), dtype=dtype), lengths)
                 df[:size] += np.bincount(term, minlength=size)
                 df[size:] += len(out), lengths.sum()
                 groups, marks = router.place(term, tf, start, lengths)
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(out, pa.binary()), pa.array(groups), pa.array(marks),
+                yield pa.RecordBatch.from_arrays([some.column(0).cast(pa.int64()), pa.array(out, pa.binary()), pa.array(groups), pa.array(marks),
                                                   pa.nulls(len(out), pa.binary())], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()),
                                           pa.array([df.tobytes()], pa.binary())], schema=schema)
 
-    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, "doc_id bigint, tokens binary, route int, mark int, df binary")
+    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(released(run), "doc_id bigint, tokens binary, route int, mark int, df binary")
 
 
 def _statistics(tokens: DataFrame) -> np.ndarray:
@@ -466,7 +463,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
     order = ["route", "mark", "h", "doc_id"]
     dealt = tokens.where("tokens IS NOT NULL").select("doc_id", "tokens", "route", "mark", F.xxhash64("tokens").alias("h"))
     dealt = dealt.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("doc_id", "tokens")
-    return written(dealt.mapInArrow(run, PIECES + (", ids binary" if with_ids else "")), "packing-pieces")
+    return written(dealt.mapInArrow(released(run), PIECES + (", ids binary" if with_ids else "")), "packing-pieces")
 
 
 def op3_lexical_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:

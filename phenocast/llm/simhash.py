@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import shuffle_partitions, table, utf8, written
+from phenocast.llm._common import few, released, shuffle_partitions, slices, table, utf8, written
 from phenocast.llm.components import connected_components
 
 _BITS = np.arange(64, dtype=np.uint64)
@@ -78,12 +78,13 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps.view(np.int64), pa.int64()), *batch.columns[2:]],
-                                             names=["id", "fp", *more])
+            for some in slices(batch, 1):
+                fps = np.array([fingerprint(t, shingle) for t in some.column(1).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([some.column(0).cast(pa.int64()), pa.array(fps.view(np.int64), pa.int64()), *some.columns[2:]],
+                                                 names=["id", "fp", *more])
 
     return (docs.select(F.col(id_col).cast("bigint"), F.col(text_col), *[F.xxhash64(text_col).alias(c) for c in more])
-            .mapInArrow(run, ", ".join(f"{c} bigint" for c in ["id", "fp", *more])))
+            .mapInArrow(released(run), ", ".join(f"{c} bigint" for c in ["id", "fp", *more])))
 
 
 # --- partitions and thresholds ---------------------------------------------------------------
@@ -316,9 +317,10 @@ def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str
     last, then text hash (of rows that repeat in id and text, one)."""
     fps = written(fingerprints(docs, shingle, id_col, text_col, hashed=True), "simhash-fp")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("first")
-    firsts = written(fps.groupBy("fp").agg(first), "simhash-distinct")
+    total = fps.count()
+    firsts = written(few(fps.groupBy("fp").agg(first), total), "simhash-distinct")
     low = _rooted(firsts, max_bits).groupBy("root").agg(F.min("first").alias("first"))
-    keep = written(low.select(F.col("first.id").alias("id"), F.col("first.th").alias("th")), "simhash-keep")
+    keep = written(few(low.select(F.col("first.id").alias("id"), F.col("first.th").alias("th")), total), "simhash-keep")
     tag = uuid.uuid4().hex              # helper columns that no column of ``docs`` is named like
     key, at, kept_id, kept_at = (f"{c}_{tag}" for c in ("id", "hash", "kept", "kept_hash"))
     keep = keep.select(F.col("id").alias(kept_id), F.col("th").alias(kept_at))
