@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenocast.llm._common import released, slices, table, written
+from phenocast.llm._common import give_back, released, slices, table, written
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint")
@@ -126,6 +126,7 @@ class WordIds:
         full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
         upto = np.concatenate(([0], np.cumsum(full)))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         coded = flat.filter(pa.array(full)).dictionary_encode()
+        del lists, flat, full
         ids, sizes = self.chunks(coded.dictionary)
         at = coded.indices.to_numpy(zero_copy_only=False)
         flat_ids = _gathered(ids, sizes, at)
@@ -295,6 +296,8 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
                 groups, marks = router.place(term, tf, start, lengths)
                 yield pa.RecordBatch.from_arrays([some.column(0).cast(pa.int64()), pa.array(out, pa.binary()), pa.array(groups), pa.array(marks),
                                                   pa.nulls(len(out), pa.binary())], schema=schema)
+                del out, term, tf, start
+                give_back()
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()),
                                           pa.array([df.tobytes()], pa.binary())], schema=schema)
 
