@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,61 +41,98 @@ PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
 
 
+_NO_MERGE = np.iinfo(np.int32).max
+
+
 class WordIds:
     """Packed token ids of whole batches of texts, for a tokenizer whose white-space separated
     chunks are independent.
 
     Arrow finds a batch's distinct chunks, and of chunks of letters with plain marks behind
     them, which never merge, the distinct words without their marks; only these meet the
-    tokenizer, or a memo of words met before.  Any other chunk is encoded whole.  A full memo
-    becomes the older half, and what is asked for again moves over.
+    tokenizer, or a memo of words met before.  Any other chunk is encoded whole.  The memo is
+    held in arrays and searched by hash, for all words of a batch at once, and each word found
+    is compared; of a full memo the half met longest ago goes.
     """
 
-    def __init__(self, tokenizer, dtype, most: int = 150_000):
+    def __init__(self, tokenizer, dtype, most: int = 500_000):
         self.tokenizer, self.tokenize, self.most, self.dtype = tokenizer, tokenizer.model.tokenize, most, dtype
         self.code = {np.uint16: "H", np.uint32: "I"}[dtype]
         self.alphabet = _byte_alphabet()
-        self.words: dict = {}
-        self.older: dict = {}
+        self.merges = Merges(tokenizer, self.alphabet)
         self.marks: dict = {}
-        self.room = most
+        # a word's text, number of ids (-1: no word of letters), last batch; all ids; hashes in order, and whose they are
+        self.words = pa.array([], pa.large_string())
+        self.sizes, self.met, self.ids = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=dtype)
+        self.hashes, self.owner, self.batches = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32), 0
 
     def encode(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def word(self, word: str) -> bytes | None:
-        """Ids of a new word of letters, None for anything else; one pre-token, straight to the merges."""
-        got = self.older.get(word)
-        if got is None:
-            if word.isascii():
-                if not word.isalpha():
-                    return None
-                text = word
-            elif _plain(word):
-                text = word.encode().decode("latin-1").translate(self.alphabet)
-            else:
-                return None
-            got = array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
-        if self.room > 0:
-            self.room -= 1
-            self.words[word] = got
-        return got
+    def word(self, word: str) -> bytes:
+        """Ids of a word of letters; one pre-token, straight to the merges."""
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
+
+    def letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after the other, and their numbers; -1 for what is no word of letters."""
+        plain = pc.and_(pc.string_is_ascii(words), pc.ascii_is_alpha(words)).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))
+        plain[other] = [_plain(w) for w in words.take(pa.array(other)).to_pylist()]
+        long = plain & ((pc.binary_length(words).to_numpy(zero_copy_only=False) > 64) | self.merges.partial)
+        short = np.flatnonzero(plain & ~long)
+        ids, sizes = self.merges.ids(words.take(pa.array(short)))
+        long = np.flatnonzero(long)
+        rest = [self.word(w) for w in words.take(pa.array(long)).to_pylist()]
+        n, at = np.full(len(words), -1, dtype=np.int32), np.zeros(len(words), dtype=np.int64)
+        n[short], n[long] = sizes, [len(r) // np.dtype(self.dtype).itemsize for r in rest]
+        at[short], at[long] = np.arange(len(short)), len(short) + np.arange(len(long))
+        flat = np.concatenate([ids.astype(self.dtype), np.frombuffer(b"".join(rest), dtype=self.dtype)])
+        known = n >= 0
+        return _gathered(flat, np.concatenate([n[short], n[long]]), at[known]), n
+
+    def shrink(self) -> None:
+        keep = self.met >= np.median(self.met)
+        self.ids = self.ids[np.repeat(keep, np.maximum(self.sizes, 0))]
+        self.words, self.sizes, self.met = self.words.filter(pa.array(keep)), self.sizes[keep], self.met[keep]
+        held = keep[self.owner]
+        self.hashes, self.owner = self.hashes[held], (np.cumsum(keep, dtype=np.int32) - 1)[self.owner[held]]
+
+    def entries(self, words: pa.Array) -> np.ndarray:
+        """Where the memo has each of the distinct ``words``; new ones are added."""
+        if len(self.words) > self.most or self.words.nbytes > 40 * self.most:
+            self.shrink()
+        h, at = _hashes(words), np.full(len(words), -1, dtype=np.int64)
+        if len(self.words):
+            place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            found = np.flatnonzero(self.hashes[place] == h)
+            owner = self.owner[place[found]]
+            same = pc.equal(self.words.take(pa.array(owner)), words.take(pa.array(found))).to_numpy(zero_copy_only=False)
+            at[found[same]] = owner[same]
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.words) + np.arange(len(new))
+        added = words.take(pa.array(new))
+        ids, sizes = self.letters(added)
+        self.words = pa.concat_arrays([self.words, added])
+        self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+        new = new[np.argsort(h[new])]
+        place = np.searchsorted(self.hashes, h[new])
+        self.hashes, self.owner = np.insert(self.hashes, place, h[new]), np.insert(self.owner, place, at[new])
+        self.met = np.append(self.met, np.zeros(len(new), dtype=np.int32))
+        self.batches += 1
+        self.met[at] = self.batches
+        return at
 
     def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct chunks one after the other, and their numbers."""
-        if self.room <= 0:
-            self.older, self.words, self.room = self.words, {}, self.most
         stems = pc.ascii_rtrim(chunks, characters=_MARKS).dictionary_encode()
-        seen, word = self.words.get, self.word
-        known = [seen(w) or word(w) for w in stems.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        at = stems.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        over = pc.binary_length(chunks).to_numpy(zero_copy_only=False) - pc.binary_length(stems.dictionary).to_numpy(zero_copy_only=False)[at]
+        at = self.entries(stems.dictionary)[stems.indices.to_numpy(zero_copy_only=False)]
+        over = pc.binary_length(chunks).to_numpy(zero_copy_only=False) - pc.binary_length(self.words).to_numpy(zero_copy_only=False)[at]
         # chunks that are no word with marks are encoded whole, behind the words
-        odd = np.array([x is None for x in known])
-        whole = np.flatnonzero(odd[at])
-        at[whole] = len(known) + np.arange(len(whole))
+        whole = np.flatnonzero(self.sizes[at] < 0)
+        at[whole] = len(self.words) + np.arange(len(whole))
         over[whole] = 0
-        known = [x or b"" for x in known] + [self.encode(x) for x in chunks.take(pa.array(whole)).to_pylist()]
+        extra = [self.encode(x) for x in chunks.take(pa.array(whole)).to_pylist()]
         tails, tail_at, places = [b""], np.zeros(len(at), dtype=np.int64), {"": 0}
         raw = chunks.cast(pa.large_binary())
         for n in np.unique(over[over > 0]).tolist():
@@ -106,16 +144,19 @@ class WordIds:
                     tail = self.marks.get(m)
                     if tail is None:
                         tail = self.encode(m.decode())
-                        if len(self.marks) < self.most:
+                        if len(self.marks) < 150_000:
                             self.marks[m] = tail
                     places[m] = len(tails)
                     tails.append(tail)
                 of.append(places[m])
             tail_at[some] = np.array(of)[marks.indices.to_numpy(zero_copy_only=False)]
-        parts = known + tails
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // np.dtype(self.dtype).itemsize
-        pairs = np.stack([at, len(known) + tail_at], axis=1).ravel()
-        return _gathered(np.frombuffer(b"".join(parts), dtype=self.dtype), sizes, pairs), sizes[pairs].reshape(-1, 2).sum(axis=1)
+        behind = len(self.words) + len(extra)
+        extra += tails
+        sizes = np.fromiter(map(len, extra), dtype=np.int64, count=len(extra)) // np.dtype(self.dtype).itemsize
+        sizes = np.concatenate([np.maximum(self.sizes, 0), sizes])
+        ids = np.append(self.ids, np.frombuffer(b"".join(extra), dtype=self.dtype))
+        pairs = np.stack([at, behind + tail_at], axis=1).ravel()
+        return _gathered(ids, sizes, pairs), sizes[pairs].reshape(-1, 2).sum(axis=1)
 
     def batch(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, null read as empty."""
@@ -138,6 +179,86 @@ class WordIds:
         return out
 
 
+class Merges:
+    """The merges of a byte-pair vocabulary with word ends, made in many words at once: in each
+    round a word's pair of least rank, the leftmost of such, becomes one token."""
+
+    def __init__(self, tokenizer, alphabet: dict[int, str], end: str = "</w>"):
+        import json
+
+        model = json.loads(tokenizer.to_str())["model"]
+        usual = model.get("type") == "BPE" and not model.get("ignore_merges") and not model.get("continuing_subword_prefix")
+        vocab, pairs = (model["vocab"], model["merges"]) if usual else ({}, [])
+        self.inner = np.array([vocab.get(alphabet[b], -1) for b in range(256)], dtype=np.int64)
+        self.last = np.array([vocab.get(alphabet[b] + end, -1) for b in range(256)], dtype=np.int64)
+        self.partial = bool((self.inner < 0).any() or (self.last < 0).any())      # other rules, or a byte without a token: left to the tokenizer
+        merges = {}
+        for rank, pair in enumerate(pairs):
+            a, b = pair.split(" ") if isinstance(pair, str) else pair
+            merges[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
+        keys = sorted(merges)
+        self.keys = np.array([*keys, 1 << 62], dtype=np.int64)
+        self.rank = np.array([*(merges[k][0] for k in keys), _NO_MERGE], dtype=np.int32)
+        self.made = np.zeros(len(pairs), dtype=np.int64)
+        for rank, made in merges.values():
+            self.made[rank] = made
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.rank[at], _NO_MERGE)
+
+    def ids(self, words: pa.LargeStringArray, some: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are not empty, one after the other, and their numbers."""
+        parts = [self._some(words.slice(lo, some)) for lo in range(0, len(words), some)]
+        if not parts:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _some(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        raw, bounds = _bytes(words)
+        token, word = self.inner[raw], np.repeat(np.arange(len(words)), np.diff(bounds))
+        token[bounds[1:] - 1] = self.last[raw[bounds[1:] - 1]]
+        rank = np.full(len(token), _NO_MERGE, dtype=np.int32)        # of a token with the next of its word
+        pair = np.flatnonzero(word[1:] == word[:-1])
+        rank[pair] = self.ranks(token[pair], token[pair + 1])
+        done, sizes = [], np.diff(bounds)
+        while len(token):
+            starts = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(rank.astype(np.int64) << 32 | np.arange(len(token)), starts)    # with its place
+            more = least < _NO_MERGE << 32
+            stays = np.repeat(more, sizes)
+            done.append((word[~stays], token[~stays]))
+            hit, starts, sizes = least[more] & 0xFFFFFFFF, starts[more], sizes[more] - 1
+            token[hit] = self.made[rank[hit]]
+            rank[hit] = rank[hit + 1]
+            stays[hit + 1] = False                                   # merged into the one before
+            token, word, rank = token[stays], word[stays], rank[stays]
+            first = np.cumsum(sizes) - sizes
+            at = hit - starts + first
+            for left in (at[at > first] - 1, at[at < first + sizes - 1]):
+                rank[left] = self.ranks(token[left], token[left + 1])
+        word, token = (np.concatenate(x) for x in zip(*done))
+        return token[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
+
+
+def _bytes(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all words one after the other, and their bounds."""
+    _, offsets, data = words.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[words.offset:words.offset + len(words) + 1]
+    return np.frombuffer(data or b"", dtype=np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def _hashes(words: pa.LargeStringArray) -> np.ndarray:
+    """A number of 64 bits for each word: its bytes' random numbers times those of their places, summed."""
+    rng = np.random.default_rng(17)
+    byte, spot = rng.integers(0, 1 << 64, 256, dtype=np.uint64), rng.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
+    raw, ends = _bytes(words)
+    upto = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(byte[raw] * spot[(np.arange(len(raw)) - np.repeat(ends[:-1], np.diff(ends))) & 63], out=upto[1:])
+    return upto[ends[1:]] - upto[ends[:-1]]
+
+
 def _gathered(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The runs ``at`` of ``ids``, which holds runs of the given sizes."""
     first, n = np.cumsum(sizes) - sizes, sizes[at]
@@ -171,6 +292,15 @@ def word_memo(tokenizer, dtype) -> WordIds | None:
     return WordIds(tokenizer, dtype) if ok else None
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(spec: str, dtype):
+    """A tokenizer and its memo, kept by the process: the next task in the same worker goes on with them."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(spec)
+    return tokenizer, word_memo(tokenizer, dtype)
+
+
 def encode_texts(texts: pa.Array, tokenizer, memo: WordIds | None, dtype) -> list[bytes]:
     """Packed ids of each text, null read as empty."""
     if memo is not None:
@@ -271,8 +401,6 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
     """(doc_id, tokens, route, mark, df): a row a document with its packed ids, group and
     min-hash; and a row a task with null tokens, whose ``df`` packs the task's document
     frequencies, documents and tokens."""
-    from tokenizers import Tokenizer
-
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     size, sample = _sample(docs, spec, text_col)
@@ -282,8 +410,7 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
     schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary()), ("route", pa.int32()), ("mark", pa.int32()), ("df", pa.binary())])
 
     def run(batches):
-        tokenizer = Tokenizer.from_str(spec)
-        memo = word_memo(tokenizer, dtype)
+        tokenizer, memo = _tokenizer(spec, dtype)
         end = np.array([end_id], dtype=dtype).tobytes()
         df = np.zeros(size + 2, dtype=np.int64)
         for batch in batches:

@@ -204,6 +204,49 @@ def test_packed_words_match_the_tokenizer(tokenizer_path):
         assert [np.frombuffer(b, np.uint16).tolist() for b in got] == want
 
 
+def test_words_met_before_are_not_tokenized_again(tokenizer_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path)
+    texts = ["zebra Zebra, x2 été x2! 'tis don't", "okapi x2... zebra", None, "straße été; a1b2 okapi?"]
+    want = [tok.encode(s or "", add_special_tokens=False).ids for s in texts]
+    ids = lambda memo, some: [np.frombuffer(b, np.uint16).tolist() for b in packing.encode_texts(pa.array(some, pa.string()), tok, memo, np.uint16)]
+    memo, asked = packing.word_memo(tok, np.uint16), []
+    letters = memo.letters
+    memo.letters = lambda words: asked.extend(words.to_pylist()) or letters(words)
+    assert ids(memo, texts) == want and ids(memo, texts[::-1]) == want[::-1]
+    assert len(asked) == len(set(asked))                # words that are none of letters included
+    memo.most = 4                                       # full: what was met longest ago goes, and comes again
+    for k in (0, 1, 3, 0, 1, 3):
+        assert ids(memo, [texts[k]]) == [want[k]]
+    assert len(memo.words) < 15 and len(memo.hashes) == len(memo.owner) == len(memo.sizes) == len(memo.met) == len(memo.words)
+    monkeypatch.setattr(packing, "_hashes", lambda words: np.zeros(len(words), dtype=np.uint64))
+    memo = packing.word_memo(tok, np.uint16)            # all hashes equal: slow, not wrong
+    assert ids(memo, texts) == want and ids(memo, texts) == want
+    spec = tok.to_str()
+    assert packing._tokenizer(spec, np.uint16)[1] is packing._tokenizer(spec, np.uint16)[1]     # kept for a worker's next task
+
+
+def test_merges_of_many_words_match_the_tokenizer(tokenizer_path):
+    import random
+
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path)
+    rng = random.Random(8)
+    words = ["".join(rng.choice(some) for _ in range(rng.randint(1, 70))) for some in ("a", "ab", "etaoinshr", "éüßñaeo", "łşæœþ") for _ in range(300)]
+    words = list(dict.fromkeys([*words, "the", "a", "Upper", "x1", ""]))
+    memo = packing.word_memo(tok, np.uint16)
+    assert not memo.merges.partial
+    for partial in (False, True):                       # True: each word by the tokenizer
+        memo.merges.partial = partial
+        ids, sizes = memo.letters(pa.array(words, pa.large_string()))
+        assert [w for w, n in zip(words, sizes) if n < 0] == ["x1", ""]
+        got = iter(np.split(ids, np.cumsum(sizes[sizes > 0])[:-1]))
+        assert all(next(got).tolist() == [t.id for t in tok.model.tokenize(
+            w.encode().decode("latin-1").translate(memo.alphabet))] for w, n in zip(words, sizes) if n > 0)
+
+
 # --- operator 4 ----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("n,u", [(0, 1), (1, 5), (1000, 10), (1000, 1 << 20), (70_000, 1 << 62), (3, 1 << 62)])
