@@ -414,7 +414,7 @@ def token_table(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: s
         end = np.array([end_id], dtype=dtype).tobytes()
         df = np.zeros(size + 2, dtype=np.int64)
         for batch in batches:
-            for some in slices(batch, 1, 4 << 20):
+            for some in slices(batch, 1, 2 << 20):
                 out = [b + end for b in encode_texts(some.column(1), tokenizer, memo, dtype)]
                 lengths = np.array([len(b) for b in out], dtype=np.int64) // np.dtype(dtype).itemsize
                 term, tf, start = _distinct_terms(np.frombuffer(b"".join(out), dtype=dtype), lengths)
